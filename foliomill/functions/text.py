@@ -109,4 +109,4 @@ def hashed_embedding(text: Column, dim: int = EMBEDDING_DIM) -> Column:
             lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double"),
         )
 
-    return let(let(token_buckets(text, dim), counts), weights)
+    return F.when(text.isNotNull(), let(let(token_buckets(text, dim), counts), weights))

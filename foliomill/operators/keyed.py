@@ -45,14 +45,12 @@ def current_rows(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
 
 
 def _slice_bounds(df: DataFrame, sequence: str, rows_per_slice: int) -> list:
-    """Quantiles of the order column, one slice per ``rows_per_slice`` rows. One narrow scan, one small row."""
-    grid = [i / MAX_SLICES for i in range(1, MAX_SLICES)]
-    n_rows, quantiles = df.agg(F.count(F.lit(1)), F.percentile_approx(sequence, grid)).first()
-    wanted = min(MAX_SLICES, -(-n_rows // rows_per_slice))
-    if wanted <= 1 or not quantiles:
+    """Quantiles of the order column, one slice per ``rows_per_slice`` rows; a table of one slice has none."""
+    wanted = min(MAX_SLICES, -(-df.count() // rows_per_slice))
+    if wanted <= 1:
         return []
-    picked = [quantiles[round(i * MAX_SLICES / wanted) - 1] for i in range(1, wanted)]
-    return sorted(set(picked))
+    quantiles = df.agg(F.percentile_approx(sequence, [i / wanted for i in range(1, wanted)])).first()[0]
+    return sorted(set(quantiles or []))
 
 
 def next_in_key(

@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def on_all_cores(df: DataFrame) -> DataFrame:
+    """Spread rows that come from fewer splits than there are cores; a scan with enough splits stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp_ntz")
 
@@ -90,21 +96,16 @@ def answered_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def expected_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Expected response of a conversation: the document with its number, tokenised once per document."""
-    docs = table(spark, sf_dir, "documents")
+    docs = on_all_cores(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select(F.col("doc_id").alias("conv_id"), token_set(F.col("text")).alias("e"))
 
 
 def context_sets(spark: SparkSession, sf_dir: str, size: int, overlap: int) -> DataFrame:
     """Retrieved context of a conversation: the web page with its number, as one token set and per chunk."""
-    pages = table(spark, sf_dir, "pages").select(F.col("page_id").alias("conv_id"), html_text(F.col("html")).alias("t"))
+    pages = on_all_cores(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = pages.select(F.col("page_id").alias("conv_id"), html_text(F.col("html")).alias("t"))
     return pages.select(
         "conv_id",
         token_set(F.col("t")).alias("c"),
         F.transform(fixed_chunks(F.col("t"), size, overlap), token_set).alias("cs"),
     )
-
-
-def on_all_cores(df: DataFrame) -> DataFrame:
-    """Spread rows that come from fewer splits than there are cores; a scan with enough splits stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
