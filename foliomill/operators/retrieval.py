@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,16 +25,17 @@ SCORE_CELLS = 4_000_000  # scores held at once by one task
 EXCLUDED = np.iinfo(np.int64).min
 
 
-def _unit_rows(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def _unit_rows(vectors: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
+    """Vectors as unit rows; a zero vector stays zero. ``dim`` is the length they must have, if it is known."""
     if isinstance(vectors, pa.ChunkedArray):
         vectors = vectors.combine_chunks()
-    n = len(vectors)
+    lengths = pc.unique(pc.list_value_length(vectors)).to_pylist()
+    if len(lengths) > 1 or (dim is not None and lengths not in ([], [dim])):
+        raise ValueError(f"vectors must have one length, found {sorted(lengths)} against {dim}")
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
-    if n == 0:
-        return flat.reshape(0, 0)
-    if len(flat) % n:
-        raise ValueError("all vectors must have one length")
-    rows = flat.reshape(n, -1)
+    if not np.isfinite(flat).all():
+        raise ValueError("vectors must hold finite numbers only")
+    rows = flat.reshape(len(vectors), lengths[0] if lengths else 0)
     norm = np.linalg.norm(rows, axis=1, keepdims=True)
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
 
@@ -94,7 +96,8 @@ def _scan_best(
             if batch.num_rows == 0:
                 continue
             schema = schema or _arrow_schema(query_type, batch.schema.field(0).type)
-            found = _block_best(_ids(batch.column(0)), _unit_rows(batch.column(1)), q_ids, q_rows, k, floor, skip_self)
+            rows = _unit_rows(batch.column(1), q_rows.shape[1])
+            found = _block_best(_ids(batch.column(0)), rows, q_ids, q_rows, k, floor, skip_self)
             best = found if best is None else _trim(pd.concat([best, found], ignore_index=True), k)
         if best is not None:
             yield _best_batch(_trim(best, k), q_ids, schema)
@@ -108,7 +111,8 @@ def _cell_best(k: int, floor: int, skip_self: bool) -> Callable[[pa.Table, pa.Ta
         if queries.num_rows == 0 or index.num_rows == 0:
             return schema.empty_table()
         q_ids, q_rows = _ids(queries["query_id"]), _unit_rows(queries["query_vec"])
-        found = _block_best(_ids(index["id"]), _unit_rows(index["vec"]), q_ids, q_rows, k, floor, skip_self)
+        rows = _unit_rows(index["vec"], q_rows.shape[1])
+        found = _block_best(_ids(index["id"]), rows, q_ids, q_rows, k, floor, skip_self)
         return pa.Table.from_batches([_best_batch(found, q_ids, schema)])
 
     return score
