@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import SparkSession
 
 CHECKPOINT_DIR_KEY = "spark.checkpoint.dir"
+_LOCAL_ROOTS: dict[str, str] = {}
 
 
 def local_session(cores: int | str = 8, app_name: str = "foliomill", driver_memory: str = "12g") -> SparkSession:
@@ -35,9 +36,10 @@ def shared_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{CHECKPOINT_DIR_KEY} must name a folder shared by all executors")
-    root = tempfile.mkdtemp(prefix="foliomill-")
-    spark.conf.set(CHECKPOINT_DIR_KEY, root)
-    return root
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="foliomill-")
+    return _LOCAL_ROOTS[app]
 
 
 def fresh_path(spark: SparkSession, purpose: str) -> str:
