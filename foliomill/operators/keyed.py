@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 CHANGE_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
 ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 1024
+HOT_KEY_ROWS = 500_000
+MAX_HOT_KEYS = 1000
+HOT_KEY_SALTS = 64
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -24,6 +27,28 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.withColumn("_newest", F.row_number().over(newest_first)).filter("_newest = 1").drop("_newest")
 
 
+def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> list:
+    """Largest keys with at least ``min_rows`` rows. Whatever is not among them has under 1/1000 of the rows."""
+    sizes = df.groupBy(key).count().filter(F.col("count") >= min_rows)
+    return [r[key] for r in sizes.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()]
+
+
+def join_facts(
+    rows: DataFrame, facts: DataFrame, key: str, spread_by: str, hot: Sequence, salts: int = HOT_KEY_SALTS
+) -> DataFrame:
+    """Inner join of many rows per key to one fact row per key.
+
+    Rows of the ``hot`` keys are dealt out over ``salts`` groups by ``spread_by`` and only those few facts are copied
+    to each group; all other keys join as they are.
+    """
+    if not hot:
+        return rows.join(facts, key)
+    is_hot = F.col(key).isin(list(hot))
+    dealt = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int"))
+    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
+    return dealt.join(facts.withColumn("_salt", F.explode(copies)), [key, "_salt"]).drop("_salt")
+
+
 def is_delete(change_type: str = "_change_type") -> Column:
     return F.lower(F.col(change_type)) == "delete"
 
@@ -161,6 +186,13 @@ def key_violations(df: DataFrame, keys: Sequence[str], rule: str) -> DataFrame:
     ).select(F.lit(rule).alias("rule"), "*")
 
 
+def require_keys(report: DataFrame) -> None:
+    """Stop a job on null or repeated keys. The report has one row per rule."""
+    broken = [r["rule"] for r in report.filter("n_null_rows > 0 OR n_repeated_keys > 0").collect()]
+    if broken:
+        raise ValueError(f"key rules broken: {', '.join(broken)}")
+
+
 def quarantine(df: DataFrame, required: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Rows with every required column set, and the rest."""
     missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in required])

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from foliomill.functions.text import hashed_embedding
 
 MAX_BROADCAST_QUERIES = 4096
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 QUERY_BLOCK = 32_768
 INDEX_BLOCK = 16_384
 SCALE = 1_000_000
@@ -140,7 +141,7 @@ def top_k(
 ) -> DataFrame:
     """``query_id, id, score, rank`` of the ``k`` most similar vectors per query, optionally from ``min_score`` up.
 
-    Up to ``max_broadcast`` queries travel to the tasks and the index is scanned in place, unshuffled. More
+    Up to ``max_broadcast`` queries (and a bound in bytes) travel to the tasks and the index is scanned in place, unshuffled. More
     queries than that are cut into blocks which meet blocks of the index by key; both sides stay distributed and
     each cell is bounded by the two block sizes. Filters on the index belong before the call, where they reach
     its scan. Ids are unique on both sides.
@@ -156,7 +157,7 @@ def top_k(
     schema = f"query_id {qry.schema['query_id'].dataType.simpleString()}, id {idx.schema['id'].dataType.simpleString()}, score double"
 
     small = qry.limit(max_broadcast + 1).toArrow()
-    if small.num_rows <= max_broadcast:
+    if small.num_rows <= max_broadcast and small.nbytes <= MAX_BROADCAST_BYTES:
         if small.num_rows == 0:
             return qry.sparkSession.createDataFrame([], schema + ", rank bigint")
         q_ids, q_rows = _ids(small["query_id"]), _unit_rows(small["query_vec"])
@@ -251,8 +252,8 @@ def index_rows(source: DataFrame, key: str, text: str, embed: Callable[[Column],
 
 
 def write_index(rows: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
-    """Store an index bucketed by key, so that later syncs meet it without shuffling it again."""
-    rows.write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    """Store an index bucketed by key, one file per bucket, so that later syncs meet it without shuffling it again."""
+    rows.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return rows.sparkSession.table(table)
 
 

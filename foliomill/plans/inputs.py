@@ -88,10 +88,8 @@ def answered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def answered_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Answered turns as token sets: ``conv_id, turn, q, a``."""
-    return answered(spark, sf_dir).select(
-        "conv_id", "turn", token_set(F.col("question")).alias("q"), token_set(F.col("answer")).alias("a")
-    )
+    """Answered turns with their token sets: ``conv_id, turn, question, answer, q, a``."""
+    return answered(spark, sf_dir).withColumns({"q": token_set(F.col("question")), "a": token_set(F.col("answer"))})
 
 
 def expected_sets(spark: SparkSession, sf_dir: str) -> DataFrame:

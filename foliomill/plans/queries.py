@@ -384,16 +384,26 @@ def eval_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.allocate_questions(inputs.table(spark, sf_dir, "documents"), "doc_id", N_QUESTIONS)
 
 
+def _scored(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
+    """Answered turns with the facts of their conversation; one conversation may own a large share of the turns."""
+    hot = keyed.hot_keys(_conversations(spark, sf_dir), "conv_id")
+    return keyed.join_facts(inputs.answered_sets(spark, sf_dir), facts, "conv_id", "turn", hot)
+
+
+def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return inputs.context_sets(spark, sf_dir, *medallion.BATCH_CHUNKS)
+
+
 @query
 def score_correctness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = inputs.answered_sets(spark, sf_dir).join(inputs.expected_sets(spark, sf_dir), "conv_id")
+    rows = _scored(spark, sf_dir, inputs.expected_sets(spark, sf_dir))
     return rows.select("conv_id", "turn", evaluate.correctness(F.col("a"), F.col("e")).alias("correctness"))
 
 
 @query
 def score_sufficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per conversation: its expected response against its context."""
-    rows = inputs.expected_sets(spark, sf_dir).join(inputs.context_sets(spark, sf_dir, *medallion.BATCH_CHUNKS), "conv_id")
+    rows = inputs.expected_sets(spark, sf_dir).join(_contexts(spark, sf_dir), "conv_id")
     return rows.select("conv_id", evaluate.covered_share(F.col("e"), F.col("c")).alias("sufficiency"))
 
 
@@ -405,15 +415,13 @@ def score_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_groundedness(spark: SparkSession, sf_dir: str) -> DataFrame:
-    contexts = inputs.context_sets(spark, sf_dir, *medallion.BATCH_CHUNKS)
-    rows = inputs.answered_sets(spark, sf_dir).join(contexts, "conv_id")
+    rows = _scored(spark, sf_dir, _contexts(spark, sf_dir))
     return rows.select("conv_id", "turn", evaluate.covered_share(F.col("a"), F.col("c")).alias("groundedness"))
 
 
 @query
 def score_chunk_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    contexts = inputs.context_sets(spark, sf_dir, *medallion.BATCH_CHUNKS)
-    rows = inputs.answered_sets(spark, sf_dir).join(contexts, "conv_id")
+    rows = _scored(spark, sf_dir, _contexts(spark, sf_dir))
     return rows.select("conv_id", "turn", evaluate.chunk_relevance(F.col("q"), F.col("cs")).alias("chunk_relevance"))
 
 
@@ -435,12 +443,10 @@ def score_guidelines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def score_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answered = inputs.answered(spark, sf_dir).withColumns(
-        {"q": tx.token_set(F.col("question")), "a": tx.token_set(F.col("answer"))}
-    )
+    """All scorers in one row per answered turn. The facts of a conversation meet first, the turns join them once."""
     safe = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("conv_id"), (1 - F.col("toxic")).alias("safety"))
-    facts = inputs.expected_sets(spark, sf_dir).join(inputs.context_sets(spark, sf_dir, *medallion.BATCH_CHUNKS), "conv_id")
-    rows = answered.join(facts, "conv_id").join(safe, "conv_id", "left")
+    facts = inputs.expected_sets(spark, sf_dir).join(_contexts(spark, sf_dir), "conv_id").join(safe, "conv_id", "left")
+    rows = _scored(spark, sf_dir, facts)
     q, a, e, c = (F.col(name) for name in ("q", "a", "e", "c"))
     rules = [evaluate.follows(r, F.col("answer")).cast("int").alias(r.name) for r in evaluate.GUIDELINES]
     return rows.select(

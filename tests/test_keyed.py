@@ -127,3 +127,19 @@ def test_identity_ids_are_dense_and_repeatable(spark):
 def test_allocation_spends_every_question(spark, n):
     got = [r.n_questions for r in ranking.allocate_questions(spark.range(10), "id", n).collect()]
     assert sum(got) == n and len(got) == 10 and max(got) - min(got) <= 1
+
+
+def test_hot_keys_join_over_salts(spark):
+    rows = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k int, turn int")
+    facts = spark.createDataFrame([(k, f"f{k}") for k in range(0, 300, 2)] + [(1, "hot")], "k int, fact string")
+    assert keyed.hot_keys(rows, "k", 50) == [1]
+    plain = sorted(map(tuple, keyed.join_facts(rows, facts, "k", "turn", []).collect()))
+    dealt = keyed.join_facts(rows, facts, "k", "turn", [1], 8)
+    assert sorted(map(tuple, dealt.collect())) == plain and dealt.columns == ["k", "turn", "fact"]
+
+
+def test_broken_keys_stop_the_job(spark):
+    df = spark.createDataFrame([(1,), (1,), (2,)], "x int")
+    keyed.require_keys(keyed.key_violations(df.distinct(), ["x"], "fine"))
+    with pytest.raises(ValueError, match="bad"):
+        keyed.require_keys(keyed.key_violations(df, ["x"], "bad"))
