@@ -1,8 +1,8 @@
 """Operators that match rows by key: newest row, change feeds, current and history tables, key checks, merges.
 
-Any key may own a large share of the rows. Newest-row selection therefore runs as a ranked limit, which Spark
-applies before the shuffle as well as after it, and history intervals are computed inside slices of the order
-column, so that no task ever holds all rows of one key.
+Any key may own a large share of the rows. Newest-row selection is therefore an aggregation, which leaves one row
+per key and task before the shuffle, and history intervals are computed inside slices of the order column, so that
+no task ever holds all rows of one key.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ HOT_KEY_SALTS = 64
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """One row per key: the last by ``order`` (earlier columns first, later ones break ties)."""
-    newest_first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc() for c in order])
-    return df.withColumn("_newest", F.row_number().over(newest_first)).filter("_newest = 1").drop("_newest")
+    row = F.struct(*df.columns)
+    return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row")).select("_row.*")
 
 
 def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> list:

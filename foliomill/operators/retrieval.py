@@ -23,7 +23,7 @@ QUERY_BLOCK = 32_768
 INDEX_BLOCK = 16_384
 SCALE = 1_000_000
 SCORE_CELLS = 4_000_000  # scores held at once by one task
-EXCLUDED = np.iinfo(np.int64).min
+FEW_ROWS = 4  # rows looked at one by one, in multiples of k
 
 
 def _unit_rows(vectors: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
@@ -46,35 +46,67 @@ def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
 
 
 def _block_best(
-    ids: np.ndarray, rows: np.ndarray, q_ids: np.ndarray, q_rows: np.ndarray, k: int, floor: int, skip_self: bool
+    ids: np.ndarray,
+    rows: np.ndarray,
+    q_ids: np.ndarray,
+    q_rows: np.ndarray,
+    k: int,
+    floor: int,
+    skip_self: bool,
+    to_beat: np.ndarray | None = None,
 ) -> pd.DataFrame:
-    """Best ``k`` rows of one block for each query; score and id make one integer, so ties need no second pass."""
+    """Rows of one block that may be among the best ``k`` of each query, at least the best ``k`` of the block.
+
+    ``to_beat`` holds the score each query's rows have to reach; where few rows reach it, only those are looked at.
+    Otherwise score and position by id make one integer, so that ties need no second pass.
+    """
     by_id = np.argsort(ids, kind="stable")
     ids, rows = ids[by_id], rows[by_id]
     n = len(ids)
     earlier_wins = np.arange(n - 1, -1, -1, dtype=np.int64)
-    own = pd.Index(ids).get_indexer(q_ids) if skip_self else None
+    own = pd.Index(ids).get_indexer(q_ids) if skip_self else np.full(len(q_ids), -1)
     kept = []
     step = max(1, SCORE_CELLS // n)
     for lo in range(0, len(q_ids), step):
-        scores = np.rint(q_rows[lo : lo + step] @ rows.T * SCALE).astype(np.int64)
-        sortable = scores * n + earlier_wins
-        if skip_self:
-            hit = np.flatnonzero(own[lo : lo + step] >= 0)
-            sortable[hit, own[lo : lo + step][hit]] = EXCLUDED
-        best = np.argpartition(sortable, n - k, axis=1)[:, n - k :] if n > k else np.tile(np.arange(n), (len(scores), 1))
-        chosen = np.take_along_axis(scores, best, axis=1)
-        usable = (np.take_along_axis(sortable, best, axis=1) != EXCLUDED) & (chosen >= floor)
-        q, c = np.nonzero(usable)
-        kept.append(pd.DataFrame({"q": q + lo, "id": ids[best[q, c]], "score": chosen[q, c]}))
+        raw = q_rows[lo : lo + step] @ rows.T * SCALE
+        mine = own[lo : lo + step]
+        hit = np.flatnonzero(mine >= 0)
+        raw[hit, mine[hit]] = -np.inf
+        if to_beat is not None:
+            q, c = np.nonzero(raw > to_beat[lo : lo + step, None] - 1)
+            if len(q) <= FEW_ROWS * k * len(raw):
+                kept.append(_found(q, c, raw, lo, ids, floor))
+                continue
+        best = np.tile(np.arange(n), (len(raw), 1))
+        if n > k:
+            raw[hit, mine[hit]] = -2 * SCALE
+            sortable = np.rint(raw).astype(np.int64) * n + earlier_wins
+            best = np.argpartition(sortable, n - k, axis=1)[:, n - k :]
+            raw[hit, mine[hit]] = -np.inf
+        kept.append(_found(np.repeat(np.arange(len(raw)), best.shape[1]), best.ravel(), raw, lo, ids, floor))
     return pd.concat(kept, ignore_index=True)
 
 
+def _found(q: np.ndarray, c: np.ndarray, raw: np.ndarray, lo: int, ids: np.ndarray, floor: int) -> pd.DataFrame:
+    scores = np.rint(raw[q, c])
+    usable = np.isfinite(scores) & (scores >= floor)
+    return pd.DataFrame({"q": q[usable] + lo, "id": ids[c[usable]], "score": scores[usable].astype(np.int64)})
+
+
 def _trim(found: pd.DataFrame, k: int) -> pd.DataFrame:
     ordered = found.sort_values(["q", "score", "id"], ascending=[True, False, True], kind="stable")
     return ordered.groupby("q", sort=False).head(k)
 
 
+def _scores_to_beat(best: pd.DataFrame, n_queries: int, k: int) -> np.ndarray:
+    """Score of the last of ``k`` rows per query; a query with fewer rows takes any."""
+    sizes = np.bincount(best["q"], minlength=n_queries)
+    last = best.groupby("q")["score"].min()
+    limits = np.full(n_queries, -np.inf)
+    limits[last.index] = last.to_numpy()
+    return np.where(sizes >= k, limits, -np.inf)
+
+
 def _best_batch(found: pd.DataFrame, q_ids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
     columns = [
         pa.array(q_ids[found["q"].to_numpy()], type=schema.field(0).type),
@@ -98,10 +130,11 @@ def _scan_best(
                 continue
             schema = schema or _arrow_schema(query_type, batch.schema.field(0).type)
             rows = _unit_rows(batch.column(1), q_rows.shape[1])
-            found = _block_best(_ids(batch.column(0)), rows, q_ids, q_rows, k, floor, skip_self)
-            best = found if best is None else _trim(pd.concat([best, found], ignore_index=True), k)
+            to_beat = None if best is None else _scores_to_beat(best, len(q_ids), k)
+            found = _block_best(_ids(batch.column(0)), rows, q_ids, q_rows, k, floor, skip_self, to_beat)
+            best = _trim(found if best is None else pd.concat([best, found], ignore_index=True), k)
         if best is not None:
-            yield _best_batch(_trim(best, k), q_ids, schema)
+            yield _best_batch(best, q_ids, schema)
 
     return scan
 
@@ -153,7 +186,7 @@ def top_k(
     idx = index.select(F.col(index_id).alias("id"), F.col(index_vec).alias("vec")).filter("id IS NOT NULL AND vec IS NOT NULL")
     qry = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("query_vec"))
     qry = qry.filter("query_id IS NOT NULL AND query_vec IS NOT NULL")
-    floor = EXCLUDED if min_score is None else int(np.rint(min_score * SCALE))
+    floor = -2 * SCALE if min_score is None else int(np.rint(min_score * SCALE))
     schema = f"query_id {qry.schema['query_id'].dataType.simpleString()}, id {idx.schema['id'].dataType.simpleString()}, score double"
 
     small = qry.limit(max_broadcast + 1).toArrow()

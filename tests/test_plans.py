@@ -31,7 +31,12 @@ def test_splitter_runs_once_per_text(spark, sf_dir, name):
     assert plan_of(QUERIES[name](spark, sf_dir)).count("ArrowEvalPython [") == 1
 
 
-@pytest.mark.parametrize("name", ["cdc_scd1", "last_message", "memory_put", "vector_topk", "memory_search"])
+@pytest.mark.parametrize("name", ["cdc_scd1", "last_message", "memory_put"])
+def test_newest_rows_combine_before_the_shuffle(spark, sf_dir, name):
+    assert "partial_max_by" in plan_of(QUERIES[name](spark, sf_dir))
+
+
+@pytest.mark.parametrize("name", ["vector_topk", "memory_search"])
 def test_ranked_limits_shrink_rows_before_the_shuffle(spark, sf_dir, name):
     plan = plan_of(QUERIES[name](spark, sf_dir))
     assert "Partial" in plan[plan.index("WindowGroupLimit") :]
