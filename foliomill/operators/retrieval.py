@@ -41,6 +41,11 @@ def _unit_rows(vectors: pa.Array | pa.ChunkedArray, dim: int | None = None) -> n
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
 
 
+def _complete(rows: pa.Table | pa.RecordBatch) -> pa.Table | pa.RecordBatch:
+    """Rows with id and vector. A null filter in the plan would compute a derived vector twice."""
+    return rows.filter(pc.and_(pc.is_valid(rows.column(0)), pc.is_valid(rows.column(1))))
+
+
 def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
 
@@ -125,7 +130,7 @@ def _scan_best(
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best, schema = None, None
-        for batch in batches:
+        for batch in map(_complete, batches):
             if batch.num_rows == 0:
                 continue
             schema = schema or _arrow_schema(query_type, batch.schema.field(0).type)
@@ -142,6 +147,8 @@ def _scan_best(
 def _cell_best(k: int, floor: int, skip_self: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
     def score(queries: pa.Table, index: pa.Table) -> pa.Table:
         schema = _arrow_schema(queries.schema.field("query_id").type, index.schema.field("id").type)
+        queries = _complete(queries.select(["query_id", "query_vec"]))
+        index = _complete(index.select(["id", "vec"]))
         if queries.num_rows == 0 or index.num_rows == 0:
             return schema.empty_table()
         q_ids, q_rows = _ids(queries["query_id"]), _unit_rows(queries["query_vec"])
@@ -183,14 +190,14 @@ def top_k(
         raise ValueError("k must be positive")
     index_id, index_vec = index_cols
     query_id, query_vec = query_cols
-    idx = index.select(F.col(index_id).alias("id"), F.col(index_vec).alias("vec")).filter("id IS NOT NULL AND vec IS NOT NULL")
+    idx = index.select(F.col(index_id).alias("id"), F.col(index_vec).alias("vec"))
     qry = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("query_vec"))
-    qry = qry.filter("query_id IS NOT NULL AND query_vec IS NOT NULL")
     floor = -2 * SCALE if min_score is None else int(np.rint(min_score * SCALE))
     schema = f"query_id {qry.schema['query_id'].dataType.simpleString()}, id {idx.schema['id'].dataType.simpleString()}, score double"
 
     small = qry.limit(max_broadcast + 1).toArrow()
     if small.num_rows <= max_broadcast and small.nbytes <= MAX_BROADCAST_BYTES:
+        small = _complete(small)
         if small.num_rows == 0:
             return qry.sparkSession.createDataFrame([], schema + ", rank bigint")
         q_ids, q_rows = _ids(small["query_id"]), _unit_rows(small["query_vec"])
