@@ -67,7 +67,7 @@ def join_pages(pages: Column) -> Column:
     entries = F.transform(
         F.map_entries(pages), lambda e: F.struct(e["key"].cast("int").alias("ix"), F.coalesce(e["value"], F.lit("")).alias("txt"))
     )
-    return F.array_join(F.transform(F.array_sort(entries), lambda e: e["txt"]), "")
+    return F.array_join(F.transform(F.sort_array(entries), lambda e: e["txt"]), "")
 
 
 def fixed_chunks(text: Column, size: int, overlap: int) -> Column:

@@ -110,11 +110,13 @@ def pairs_to_messages(pairs: DataFrame, keys: Sequence[str], question: str, answ
 def normalize_reply(df: DataFrame, reply: str) -> DataFrame:
     """Parse a model reply in either accepted shape: add ``messages`` and ``status`` (``ok`` or ``rejected``)."""
     shape = f"struct<messages:array<{MESSAGE}>,choices:array<struct<message:{MESSAGE}>>>"
-    parsed = F.from_json(F.col(reply), shape)
-    first_choice = F.get(parsed["choices"], F.lit(0))["message"]
-    messages = F.coalesce(parsed["messages"], F.when(first_choice.isNotNull(), F.array(first_choice)))
-    return df.withColumn("messages", messages).withColumn(
-        "status", F.when(F.col("messages").isNull(), "rejected").otherwise("ok")
+    read = df.withColumn("_reply", F.from_json(F.col(reply), shape))
+    first_choice = F.get(F.col("_reply.choices"), F.lit(0))["message"]
+    messages = F.coalesce("_reply.messages", F.when(first_choice.isNotNull(), F.array(first_choice)))
+    return (
+        read.withColumn("messages", messages)
+        .withColumn("status", F.when(F.col("messages").isNull(), "rejected").otherwise("ok"))
+        .drop("_reply")
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -15,9 +15,9 @@ NO_TOPIC = "N/A"
 MIN_TOPIC_LETTERS = 5
 
 
-def extract_text_pages(df: DataFrame, content: str = "content", output: str = "pages") -> DataFrame:
-    """Page map of plain-text bytes, one page per line, as column expressions."""
-    return df.withColumn(output, page_map(F.decode(F.col(content), "UTF-8")))
+def text_pages(content: Column) -> Column:
+    """Page map of plain-text bytes, one page per line, as a column expression."""
+    return page_map(F.decode(content, "UTF-8"))
 
 
 def extract_pages(
@@ -56,11 +56,14 @@ def extract_pages(
     return df.select(*keys, content).mapInPandas(run, f"{key_types}, pages map<string,string>, error string")
 
 
-def explode_pages(df: DataFrame, pages: str = "pages") -> DataFrame:
-    """One row per page: ``page_nr`` (text, as extracted), ``page_ix`` for ordering, ``page_content``."""
-    kept = [c for c in df.columns if c != pages]
+def explode_pages(df: DataFrame, pages: Column, keep: Sequence[str]) -> DataFrame:
+    """One row per page: ``page_nr`` (text, as extracted), ``page_ix`` for ordering, ``page_content``.
+
+    Pass the expression that makes the page map, not a column computed before: Spark adds a filter on the size of an
+    exploded column, and that filter would compute the map a second time.
+    """
     return (
-        df.select(*kept, F.explode(pages))
+        df.select(*keep, F.explode(pages))
         .withColumnRenamed("key", "page_nr")
         .withColumnRenamed("value", "page_content")
         .withColumn("page_ix", F.col("page_nr").cast("int"))
@@ -106,7 +109,7 @@ def frequent_word(text: Column, min_letters: int = MIN_TOPIC_LETTERS) -> Column:
 
     Sorting the tokens makes equal ones neighbours, so one pass in the row counts them and nothing is shuffled.
     """
-    words = F.array_sort(F.filter(tokens(text), lambda t: F.length(t) >= min_letters))
+    words = F.sort_array(F.filter(tokens(text), lambda t: F.length(t) >= min_letters))
     start = F.struct(
         F.lit("").alias("word"), F.lit(0).alias("run"), F.lit(None).cast("string").alias("best"), F.lit(0).alias("most")
     )

@@ -137,7 +137,16 @@ def monitor_sample(requests: DataFrame, request_id: Column, rates: Mapping[str,
     return with_bucket
 
 
-def recent_traces(traces: DataFrame, time: str, status: str, as_of: Column, minutes: int = TRACE_WINDOW_MINUTES) -> DataFrame:
-    """Successful traces of the last minutes, newest first. ``as_of`` is a literal, so the filter reaches the scan."""
-    start = as_of - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+def window_start(as_of: Column, minutes: int = TRACE_WINDOW_MINUTES) -> Column:
+    """Start of the trace window before the time ``as_of``."""
+    return as_of - F.expr(f"INTERVAL {int(minutes)} MINUTES")
+
+
+def window_start_ms(as_of_ms: int, minutes: int = TRACE_WINDOW_MINUTES) -> Column:
+    """Start of the trace window for times kept as epoch milliseconds."""
+    return F.lit(as_of_ms - minutes * 60_000).cast("bigint")
+
+
+def recent_traces(traces: DataFrame, time: str, status: str, start: Column) -> DataFrame:
+    """Successful traces after ``start``, newest first. A literal ``start`` reaches the scan."""
     return traces.filter((F.col(time) > start) & (F.col(status) == "OK")).orderBy(F.col(time).desc())

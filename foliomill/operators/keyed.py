@@ -7,15 +7,19 @@ no task ever holds all rows of one key.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
+
+from foliomill.functions.text import let
 
 CHANGE_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
 ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 1024
+MAX_SLICES = 4096
 HOT_KEY_ROWS = 500_000
 MAX_HOT_KEYS = 1000
 HOT_KEY_SALTS = 64
@@ -27,14 +31,23 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row")).select("_row.*")
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int = HOT_KEY_ROWS) -> list:
-    """Largest keys with at least ``min_rows`` rows. Whatever is not among them has under 1/1000 of the rows."""
-    sizes = df.groupBy(key).count().filter(F.col("count") >= min_rows)
-    return [r[key] for r in sizes.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()]
+def key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*keys)
+
+
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS) -> list[int]:
+    """Hashes of the largest keys, from ``min_rows`` rows up, at most 1000: any other key has under 1/1000 of the rows.
+
+    Counting runs on the key columns alone, and only if the table is large enough to have such a key.
+    """
+    if df.count() < min_rows:
+        return []
+    sizes = df.groupBy(key_hash(keys).alias("_key")).count().filter(F.col("count") >= min_rows)
+    return [r["_key"] for r in sizes.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()]
 
 
 def join_facts(
-    rows: DataFrame, facts: DataFrame, key: str, spread_by: str, hot: Sequence, salts: int = HOT_KEY_SALTS
+    rows: DataFrame, facts: DataFrame, key: str, spread_by: str, hot: Sequence[int], salts: int = HOT_KEY_SALTS
 ) -> DataFrame:
     """Inner join of many rows per key to one fact row per key.
 
@@ -43,7 +56,7 @@ def join_facts(
     """
     if not hot:
         return rows.join(facts, key)
-    is_hot = F.col(key).isin(list(hot))
+    is_hot = key_hash([key]).isin(list(hot))
     dealt = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int"))
     copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     return dealt.join(facts.withColumn("_salt", F.explode(copies)), [key, "_salt"]).drop("_salt")
@@ -69,48 +82,63 @@ def current_rows(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
     return latest.filter(~F.coalesce(is_delete(), F.lit(False))).drop(*CHANGE_COLUMNS)
 
 
-def _slice_bounds(df: DataFrame, sequence: str, rows_per_slice: int) -> list:
-    """Quantiles of the order column, one slice per ``rows_per_slice`` rows; a table of one slice has none."""
-    wanted = min(MAX_SLICES, -(-df.count() // rows_per_slice))
-    if wanted <= 1:
+def _slice_bounds(rows: DataFrame, sequence: str, rows_per_slice: int) -> list:
+    """Quantiles of the order column that cut the rows into slices of about ``rows_per_slice``."""
+    wanted = min(MAX_SLICES, -(-rows.count() // rows_per_slice))
+    grid = [i / wanted for i in range(1, wanted)]
+    if not grid:
         return []
-    quantiles = df.agg(F.percentile_approx(sequence, [i / wanted for i in range(1, wanted)])).first()[0]
+    quantiles = rows.agg(F.percentile_approx(sequence, grid, max(10_000, 20 * wanted))).first()[0]
     return sorted(set(quantiles or []))
 
 
+def _slice_number(value: Column, bounds: list, kind: DataType) -> Column:
+    """How many bounds are at or below ``value``, found in two steps of about the root of their number each."""
+    width = math.isqrt(len(bounds) - 1) + 1
+
+    def listed(picked: list) -> Column:
+        return F.array(*[F.lit(b).cast(kind) for b in picked])
+
+    def reached(cuts: Column) -> Column:
+        return F.size(F.filter(cuts, lambda cut: cut <= value))
+
+    def refine(block: Column) -> Column:
+        before = (block - 1) * width
+        return F.when(block == 0, 0).otherwise(before + reached(F.slice(listed(bounds), F.greatest(before, F.lit(0)) + 1, F.lit(width))))
+
+    return let(reached(listed(bounds[::width])), refine)
+
+
 def next_in_key(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], output: str, rows_per_slice: int = ROWS_PER_SLICE
 ) -> DataFrame:
     """Add ``output``: the value of ``order[0]`` in the following row of the same key.
 
-    Rows are grouped by key and slice of the order column. Within a slice the next row is a window function;
-    the last row of a slice looks up the first row of the key's next filled slice, a table with at most one
-    row per key and slice. Keys are not null (see ``key_violations``).
+    A key with more than ``rows_per_slice`` rows is cut into slices of the order column, each a group of its own. A
+    closing row at the end of a slice carries the first value of the key's next filled slice, so the window finds it
+    in place; there are at most 1000 such keys and 4096 slices.
     """
     sequence = order[0]
-    bounds = _slice_bounds(df, sequence, rows_per_slice)
-    if not bounds:
-        following = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumn(output, F.lead(sequence).over(following))
-
-    kind = df.schema[sequence].dataType
-    cuts = F.array(*[F.lit(b).cast(kind) for b in bounds])
-    sliced = df.withColumn("_slice", F.size(F.filter(cuts, lambda cut: cut <= F.col(sequence))))
-    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
-    later = Window.partitionBy(*keys).orderBy("_slice")
-    names = [f"_k{i}" for i in range(len(keys))]
-    firsts = (
-        sliced.groupBy(*keys, "_slice")
-        .agg(F.min(sequence).alias("_first"))
-        .withColumn("_carry", F.lead("_first").over(later))
-        .select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.col("_slice").alias("_s"), "_carry")
+    hot = hot_keys(df, keys, rows_per_slice)
+    if not hot:
+        return df.withColumn(output, F.lead(sequence).over(Window.partitionBy(*keys).orderBy(*order)))
+
+    is_hot = key_hash(keys).isin(hot)
+    bounds = _slice_bounds(df.filter(is_hot), sequence, rows_per_slice)
+    number = _slice_number(F.col(sequence), bounds, df.schema[sequence].dataType) if bounds else F.lit(0)
+    sliced = df.withColumn("_slice", F.when(is_hot, number).otherwise(0)).withColumn("_closing", F.lit(False))
+    firsts = sliced.filter(is_hot).groupBy(*keys, "_slice").agg(F.min(sequence).alias("_first"))
+    closing = (
+        firsts.withColumn(sequence, F.lead("_first").over(Window.partitionBy(*keys).orderBy("_slice")))
+        .filter(F.col(sequence).isNotNull())
+        .select(*keys, "_slice", sequence, F.lit(True).alias("_closing"))
     )
-    rows = sliced.withColumn("_lead", F.lead(sequence).over(within))
-    same = reduce(lambda a, b: a & b, [F.col(k) == F.col(n) for k, n in zip([*keys, "_slice"], [*names, "_s"])])
+    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
     return (
-        rows.join(firsts, same, "left")
-        .withColumn(output, F.coalesce("_lead", "_carry"))
-        .select(*df.columns, output)
+        sliced.unionByName(closing, allowMissingColumns=True)
+        .withColumn(output, F.lead(sequence).over(within))
+        .filter(~F.col("_closing"))
+        .drop("_slice", "_closing")
     )
 
 

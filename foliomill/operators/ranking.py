@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-PREFIX_DIGITS = 3  # hexadecimal digits of the md5: 4,096 groups of even size, whatever the keys look like
+PREFIX_DIGITS = 4  # hexadecimal digits of the md5: 65,536 groups of even size, whatever the keys look like
 
 
 def stable_rank(df: DataFrame, grain: Sequence[str], output: str = "rank", digits: int = PREFIX_DIGITS) -> DataFrame:
@@ -37,6 +37,10 @@ def stable_rank(df: DataFrame, grain: Sequence[str], output: str = "rank", digit
     )
 
 
+def last_used_id(table: DataFrame, column: str = "id") -> int:
+    return table.agg(F.coalesce(F.max(column), F.lit(0))).first()[0]
+
+
 def identity_ids(df: DataFrame, grain: Sequence[str], last_used: int, output: str = "id") -> DataFrame:
     """Dense bigint ids above ``last_used``; a retried task or a rerun hands out the same ids."""
     ranked = stable_rank(df, grain, "_rank")

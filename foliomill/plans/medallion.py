@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliomill.functions.splitter import recursive_chunks
 from foliomill.functions.text import document_name, html_text
-from foliomill.operators.enrich import chunk_id, explode_chunks, explode_pages, extract_text_pages, parse_topic, topic_json
+from foliomill.operators.enrich import chunk_id, explode_chunks, explode_pages, parse_topic, text_pages, topic_json
 from foliomill.sources.files import suffix_filter, with_audit_time
 
 # Chunk size and overlap of the batch and the incremental tables.
@@ -43,8 +43,8 @@ def incremental_splitter(text: Column) -> Column:
 
 
 def silver_pages(bronze: DataFrame, suffix: str, as_of: Column | None = None) -> DataFrame:
-    """Bronze files to named pages. The bytes are dropped before the pages are exploded."""
-    pages = explode_pages(extract_text_pages(bronze).drop("content"))
+    """Bronze files to named pages; the bytes go no further than the page map."""
+    pages = explode_pages(bronze, text_pages(F.col("content")), ["input_file"])
     return with_audit_time(pages.withColumn("document_name", document_name(F.col("input_file"), suffix)), "_datetime", as_of)
 
 

@@ -145,8 +145,8 @@ def html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def doc_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = enrich.extract_text_pages(inputs.document_files(spark, sf_dir))
-    return pages.select("input_file", tx.join_pages(F.col("pages")).alias("extracted_text"))
+    whole = tx.join_pages(enrich.text_pages(F.col("content")))
+    return inputs.document_files(spark, sf_dir).select("input_file", whole.alias("extracted_text"))
 
 
 @query
@@ -291,8 +291,9 @@ def _vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def embed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = inputs.table(spark, sf_dir, "benchmark").select("item_id", tx.hashed_embedding(F.col("text")).alias("e"))
-    weights = items.select("item_id", F.posexplode("e").alias("bucket", "weight")).filter("weight > 0")
+    items = inputs.table(spark, sf_dir, "benchmark")
+    cells = F.posexplode(tx.hashed_embedding(F.col("text"))).alias("bucket", "weight")
+    weights = items.select("item_id", cells).filter("weight > 0")
     return weights.withColumn("weight", F.round("weight", 6))
 
 
@@ -386,7 +387,7 @@ def eval_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _scored(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
     """Answered turns with the facts of their conversation; one conversation may own a large share of the turns."""
-    hot = keyed.hot_keys(_conversations(spark, sf_dir), "conv_id")
+    hot = keyed.hot_keys(_conversations(spark, sf_dir), ["conv_id"])
     return keyed.join_facts(inputs.answered_sets(spark, sf_dir), facts, "conv_id", "turn", hot)
 
 
@@ -472,13 +473,14 @@ def monitor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def trace_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    return evaluate.recent_traces(inputs.traces(events), "ts", "status", inputs.newest_time(events), TRACE_MINUTES)
+    start = evaluate.window_start(inputs.newest_time(events), TRACE_MINUTES)
+    return evaluate.recent_traces(inputs.traces(events), "ts", "status", start)
 
 
 @query
 def trace_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
-    recent = F.col("ts") > inputs.newest_time(events) - F.expr(f"INTERVAL {TRACE_MINUTES} MINUTES")
+    recent = F.col("ts") > evaluate.window_start(inputs.newest_time(events), TRACE_MINUTES)
     return inputs.traces(events).groupBy("status").agg(
         F.count(F.lit(1)).alias("n_traces"), F.sum(recent.cast("bigint")).alias("n_recent")
     )

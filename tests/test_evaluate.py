@@ -57,8 +57,11 @@ def test_trace_window_defaults_to_ten_minutes(spark):
     now = dt.datetime(2024, 5, 1, 12)
     rows = [(i, now - dt.timedelta(minutes=m), s) for i, (m, s) in enumerate([(1, "OK"), (9, "OK"), (10, "OK"), (15, "OK"), (2, "ERROR")])]
     traces = spark.createDataFrame(rows, "i int, ts timestamp_ntz, status string")
-    got = evaluate.recent_traces(traces, "ts", "status", F.lit(str(now)).cast("timestamp_ntz"))
+    got = evaluate.recent_traces(traces, "ts", "status", evaluate.window_start(F.lit(str(now)).cast("timestamp_ntz")))
     assert [r.i for r in got.collect()] == [0, 1]
+    millis = spark.createDataFrame([(1, 399_999, "OK"), (2, 400_001, "OK"), (3, 900_000, "OK")], "i int, ms bigint, status string")
+    got = evaluate.recent_traces(millis, "ms", "status", evaluate.window_start_ms(1_000_000))
+    assert [r.i for r in got.collect()] == [3, 2]
 
 
 def test_judge_seam(spark):

@@ -77,6 +77,23 @@ def test_history_is_the_same_in_any_number_of_slices(spark, rows_per_slice):
     assert len(got) == len(plain_history(rows))
 
 
+def test_history_of_a_stored_feed(spark, tmp_path):
+    rows = random_feed(6)
+    feed(spark, rows, 4).write.parquet(str(tmp_path / "feed"))
+    stored = spark.read.parquet(str(tmp_path / "feed"))
+    for rows_per_slice in (1, 10, 100):
+        got = keyed.history_rows(stored, ["k"], ["seq", "tie"], rows_per_slice).collect()
+        assert {(r.k, r.v, r["__START_AT"], r["__END_AT"]) for r in got} == plain_history(rows)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 9, 10, 17])
+def test_slice_numbers_count_the_bounds_reached(spark, n):
+    bounds = [10 * i for i in range(1, n + 1)]
+    df = spark.range(0, 10 * n + 15)
+    got = df.select("id", keyed._slice_number(F.col("id"), bounds, df.schema["id"].dataType).alias("s")).collect()
+    assert all(r.s == sum(b <= r.id for b in bounds) for r in got)
+
+
 def test_open_history_is_the_current_table(spark):
     rows = random_feed(4)
     history = keyed.history_rows(feed(spark, rows), ["k"], ["seq", "tie"], 20)
@@ -121,6 +138,8 @@ def test_identity_ids_are_dense_and_repeatable(spark):
     again = {r.k: r.id for r in ranking.identity_ids(df.repartition(3), ["k"], 50, "id").collect()}
     assert once == again
     assert sorted(once.values()) == list(range(51, 2051))
+    assert ranking.last_used_id(spark.createDataFrame([(7,), (9,)], "id bigint")) == 9
+    assert ranking.last_used_id(spark.range(0)) == 0
 
 
 @pytest.mark.parametrize("n", [0, 3, 10, 25])
@@ -132,9 +151,11 @@ def test_allocation_spends_every_question(spark, n):
 def test_hot_keys_join_over_salts(spark):
     rows = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k int, turn int")
     facts = spark.createDataFrame([(k, f"f{k}") for k in range(0, 300, 2)] + [(1, "hot")], "k int, fact string")
-    assert keyed.hot_keys(rows, "k", 50) == [1]
+    hot = keyed.hot_keys(rows, ["k"], 50)
+    assert hot == [r[0] for r in rows.filter("k = 1").select(keyed.key_hash(["k"])).distinct().collect()]
+    assert keyed.hot_keys(rows, ["k"], 301) == [] and keyed.hot_keys(rows, ["k"], 250) == []
     plain = sorted(map(tuple, keyed.join_facts(rows, facts, "k", "turn", []).collect()))
-    dealt = keyed.join_facts(rows, facts, "k", "turn", [1], 8)
+    dealt = keyed.join_facts(rows, facts, "k", "turn", hot, 8)
     assert sorted(map(tuple, dealt.collect())) == plain and dealt.columns == ["k", "turn", "fact"]
 
 

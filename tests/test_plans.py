@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from foliomill.operators import keyed
-from foliomill.plans import inputs
+from foliomill.plans import inputs, medallion
 
 QUERIES = spark_entry.queries()
 PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas", "FlatMapCoGroupsInArrow", "PythonMapInArrow")
@@ -68,8 +68,19 @@ def test_row_work_does_not_shuffle_by_key(spark, sf_dir, name):
     assert "hashpartitioning" not in plan_of(QUERIES[name](spark, sf_dir))
 
 
-def test_sliced_history_never_groups_by_key_alone(spark, sf_dir):
+def test_large_keys_are_grouped_by_slice(spark, sf_dir):
     events = inputs.event_changes(inputs.table(spark, sf_dir, "events"))
-    plan = plan_of(keyed.history_rows(events, ["user_id"], inputs.CHANGE_ORDER, 100))
-    wide = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line and "_slice" not in line]
-    assert len(wide) <= 1  # the table of first rows per slice
+    plan = plan_of(keyed.history_rows(events, ["user_id"], inputs.CHANGE_ORDER, 10))
+    assert "lead(ts" in plan and "Join" not in plan
+    shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line]
+    assert sum("_slice" not in line for line in shuffles) == 1  # the first values of the slices
+
+
+def test_pages_are_cut_once_and_split_once(spark, sf_dir):
+    assert plan_of(QUERIES["silver_pages"](spark, sf_dir)).count("map_from_entries") == 1
+    silver = medallion.silver_pages(inputs.document_files(spark, sf_dir), "txt")
+    assert plan_of(medallion.gold_chunks(silver)).count("ArrowEvalPython [") == 1
+
+
+def test_embedding_is_computed_once_per_chunk(spark, sf_dir):
+    assert plan_of(QUERIES["retrieve_chunks"](spark, sf_dir)).count("array_remove(lambda") == 1

@@ -53,15 +53,15 @@ def test_fixed_chunks_reject_overlap_of_size():
 def test_pages_round_trip(spark):
     text = "\n".join(f"p{i}" for i in range(12))
     df = spark.createDataFrame([(text.encode(),), (b"",)], "content binary")
-    pages = enrich.extract_text_pages(df)
-    assert [r[0] for r in pages.select(tx.join_pages(F.col("pages"))).collect()] == [text.replace("\n", ""), ""]
-    rows = enrich.explode_pages(pages.drop("content").limit(1)).collect()
+    pages = enrich.text_pages(F.col("content"))
+    assert [r[0] for r in df.select(tx.join_pages(pages)).collect()] == [text.replace("\n", ""), ""]
+    rows = enrich.explode_pages(df.limit(1), pages, []).collect()
     assert [(r.page_nr, r.page_ix) for r in rows] == [(str(i), i) for i in range(12)]
 
 
 def test_empty_and_null_maps_drop(spark):
     df = spark.createDataFrame([("a", {}), ("b", None), ("c", {"0": "x"})], "f string, pages map<string,string>")
-    assert [r.f for r in enrich.explode_pages(df).collect()] == ["c"]
+    assert [r.f for r in enrich.explode_pages(df, F.col("pages"), ["f"]).collect()] == ["c"]
 
 
 def test_hashed_embedding(spark):
