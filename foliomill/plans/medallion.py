@@ -12,6 +12,7 @@ from foliomill.functions.splitter import recursive_chunks
 from foliomill.functions.text import document_name, html_text
 from foliomill.operators.enrich import chunk_id, explode_chunks, explode_pages, parse_topic, text_pages, topic_json
 from foliomill.sources.files import suffix_filter, with_audit_time
+from foliomill.sources.tables import overwrite_table
 
 # Chunk size and overlap of the batch and the incremental tables.
 BATCH_CHUNKS = (475, 50)
@@ -56,20 +57,23 @@ def gold_chunks(silver: DataFrame, splitter: Splitter = batch_splitter, as_of: C
     return with_audit_time(keyed, "_datetime", as_of).drop("chunk_ix")
 
 
-def incremental_gold(current: DataFrame, suffix: str, splitter: Splitter = incremental_splitter) -> DataFrame:
-    """Current files to topic and chunks; the topic is worked out per document, before the chunks are exploded.
+def extracted_texts(files: DataFrame, suffix: str) -> DataFrame:
+    """Visible text in place of the bytes, for files with the suffix; later shuffles then move text only."""
+    texts = suffix_filter(files, "path", suffix).withColumn("extracted_text", html_text(F.decode("content", "UTF-8")))
+    return texts.drop("content")
+
+
+def topics_and_chunks(texts: DataFrame, splitter: Splitter = incremental_splitter) -> DataFrame:
+    """Texts to topic and chunks; the topic is worked out per document, before the chunks are exploded.
 
     The grain is ``(path, chunk_ix)``: a file has many chunks, so its path alone cannot be the key of an index.
     """
-    texts = suffix_filter(current, "path", suffix).withColumn("extracted_text", html_text(F.decode("content", "UTF-8")))
-    with_topic = parse_topic(texts.drop("content").withColumn("topic", topic_json(F.col("extracted_text"))))
+    with_topic = parse_topic(texts.withColumn("topic", topic_json(F.col("extracted_text"))))
     return explode_chunks(with_topic, splitter(F.col("extracted_text"))).withColumnRenamed("content_chunk", "chunked_text")
 
 
 def build_layers(files: DataFrame, layers: Layers, suffix: str, splitter: Splitter = batch_splitter) -> DataFrame:
     """Bronze, silver and gold, each stored before the next one reads it."""
-    from foliomill.sources.tables import overwrite_table
-
     bronze = overwrite_table(files, layers.bronze)
     silver = overwrite_table(silver_pages(bronze, suffix), layers.silver)
     return overwrite_table(gold_chunks(silver, splitter), layers.gold)

@@ -184,7 +184,8 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     small = lambda text: tx.fixed_chunks(text, *medallion.INCREMENTAL_CHUNKS)
-    gold = medallion.incremental_gold(inputs.on_all_cores(inputs.page_files(spark, sf_dir)), ".html", small)
+    texts = medallion.extracted_texts(inputs.on_all_cores(inputs.page_files(spark, sf_dir)), ".html")
+    gold = medallion.topics_and_chunks(texts, small)
     return gold.select("path", "length", "topic", "parsed_topic_str", "chunk_ix", "chunked_text")
 
 
