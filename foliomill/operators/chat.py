@@ -6,17 +6,16 @@ its pages are bounded all the same, and a thread is its pages in order.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomill.functions.text import is_blank, token_set
-from foliomill.operators.keyed import newest_per_key
+from foliomill.operators.keyed import join_facts, newest_per_key
 
 PAGE_TURNS = 256
 MEMORY_LIMIT = 10
-MEMORY_SALTS = 16
 MESSAGE = "struct<role:string,content:string>"
 
 # The markup of a rendered source list.
@@ -151,25 +150,24 @@ def stored_memories(puts: DataFrame, order: Sequence[str]) -> DataFrame:
 
 
 def search_memories(
-    memories: DataFrame, queries: DataFrame, limit: int = MEMORY_LIMIT, salts: int = MEMORY_SALTS, namespace: str = "memories"
+    memories: DataFrame,
+    queries: DataFrame,
+    hot: Mapping[int, int],
+    limit: int = MEMORY_LIMIT,
+    namespace: str = "memories",
 ) -> DataFrame:
-    """Best memories of each user for the user's query: ``user_id, key, data, score, rank``.
+    """Best memories of each user for the user's one query: ``user_id, key, data, score, rank``.
 
-    The score is the share of query tokens a memory contains. A user's memories are split over ``salts`` groups and
-    the one query row of the user is copied to each, so one busy user does not make one long task.
+    The score is the share of query tokens a memory contains. ``hot`` are the users with very many memories
+    (:func:`keyed.hot_keys`); theirs are dealt out over several groups.
     """
-    salted = (
-        memories.filter(F.col("namespace") == namespace)
-        .select("user_id", "key", "data", token_set(F.col("data")).alias("_m"))
-        .withColumn("_salt", F.pmod(F.xxhash64("key"), F.lit(salts)).cast("int"))
-    )
-    asked = queries.select("user_id", token_set(F.col("query")).alias("_q")).withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
-    )
+    kept = memories.filter(F.col("namespace") == namespace)
+    kept = kept.select("user_id", "key", "data", token_set(F.col("data")).alias("_m"))
+    asked = queries.select("user_id", token_set(F.col("query")).alias("_q"))
     score = F.when(F.size("_q") > 0, F.round(F.size(F.array_intersect("_q", "_m")) / F.size("_q"), 6)).otherwise(0.0)
     best = Window.partitionBy("user_id").orderBy(F.col("score").desc(), "key")
     return (
-        salted.join(asked, ["user_id", "_salt"])
+        join_facts(kept, asked, "user_id", "key", hot)
         .select("user_id", "key", "data", score.alias("score"))
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= limit)

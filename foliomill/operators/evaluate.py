@@ -137,6 +137,11 @@ def monitor_sample(requests: DataFrame, request_id: Column, rates: Mapping[str,
     return with_bucket
 
 
+def score_sampled(requests: DataFrame, keys: Sequence[str], scores: Mapping[str, Column]) -> DataFrame:
+    """Scores of sampled requests only: a judge outside its sample is not evaluated and leaves a null."""
+    return requests.select(*keys, *[F.when(F.col(f"sampled_{n}") == 1, score).alias(n) for n, score in scores.items()])
+
+
 def window_start(as_of: Column, minutes: int = TRACE_WINDOW_MINUTES) -> Column:
     """Start of the trace window before the time ``as_of``."""
     return as_of - F.expr(f"INTERVAL {int(minutes)} MINUTES")

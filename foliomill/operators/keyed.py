@@ -8,7 +8,7 @@ no task ever holds all rows of one key.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,7 +22,6 @@ ROWS_PER_SLICE = 2_000_000
 MAX_SLICES = 4096
 HOT_KEY_ROWS = 500_000
 MAX_HOT_KEYS = 1000
-HOT_KEY_SALTS = 64
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -35,31 +34,39 @@ def key_hash(keys: Sequence[str]) -> Column:
     return F.xxhash64(*keys)
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS) -> list[int]:
-    """Hashes of the largest keys, from ``min_rows`` rows up, at most 1000: any other key has under 1/1000 of the rows.
+def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS) -> dict[int, int]:
+    """Hash and row count of the largest keys, from ``min_rows`` rows up, at most 1000 of them, largest first.
 
-    Counting runs on the key columns alone, and only if the table is large enough to have such a key.
+    Any other key has under 1/1000 of the rows. Counting runs on the key columns alone, and only if the table is
+    large enough to have such a key.
     """
     if df.count() < min_rows:
-        return []
-    sizes = df.groupBy(key_hash(keys).alias("_key")).count().filter(F.col("count") >= min_rows)
-    return [r["_key"] for r in sizes.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()]
+        return {}
+    sizes = df.groupBy(key_hash(keys).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows)
+    return {r["_key"]: r["n"] for r in sizes.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect()}
 
 
 def join_facts(
-    rows: DataFrame, facts: DataFrame, key: str, spread_by: str, hot: Sequence[int], salts: int = HOT_KEY_SALTS
+    rows: DataFrame,
+    facts: DataFrame,
+    key: str,
+    spread_by: str,
+    hot: Mapping[int, int],
+    rows_per_salt: int = HOT_KEY_ROWS,
 ) -> DataFrame:
     """Inner join of many rows per key to one fact row per key.
 
-    Rows of the ``hot`` keys are dealt out over ``salts`` groups by ``spread_by`` and only those few facts are copied
-    to each group; all other keys join as they are.
+    Rows of the ``hot`` keys are dealt out by ``spread_by`` over as many groups as their number asks for, and only
+    those few facts are copied, once per group; all other keys join as they are.
     """
     if not hot:
         return rows.join(facts, key)
+    groups = F.create_map(*[F.lit(v) for k, n in hot.items() for v in (k, -(-n // rows_per_salt))])
     is_hot = key_hash([key]).isin(list(hot))
-    dealt = rows.withColumn("_salt", F.when(is_hot, F.pmod(F.xxhash64(spread_by), F.lit(salts))).otherwise(0).cast("int"))
-    copies = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return dealt.join(facts.withColumn("_salt", F.explode(copies)), [key, "_salt"]).drop("_salt")
+    n_groups = F.when(is_hot, F.element_at(groups, key_hash([key]))).otherwise(1)
+    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), n_groups).cast("int"))
+    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), (n_groups - 1).cast("int"))))
+    return dealt.join(copies, [key, "_salt"]).drop("_salt")
 
 
 def is_delete(change_type: str = "_change_type") -> Column:
@@ -123,7 +130,7 @@ def next_in_key(
     if not hot:
         return df.withColumn(output, F.lead(sequence).over(Window.partitionBy(*keys).orderBy(*order)))
 
-    is_hot = key_hash(keys).isin(hot)
+    is_hot = key_hash(keys).isin(list(hot))
     bounds = _slice_bounds(df.filter(is_hot), sequence, rows_per_slice)
     number = _slice_number(F.col(sequence), bounds, df.schema[sequence].dataType) if bounds else F.lit(0)
     sliced = df.withColumn("_slice", F.when(is_hot, number).otherwise(0)).withColumn("_closing", F.lit(False))

@@ -365,8 +365,9 @@ def statements() -> dict[str, str]:
         "recall_at_3": RECALL,
         "retrieve_chunks": question_hits(f"{chunk_text} FROM ({GOLD})", queries.TOP_K),
         "eval_allocation": f"""
-            SELECT doc_id, cast({queries.N_QUESTIONS} // count(*) OVER () AS bigint) + (row_number() OVER (ORDER BY md5(doc_id::varchar), doc_id)
-              <= {queries.N_QUESTIONS} % count(*) OVER ())::bigint AS n_questions FROM documents""",
+            SELECT doc_id, cast({queries.N_QUESTIONS} // count(*) OVER () AS bigint)
+              + (row_number() OVER (ORDER BY md5(doc_id::varchar), doc_id) <= {queries.N_QUESTIONS} % count(*) OVER ())::bigint
+              AS n_questions FROM documents""",
         "score_correctness": f"SELECT conv_id, turn, {CORRECTNESS} AS correctness FROM ({SETS}) JOIN ({EXPECTED}) USING (conv_id)",
         "score_sufficiency": f"SELECT conv_id, {SUFFICIENCY} AS sufficiency FROM ({EXPECTED}) JOIN ({CONTEXT}) USING (conv_id)",
         "score_relevance": f"SELECT conv_id, turn, {RELEVANCE} AS relevance FROM ({SETS})",
@@ -385,6 +386,14 @@ def statements() -> dict[str, str]:
             FROM ({SETS}) JOIN ({EXPECTED}) USING (conv_id) JOIN ({CONTEXT}) USING (conv_id) JOIN ({CHUNK_SETS}) USING (conv_id)
             LEFT JOIN (SELECT doc_id AS conv_id, 1 - toxic AS safety FROM labels) USING (conv_id)""",
         "monitor_sample": sampled(),
+        "monitor_scores": f"""
+            SELECT conv_id, turn, CASE WHEN sampled_safety = 1 THEN safety END AS safety,
+              CASE WHEN sampled_groundedness = 1 THEN {GROUNDED} END AS groundedness,
+              CASE WHEN sampled_relevance_to_query = 1 THEN {RELEVANCE} END AS relevance_to_query,
+              CASE WHEN sampled_chunk_relevance = 1 THEN {CHUNK_RELEVANCE} END AS chunk_relevance
+            FROM ({SETS}) JOIN ({sampled()}) USING (conv_id, turn) JOIN ({CONTEXT}) USING (conv_id)
+            JOIN ({CHUNK_SETS}) USING (conv_id)
+            LEFT JOIN (SELECT doc_id AS conv_id, 1 - toxic AS safety FROM labels) USING (conv_id)""",
         "trace_window": f"SELECT event_id, ts, 'OK' AS status FROM events WHERE event_type <> 'error' AND {RECENT}",
         "trace_counts": f"""
             SELECT CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'OK' END AS status, count(*) AS n_traces,

@@ -443,11 +443,16 @@ def score_guidelines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evaluate.score_guidelines(answers, "text", ["conv_id", "turn"])
 
 
+def _safe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = inputs.table(spark, sf_dir, "labels")
+    return labels.select(F.col("doc_id").alias("conv_id"), (1 - F.col("toxic")).alias("safety"))
+
+
 @query
 def score_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All scorers in one row per answered turn. The facts of a conversation meet first, the turns join them once."""
-    safe = inputs.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("conv_id"), (1 - F.col("toxic")).alias("safety"))
-    facts = inputs.expected_sets(spark, sf_dir).join(_contexts(spark, sf_dir), "conv_id").join(safe, "conv_id", "left")
+    facts = inputs.expected_sets(spark, sf_dir).join(_contexts(spark, sf_dir), "conv_id")
+    facts = facts.join(_safe(spark, sf_dir), "conv_id", "left")
     rows = _scored(spark, sf_dir, facts)
     q, a, e, c = (F.col(name) for name in ("q", "a", "e", "c"))
     rules = [evaluate.follows(r, F.col("answer")).cast("int").alias(r.name) for r in evaluate.GUIDELINES]
@@ -464,11 +469,29 @@ def score_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _request_id() -> Column:
+    return F.concat_ws("#", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
+
+
 @query
 def monitor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = _conversations(spark, sf_dir).filter("role = 'user'").select("conv_id", "turn")
-    request_id = F.concat_ws("#", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    return evaluate.monitor_sample(asked, request_id)
+    return evaluate.monitor_sample(asked, _request_id())
+
+
+@query
+def monitor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Continuous monitoring: each judge scores the requests of its own sample."""
+    facts = _contexts(spark, sf_dir).join(_safe(spark, sf_dir), "conv_id", "left")
+    requests = evaluate.monitor_sample(_scored(spark, sf_dir, facts), _request_id())
+    q, a, c = F.col("q"), F.col("a"), F.col("c")
+    scores = {
+        "safety": F.col("safety"),
+        "groundedness": evaluate.covered_share(a, c),
+        "relevance_to_query": evaluate.relevance(q, a),
+        "chunk_relevance": evaluate.chunk_relevance(q, F.col("cs")),
+    }
+    return evaluate.score_sampled(requests, ["conv_id", "turn"], scores)
 
 
 @query
@@ -615,7 +638,7 @@ def memory_put(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _memory_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = _conversations(spark, sf_dir).filter("role = 'user'").withColumn("user_id", F.col("conv_id") % inputs.N_USERS)
     last = keyed.newest_per_key(asked, ["user_id"], ["conv_id", "turn"]).select("user_id", F.col("text").alias("query"))
-    return chat.search_memories(_memories(spark, sf_dir), last)
+    return chat.search_memories(_memories(spark, sf_dir), last, keyed.hot_keys(asked, ["user_id"]))
 
 
 @query

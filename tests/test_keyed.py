@@ -152,11 +152,13 @@ def test_hot_keys_join_over_salts(spark):
     rows = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k int, turn int")
     facts = spark.createDataFrame([(k, f"f{k}") for k in range(0, 300, 2)] + [(1, "hot")], "k int, fact string")
     hot = keyed.hot_keys(rows, ["k"], 50)
-    assert hot == [r[0] for r in rows.filter("k = 1").select(keyed.key_hash(["k"])).distinct().collect()]
-    assert keyed.hot_keys(rows, ["k"], 301) == [] and keyed.hot_keys(rows, ["k"], 250) == []
-    plain = sorted(map(tuple, keyed.join_facts(rows, facts, "k", "turn", []).collect()))
-    dealt = keyed.join_facts(rows, facts, "k", "turn", hot, 8)
-    assert sorted(map(tuple, dealt.collect())) == plain and dealt.columns == ["k", "turn", "fact"]
+    one = rows.filter("k = 1").select(keyed.key_hash(["k"])).first()[0]
+    assert hot == {one: 201 - 1}
+    assert keyed.hot_keys(rows, ["k"], 301) == {} and keyed.hot_keys(rows, ["k"], 250) == {}
+    plain = sorted(map(tuple, keyed.join_facts(rows, facts, "k", "turn", {}).collect()))
+    for rows_per_salt in (7, 150, 1000):
+        dealt = keyed.join_facts(rows, facts, "k", "turn", hot, rows_per_salt)
+        assert sorted(map(tuple, dealt.collect())) == plain and dealt.columns == ["k", "turn", "fact"]
 
 
 def test_broken_keys_stop_the_job(spark):
