@@ -2,13 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from foliomill.session import fresh_path
+
 SALTS = 16
 
 
-def text_classes(docs: DataFrame, id_column: str, text_column: str, salts: int = SALTS) -> DataFrame:
+def sha256(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def text_classes(
+    docs: DataFrame, id_column: str, text_column: str, salts: int = SALTS, digest: Callable[[Column], Column] = sha256
+) -> DataFrame:
     """One row per different text: ``_digest, _text, _keep, _n`` (largest id, number of rows).
 
     The grouping key holds the text itself beside its digest, so equal digests alone never merge rows. The salt is the
@@ -18,7 +28,7 @@ def text_classes(docs: DataFrame, id_column: str, text_column: str, salts: int =
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     rows = docs.select(
-        F.sha2(text, 256).alias("_digest"),
+        digest(text).alias("_digest"),
         text.alias("_text"),
         F.col(id_column).alias("_id"),
         F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt"),
@@ -29,33 +39,47 @@ def text_classes(docs: DataFrame, id_column: str, text_column: str, salts: int =
     return merged.groupBy("_digest", "_text").agg(F.max("_keep").alias("_keep"), F.sum("_n").alias("_n"))
 
 
-def exact_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", salts: int = SALTS) -> DataFrame:
+def exact_duplicates(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    salts: int = SALTS,
+    digest: Callable[[Column], Column] = sha256,
+) -> DataFrame:
     """One row per input row: ``<id_column>, keep_id, group_size, kept, text_sha256``.
 
     ``keep_id`` is the largest id among the rows of an equal text. Null text counts as empty. Ids that are null are
     smaller than any other; a group with null ids only has a null ``keep_id``. Of rows repeated with the same id and
     text exactly one is kept. An empty table gives an empty result; other columns are not read.
+
+    Every row of a digest goes into the comparison of whole texts. Digests under which all texts turned out equal are
+    then enough to find a row's group; if ``digest`` ever gives one value to different texts, those rows are found by text.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
-    classes = text_classes(docs, id_column, text_column, salts)
+    spark = docs.sparkSession
+    classes = text_classes(docs, id_column, text_column, salts, digest)
     per_digest = classes.groupBy("_digest").agg(
         F.count("*").alias("_texts"), F.max("_keep").alias("keep_id"), F.max("_n").alias("group_size")
     )
-    rows = docs.select(F.col(id_column).alias("_id"), F.sha2(text, 256).alias("_digest"))
+    per_digest.write.parquet(groups := fresh_path(spark, "exact-groups"))
+    per_digest = spark.read.schema(per_digest.schema).parquet(groups)
+    clashing = per_digest.filter("_texts > 1").select("_digest")
+
+    rows = docs.select(F.col(id_column).alias("_id"), digest(text).alias("_digest"), sha256(text).alias("text_sha256"))
     same_row = Window.partitionBy("_digest", "_id").orderBy("_digest")
     rows = rows.withColumn("_copy", F.row_number().over(same_row))
-    # every row of a digest went into its classes: with one class, all its texts have been found equal
-    proven = rows.join(per_digest.filter("_texts = 1").drop("_texts"), "_digest")
-    clashing = per_digest.filter("_texts > 1").select("_digest")
-    found = classes.join(clashing, "_digest", "left_semi").withColumnsRenamed({"_keep": "keep_id", "_n": "group_size"})
-    unproven = docs.select(F.col(id_column).alias("_id"), F.sha2(text, 256).alias("_digest"), text.alias("_text"))
-    unproven = unproven.join(clashing, "_digest", "left_semi")
-    same_text = Window.partitionBy("_digest", "_text", "_id").orderBy("_digest")
-    unproven = unproven.withColumn("_copy", F.row_number().over(same_text)).join(found, ["_digest", "_text"]).drop("_text")
-    return proven.unionByName(unproven).select(
+    found = rows.join(per_digest.filter("_texts = 1").drop("_texts"), "_digest")
+    if not clashing.isEmpty():
+        texts = docs.select(F.col(id_column).alias("_id"), digest(text).alias("_digest"), text.alias("_text"))
+        same_text = Window.partitionBy("_digest", "_text", "_id").orderBy("_digest")
+        texts = texts.join(clashing, "_digest", "left_semi").withColumn("_copy", F.row_number().over(same_text))
+        owners = classes.withColumnsRenamed({"_keep": "keep_id", "_n": "group_size"})
+        texts = texts.join(owners, ["_digest", "_text"]).withColumn("text_sha256", sha256(F.col("_text")))
+        found = found.unionByName(texts.drop("_text"))
+    return found.select(
         F.col("_id").alias(id_column),
         "keep_id",
         F.col("group_size").cast("long").alias("group_size"),
         (F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)).alias("kept"),
-        F.col("_digest").alias("text_sha256"),
+        "text_sha256",
     )
