@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliomill.llm.bpe import encoded_digests
 from foliomill.llm.exact_dup import exact_duplicates
+from foliomill.llm.token_count import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -23,6 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer(name: str) -> str:
+    """Path of a public vocabulary file; the same on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query
+def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encoded_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
@@ -33,3 +47,8 @@ SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_siz
        doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
 FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
