@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliomill.llm.bpe import encoded_digests
 from foliomill.llm.exact_dup import exact_duplicates
 from foliomill.llm.token_count import token_counts
+from foliomill.llm.warc import archive_round_trip
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -37,6 +38,24 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+SQL["op5_warc_archives"] = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS body, octet_length(encode(coalesce(html, ''))) AS n FROM pages
+), o AS (
+  SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY body) ELSE page_id END AS own FROM p
+)
+SELECT page_id, n AS payload_bytes, sha1(body) AS payload_digest,
+       CASE WHEN own = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN own <> page_id THEN own END AS refers_to
+FROM o
+"""
+
+
 @query
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(table(spark, sf_dir, "documents"))
