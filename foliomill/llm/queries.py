@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foliomill.llm.bpe import encoded_digests
 from foliomill.llm.exact_dup import exact_duplicates
+from foliomill.llm.quality import learn, quality_scores
 from foliomill.llm.token_count import token_counts
 from foliomill.llm.warc import archive_round_trip
 
@@ -68,6 +69,12 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+@query
+def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality_scores(docs, learn(docs, table(spark, sf_dir, "labels")))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
