@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliomill.llm.bpe import encoded_digests
+from foliomill.llm.decontaminate import contamination
 from foliomill.llm.exact_dup import exact_duplicates
 from foliomill.llm.quality import learn, quality_scores
 from foliomill.llm.token_count import token_counts
@@ -39,6 +40,49 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("item_ids", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+SQL["op4_decontaminate"] = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{LETTERS.upper()}', '{LETTERS}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{LETTERS.upper()}', '{LETTERS}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, len(v) AS n, array_to_string(v, ' ') AS g FROM (
+    SELECT item_id, w[s : s + 9] AS v
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s FROM b WHERE len(w) > 0)
+  )
+), lengths AS (SELECT DISTINCT n FROM bw), dw AS (
+  SELECT doc_id, s, n, array_to_string(w[s : s + n - 1], ' ') AS g
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s FROM d CROSS JOIN lengths WHERE len(w) >= n)
+), hits AS (
+  SELECT doc_id, s, dw.n, item_id FROM dw JOIN bw USING (g) WHERE dw.n = bw.n
+), words AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hits) GROUP BY doc_id
+), items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  FROM (SELECT DISTINCT doc_id, cast(item_id AS varchar) AS i FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 @query
 def op5_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_round_trip(spark, table(spark, sf_dir, "pages"))
