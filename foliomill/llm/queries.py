@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from foliomill.llm.bpe import encoded_digests
 from foliomill.llm.decontaminate import contamination
 from foliomill.llm.exact_dup import exact_duplicates
+from foliomill.llm.near_dup import near_duplicates
 from foliomill.llm.quality import learn, quality_scores
 from foliomill.llm.token_count import token_counts
 from foliomill.llm.url_lists import active_entries, url_host, url_key
@@ -41,6 +42,11 @@ def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+@query
+def op3_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
