@@ -89,8 +89,6 @@ class ByteBpe:
     def learn(self, words: Iterable[str]) -> None:
         """Encode distinct words depth-first over their trie; in sorted order each node is entered once."""
         ids, longest, stands, apart = self.ids, self.longest, self.stands, self.stand_apart
-        if len(self.known) >= CACHE_WORDS:
-            self.known.clear()
         last: list[int] = [-1]  # last token of each prefix on the path
         size: list[int] = [0]  # its length
         path = b""
@@ -124,22 +122,17 @@ class ByteBpe:
         for text in texts:
             parts = self.cut.split(text) if self.cut else [text]
             cut.append([struct.pack("<I", self.special[p]) if p in self.special else WORDS.findall(p) for p in parts if p])
+        if len(self.known) >= CACHE_WORDS:
+            self.known.clear()
         fresh: set[str] = set().union(*(p for parts in cut for p in parts if isinstance(p, list)))
         fresh.difference_update(self.known)
         self.learn(fresh)
         known = self.known
-        if len(known) >= CACHE_WORDS or any(len(w) > LONG_WORD for w in fresh):
-            out = [b"".join(p if isinstance(p, bytes) else b"".join(self._of(p)) for p in parts) for parts in cut]
-            for w in [w for w in fresh if len(w) > LONG_WORD]:
-                del known[w]
-            return out
-        return [b"".join(p if isinstance(p, bytes) else b"".join(map(known.__getitem__, p)) for p in parts) for parts in cut]
-
-    def _of(self, words: list[str]) -> Iterator[bytes]:
-        for w in words:
-            if w not in self.known:
-                self.learn([w])
-            yield self.known[w]
+        out = [b"".join(p if isinstance(p, bytes) else b"".join(map(known.__getitem__, p)) for p in parts) for parts in cut]
+        for word in fresh:
+            if len(word) > LONG_WORD:
+                del known[word]
+        return out
 
     def decode(self, ids: bytes) -> str:
         """Text of ids; bytes that aren't UTF-8 become U+FFFD."""
