@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from foliomill.llm import ngram_lm
 from foliomill.llm.bpe import encoded_digests
 from foliomill.llm.decontaminate import contamination
 from foliomill.llm.exact_dup import exact_duplicates
@@ -37,6 +38,12 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query
+def op1_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ngram_lm.score_texts(docs, ngram_lm.learn(docs))
+
+
 @query
 def op2_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
