@@ -13,6 +13,7 @@ from foliomill.llm.decontaminate import contamination
 from foliomill.llm.exact_dup import exact_duplicates
 from foliomill.llm.near_dup import near_duplicates
 from foliomill.llm.quality import learn, quality_scores
+from foliomill.llm.repeats import remove_repeats
 from foliomill.llm.token_count import token_counts
 from foliomill.llm.url_lists import active_entries, url_host, url_key
 from foliomill.llm.warc import archive_round_trip
@@ -133,6 +134,12 @@ def op7_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
+@query
+def op8_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
