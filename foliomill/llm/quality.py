@@ -221,3 +221,16 @@ def quality_scores(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(docs: DataFrame, network: Network, threshold: float = 0.7, text_column: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns, whose text scores at least ``threshold``; nothing is shuffled."""
+    at = docs.columns.index(text_column)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in small_batches(batch, BATCH_ROWS):
+                texts = [t or b"" for t in part.column(at).cast(pa.binary()).to_pylist()]
+                yield part.filter(pa.array(probabilities(network, texts) >= threshold))
+
+    return docs.mapInArrow(keep, docs.schema)
