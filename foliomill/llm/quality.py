@@ -27,6 +27,7 @@ PIECE_HOPS = 2048  # bytes / HOP that go through the filters at once
 SAMPLE_PER_CLASS = 2000  # labelled rows that the network is fitted on, at most
 SAMPLE_CHARS = 8192  # contiguous characters of such a row, from a place given by its id
 EPOCHS = 10
+LEAST_STEPS = 500  # so that a small sample is learned too
 BATCH = 32
 RATE = 0.004
 
@@ -140,6 +141,7 @@ def gradients(net: Network, texts: Sequence[bytes], labels: np.ndarray, weights:
 def fit(texts: Sequence[bytes], labels: np.ndarray, weights: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Network:
     """Adam over shuffled batches; the same input gives the same network."""
     net, rng = new_network(seed), np.random.default_rng(seed)
+    epochs = max(epochs, -(-LEAST_STEPS // -(-len(texts) // BATCH)))
     first, second, t = [np.zeros_like(x) for x in net], [np.zeros_like(x) for x in net], 0
     for epoch in range(epochs):
         order = rng.permutation(len(texts))
