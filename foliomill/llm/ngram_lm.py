@@ -32,7 +32,7 @@ HASHES = 4
 BLOCKS = 4096  # most pieces that the filter is put together from
 SEGMENT_TOKENS = 1 << 21  # tokens of the corpus per segment whose n-grams one task counts
 HEAVY_TOKENS = 1 << 20  # most tokens that are sent to every worker with exact counts
-FLUSH = 1 << 22  # n-grams that a task combines before it passes them on
+FLUSH = 3 << 20  # n-grams that a task combines before it passes them on
 PRIOR = 3.0  # weight of the lower order, in occurrences of the history
 _LOW = np.uint64((1 << 48) - 1)
 
@@ -245,7 +245,7 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     shape = Shape(segment_bits, block_bits, bits - block_bits)
     packed = _pair_segments(texts, shape).unionByName(_token_segments(unigrams, shape))
     data = np.zeros((1 << block_bits, (1 << shape.size_bits) // 8), np.uint8)
-    for row in _filter_blocks(packed, shape, (first, second)).collect():
+    for row in stored(_filter_blocks(packed, shape, (first, second)), "filter-blocks").toLocalIterator():
         data[row["_block"]] = np.frombuffer(row["_bits"], np.uint8)
     heavy = words.filter(F.col("_n") > n_tokens / HEAVY_TOKENS).toPandas().sort_values("_key")
     shared = spark.sparkContext.broadcast((data.reshape(-1), heavy["_key"].to_numpy(np.int64), heavy["_n"].to_numpy(np.int64)))

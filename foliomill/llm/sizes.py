@@ -8,7 +8,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 BATCH_ROWS = 256
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 
 
 def small_batches(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
