@@ -6,13 +6,13 @@ its pages are bounded all the same, and a thread is its pages in order.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomill.functions.text import is_blank, token_set
-from foliomill.operators.keyed import join_facts, newest_per_key
+from foliomill.operators.keyed import newest_per_key
 
 PAGE_TURNS = 256
 MEMORY_LIMIT = 10
@@ -152,14 +152,13 @@ def stored_memories(puts: DataFrame, order: Sequence[str]) -> DataFrame:
 def search_memories(
     memories: DataFrame,
     queries: DataFrame,
-    hot: Mapping[int, int],
     limit: int = MEMORY_LIMIT,
     namespace: str = "memories",
 ) -> DataFrame:
     """Best memories of each user for the user's one query: ``user_id, key, data, score, rank``.
 
-    The score is the share of query tokens a memory contains. ``hot`` are the users with very many memories
-    (:func:`keyed.hot_keys`); theirs are dealt out over several groups.
+    The score is the share of query tokens a memory contains. Each user has one query row, so the memories of a busy
+    user can be dealt out over several tasks of the join at run time.
     """
     kept = memories.filter(F.col("namespace") == namespace)
     kept = kept.select("user_id", "key", "data", token_set(F.col("data")).alias("_m"))
@@ -167,7 +166,7 @@ def search_memories(
     score = F.when(F.size("_q") > 0, F.round(F.size(F.array_intersect("_q", "_m")) / F.size("_q"), 6)).otherwise(0.0)
     best = Window.partitionBy("user_id").orderBy(F.col("score").desc(), "key")
     return (
-        join_facts(kept, asked, "user_id", "key", hot)
+        kept.join(asked, "user_id")
         .select("user_id", "key", "data", score.alias("score"))
         .withColumn("rank", F.row_number().over(best))
         .filter(F.col("rank") <= limit)

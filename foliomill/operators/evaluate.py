@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # Sampling rates of the continuous monitor and the trace window.
@@ -46,6 +46,18 @@ def chunk_relevance(question: Column, chunks: Column) -> Column:
     return _share(hits, F.size(question) * F.size(chunks))
 
 
+def where_known(score: Column, *needed: str) -> Column:
+    """The score where everything that it needs is there, else null."""
+    there = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in needed])
+    return F.when(there, score)
+
+
+def missing_reason(**needed: str) -> Column:
+    """What is missing, as text per column name; null if nothing is."""
+    found = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(text)) for c, text in needed.items()]))
+    return F.when(F.size(found) > 0, F.array_join(found, ", "))
+
+
 @dataclass(frozen=True)
 class Guideline:
     """Phrase rule on a response: ``must`` tells whether the pattern has to occur or must not."""
@@ -155,3 +167,17 @@ def window_start_ms(as_of_ms: int, minutes: int = TRACE_WINDOW_MINUTES) -> Colum
 def recent_traces(traces: DataFrame, time: str, status: str, start: Column) -> DataFrame:
     """Successful traces after ``start``, newest first. A literal ``start`` reaches the scan."""
     return traces.filter((F.col(time) > start) & (F.col(status) == "OK")).orderBy(F.col(time).desc())
+
+
+def ranked_traces(traces: DataFrame, time: str, key: str) -> DataFrame:
+    """Add ``rank``: the place of a trace from the newest on, ties by key.
+
+    Traces are ranked within the hour and hours by their counts, so no task sees more than one hour of traces.
+    """
+    hourly = traces.withColumn("_hour", F.date_trunc("hour", time))
+    sizes = hourly.groupBy("_hour").agg(F.count(F.lit(1)).alias("_n"))
+    newer = Window.orderBy(F.col("_hour").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_hour", F.coalesce(F.sum("_n").over(newer), F.lit(0)).alias("_before"))
+    inside = Window.partitionBy("_hour").orderBy(F.col(time).desc(), key)
+    ranked = hourly.join(offsets, "_hour").withColumn("rank", F.row_number().over(inside) + F.col("_before"))
+    return ranked.drop("_hour", "_before")

@@ -1,27 +1,22 @@
 """Operators that match rows by key: newest row, change feeds, current and history tables, key checks, merges.
 
 Any key may own a large share of the rows. Newest-row selection is therefore an aggregation, which leaves one row
-per key and task before the shuffle, and history intervals are computed inside slices of the order column, so that
-no task ever holds all rows of one key.
+per key and task before the shuffle, and history intervals are computed inside ranges of key and order, so that no task
+ever holds all rows of one key.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType
 
-from foliomill.functions.text import let
+from foliomill.session import fresh_path
+from foliomill.sources.tables import overwrite_table
 
 CHANGE_COLUMNS = ("_change_type", "_commit_version", "_commit_timestamp")
-ROWS_PER_SLICE = 2_000_000
-MAX_SLICES = 4096
-HOT_KEY_ROWS = 500_000
-MAX_HOT_KEYS = 1000
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -30,45 +25,6 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(F.max_by(row, F.struct(*order)).alias("_row")).select("_row.*")
 
 
-def key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*keys)
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], min_rows: int = HOT_KEY_ROWS) -> dict[int, int]:
-    """Hash and row count of the largest keys, from ``min_rows`` rows up, at most 1000 of them, largest first.
-
-    Any other key has under 1/1000 of the rows. Counting runs on the key columns alone, and only if the table is
-    large enough to have such a key.
-    """
-    if df.count() < min_rows:
-        return {}
-    sizes = df.groupBy(key_hash(keys).alias("_key")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_rows)
-    return {r["_key"]: r["n"] for r in sizes.orderBy(F.desc("n")).limit(MAX_HOT_KEYS).collect()}
-
-
-def join_facts(
-    rows: DataFrame,
-    facts: DataFrame,
-    key: str,
-    spread_by: str,
-    hot: Mapping[int, int],
-    rows_per_salt: int = HOT_KEY_ROWS,
-) -> DataFrame:
-    """Inner join of many rows per key to one fact row per key.
-
-    Rows of the ``hot`` keys are dealt out by ``spread_by`` over as many groups as their number asks for, and only
-    those few facts are copied, once per group; all other keys join as they are.
-    """
-    if not hot:
-        return rows.join(facts, key)
-    groups = F.create_map(*[F.lit(v) for k, n in hot.items() for v in (k, -(-n // rows_per_salt))])
-    is_hot = key_hash([key]).isin(list(hot))
-    n_groups = F.when(is_hot, F.element_at(groups, key_hash([key]))).otherwise(1)
-    dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(spread_by), n_groups).cast("int"))
-    copies = facts.withColumn("_salt", F.explode(F.sequence(F.lit(0), (n_groups - 1).cast("int"))))
-    return dealt.join(copies, [key, "_salt"]).drop("_salt")
-
-
 def is_delete(change_type: str = "_change_type") -> Column:
     return F.lower(F.col(change_type)) == "delete"
 
@@ -89,113 +45,81 @@ def current_rows(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
     return latest.filter(~F.coalesce(is_delete(), F.lit(False))).drop(*CHANGE_COLUMNS)
 
 
-def _slice_bounds(rows: DataFrame, sequence: str, rows_per_slice: int) -> list:
-    """Quantiles of the order column that cut the rows into slices of about ``rows_per_slice``."""
-    wanted = min(MAX_SLICES, -(-rows.count() // rows_per_slice))
-    grid = [i / wanted for i in range(1, wanted)]
-    if not grid:
-        return []
-    quantiles = rows.agg(F.percentile_approx(sequence, grid, max(10_000, 20 * wanted))).first()[0]
-    return sorted(set(quantiles or []))
-
-
-def _slice_number(value: Column, bounds: list, kind: DataType) -> Column:
-    """How many bounds are at or below ``value``, found in two steps of about the root of their number each."""
-    width = math.isqrt(len(bounds) - 1) + 1
-
-    def listed(picked: list) -> Column:
-        return F.array(*[F.lit(b).cast(kind) for b in picked])
-
-    def reached(cuts: Column) -> Column:
-        return F.size(F.filter(cuts, lambda cut: cut <= value))
-
-    def refine(block: Column) -> Column:
-        before = (block - 1) * width
-        return F.when(block == 0, 0).otherwise(before + reached(F.slice(listed(bounds), F.greatest(before, F.lit(0)) + 1, F.lit(width))))
-
-    return let(reached(listed(bounds[::width])), refine)
-
-
-def next_in_key(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], output: str, rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], output: str, slices: int | None = None) -> DataFrame:
     """Add ``output``: the value of ``order[0]`` in the following row of the same key.
 
-    A key with more than ``rows_per_slice`` rows is cut into slices of the order column, each a group of its own. A
-    closing row at the end of a slice carries the first value of the key's next filled slice, so the window finds it
-    in place; there are at most 1000 such keys and 4096 slices.
+    Rows are range-partitioned by key and whole order, so a large key spans as many partitions as its share of the rows
+    asks for. Every partition is a slice with windows of its own; a closing row at the end of a key's part carries the
+    first value of its next part. The slices are stored once, because both steps must see the same ones.
     """
     sequence = order[0]
-    hot = hot_keys(df, keys, rows_per_slice)
-    if not hot:
-        return df.withColumn(output, F.lead(sequence).over(Window.partitionBy(*keys).orderBy(*order)))
-
-    is_hot = key_hash(keys).isin(list(hot))
-    bounds = _slice_bounds(df.filter(is_hot), sequence, rows_per_slice)
-    number = _slice_number(F.col(sequence), bounds, df.schema[sequence].dataType) if bounds else F.lit(0)
-    sliced = df.withColumn("_slice", F.when(is_hot, number).otherwise(0)).withColumn("_closing", F.lit(False))
-    firsts = sliced.filter(is_hot).groupBy(*keys, "_slice").agg(F.min(sequence).alias("_first"))
+    by = [F.col(c) for c in (*keys, *order)]
+    ranged = df.repartitionByRange(slices, *by) if slices else df.repartitionByRange(*by)
+    sliced = overwrite_table(ranged.withColumn("_slice", F.spark_partition_id()), fresh_path(df.sparkSession, "slices"))
+    firsts = sliced.groupBy(*keys, "_slice").agg(F.min(F.struct(*order)).getField(sequence).alias("_first"))
     closing = (
         firsts.withColumn(sequence, F.lead("_first").over(Window.partitionBy(*keys).orderBy("_slice")))
         .filter(F.col(sequence).isNotNull())
         .select(*keys, "_slice", sequence, F.lit(True).alias("_closing"))
     )
-    within = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    within = Window.partitionBy(*keys, "_slice").orderBy(F.col("_closing"), *order)
     return (
-        sliced.unionByName(closing, allowMissingColumns=True)
+        sliced.withColumn("_closing", F.lit(False))
+        .unionByName(closing, allowMissingColumns=True)
         .withColumn(output, F.lead(sequence).over(within))
         .filter(~F.col("_closing"))
         .drop("_slice", "_closing")
     )
 
 
-def history_rows(
-    changes: DataFrame, keys: Sequence[str], order: Sequence[str], rows_per_slice: int = ROWS_PER_SLICE
-) -> DataFrame:
+def history_rows(changes: DataFrame, keys: Sequence[str], order: Sequence[str], slices: int | None = None) -> DataFrame:
     """Every version of every key with its validity. A deletion closes the version before it and adds no row."""
-    versions = next_in_key(drop_preimages(changes), keys, order, "__END_AT", rows_per_slice)
+    versions = next_in_key(drop_preimages(changes), keys, order, "__END_AT", slices)
     live = versions.filter(~F.coalesce(is_delete(), F.lit(False)))
     return live.withColumn("__START_AT", F.col(order[0])).drop(*CHANGE_COLUMNS)
 
 
-def _side(values: Sequence[str], side: str) -> Column:
-    return F.max(F.when(F.col("_side") == side, F.struct(*values)))
-
+def _fingerprints(df: DataFrame, keys: Sequence[str], values: Sequence[str], side: str) -> DataFrame:
+    """Two hashes of the values per key, and how many rows have it; combined before the shuffle, without the values."""
+    first, second = F.xxhash64(*values), F.xxhash64(F.hash(*values), *reversed(values))
+    marks = df.select(*keys, first.alias("a"), second.alias("b"))
+    return marks.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias(f"_n_{side}"), F.struct(F.max("a").alias("a"), F.max("b").alias("b")).alias(f"_{side}")
+    )
 
-def paired_sides(old: DataFrame, new: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
-    """One row per key with the structs ``old`` and ``new``, null where the side lacks the key.
 
-    A union and one aggregation stand in for a full outer join: repeated keys are folded before the shuffle
-    (the greatest row stays) instead of multiplying.
-    """
-    columns = [*keys, *values]
-    both = old.select(*columns, F.lit("old").alias("_side")).unionByName(new.select(*columns, F.lit("new").alias("_side")))
-    return both.groupBy(*keys).agg(_side(values, "old").alias("old"), _side(values, "new").alias("new"))
+def changed_keys(old: DataFrame, new: DataFrame, keys: Sequence[str], values: Sequence[str]) -> DataFrame:
+    """``keys, _kind`` (``insert``, ``delete`` or ``update``) of the keys whose rows differ. A repeated key stops the job:
+    a feed cannot tell which of its rows became which."""
+    both = _fingerprints(old, keys, values, "old").join(_fingerprints(new, keys, values, "new"), list(keys), "full_outer")
+    repeated = (F.coalesce("_n_old", F.lit(0)) > 1) | (F.coalesce("_n_new", F.lit(0)) > 1)
+    message = F.concat(F.lit("key occurs more than once in a snapshot: "), F.to_json(F.struct(*keys)))
+    kind = (
+        F.when(repeated, F.raise_error(message).cast("string"))
+        .when(F.col("_n_old").isNull(), "insert")
+        .when(F.col("_n_new").isNull(), "delete")
+        .when(F.col("_old") != F.col("_new"), "update")
+    )
+    return both.select(*keys, kind.alias("_kind")).filter(F.col("_kind").isNotNull())
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str], commit_version: int) -> DataFrame:
-    """Row changes that turn snapshot ``old`` into snapshot ``new``."""
+    """Row changes that turn snapshot ``old`` into snapshot ``new``; keys are unique and not null on both sides.
+
+    Keys and hashes meet first; whole rows are only fetched for the keys that changed.
+    """
     values = [c for c in new.columns if c not in keys]
+    changed = changed_keys(old, new, keys, values)
 
-    def change(kind: str, row: Column) -> Column:
-        return F.struct(F.lit(kind).alias("kind"), row.alias("row"))
+    def rows(side: DataFrame, kinds: dict[str, str]) -> DataFrame:
+        names = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])
+        met = side.join(changed.filter(F.col("_kind").isin(list(kinds))), list(keys))
+        return met.select(*keys, *values, names[F.col("_kind")].alias("_change_type"))
 
-    changes = (
-        F.when(F.col("old").isNull(), F.array(change("insert", F.col("new"))))
-        .when(F.col("new").isNull(), F.array(change("delete", F.col("old"))))
-        .otherwise(F.array(change("update_preimage", F.col("old")), change("update_postimage", F.col("new"))))
-    )
-    return (
-        paired_sides(old, new, keys, values)
-        .filter(~F.col("old").eqNullSafe(F.col("new")))
-        .select(*keys, F.explode(changes).alias("change"))
-        .select(
-            *keys,
-            *[F.col(f"change.row.{c}").alias(c) for c in values],
-            F.col("change.kind").alias("_change_type"),
-            F.lit(commit_version).cast("bigint").alias("_commit_version"),
-        )
+    feed = rows(old, {"delete": "delete", "update": "update_preimage"}).unionByName(
+        rows(new, {"insert": "insert", "update": "update_postimage"})
     )
+    return feed.withColumn("_commit_version", F.lit(commit_version).cast("bigint"))
 
 
 def apply_feed(old: DataFrame, feed: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -21,12 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def on_all_cores(df: DataFrame) -> DataFrame:
-    """Spread rows that come from fewer splits than there are cores; a scan with enough splits stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def as_of() -> Column:
     return F.lit(AS_OF).cast("timestamp_ntz")
 
@@ -93,14 +87,22 @@ def answered_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def expected_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected response of a conversation: the document with its number, tokenised once per document."""
-    docs = on_all_cores(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    """Expected response of a conversation: the document with its number, if it is labelled as good; token sets are only
+    made for documents that a conversation asks for."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    good = table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    docs = docs.join(good.join(_asked(spark, sf_dir, "doc_id"), "doc_id", "left_semi"), "doc_id", "left_semi")
     return docs.select(F.col("doc_id").alias("conv_id"), token_set(F.col("text")).alias("e"))
 
 
+def _asked(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return table(spark, sf_dir, "conversations").filter("role = 'user'").select(F.col("conv_id").alias(name)).distinct()
+
+
 def context_sets(spark: SparkSession, sf_dir: str, size: int, overlap: int) -> DataFrame:
     """Retrieved context of a conversation: the web page with its number, as one token set and per chunk."""
-    pages = on_all_cores(table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "html")
+    pages = pages.join(_asked(spark, sf_dir, "page_id"), "page_id", "left_semi")
     pages = pages.select(F.col("page_id").alias("conv_id"), html_text(F.col("html")).alias("t"))
     return pages.select(
         "conv_id",

@@ -148,7 +148,7 @@ ANSWERED = """
     SELECT q.conv_id, q.turn, q.text AS question, a.text AS answer FROM conversations q
     JOIN conversations a ON a.conv_id = q.conv_id AND a.turn = q.turn + 1 AND a.role = 'assistant' WHERE q.role = 'user'"""
 SETS = f"SELECT conv_id, turn, answer, {word_set('question')} AS q, {word_set('answer')} AS a FROM ({ANSWERED})"
-EXPECTED = f"SELECT doc_id AS conv_id, {word_set('text')} AS e FROM documents"
+EXPECTED = f"SELECT doc_id AS conv_id, {word_set('text')} AS e FROM documents JOIN labels USING (doc_id) WHERE quality = 1"
 CONTEXT = f"SELECT page_id AS conv_id, {word_set('t')} AS c FROM ({PAGES})"
 CHUNK_SETS = f"""
     SELECT conv_id, list({word_set("content_chunk")} ORDER BY chunk_ix) AS cs
@@ -160,7 +160,15 @@ def common(a: str, b: str) -> str:
 
 
 def share(part: str, whole: str) -> str:
-    return f"CASE WHEN {whole} > 0 THEN round(({part}) / ({whole})::double, 6) ELSE 0.0 END"
+    """Null where a side is missing."""
+    return f"CASE WHEN {part} IS NULL OR {whole} IS NULL THEN NULL WHEN {whole} > 0 THEN round(({part}) / ({whole})::double, 6) ELSE 0.0 END"
+
+
+def reason(**needed: str) -> str:
+    return "nullif(concat_ws(', ', " + ", ".join(f"CASE WHEN {c} IS NULL THEN {quote(t)} END" for c, t in needed.items()) + "), '') AS reason"
+
+
+NO_E, NO_C = "no expected response", "no context"
 
 
 CORRECTNESS = share(f"2 * {common('a', 'e')}", "(len(a) + len(e))")
@@ -168,6 +176,7 @@ SUFFICIENCY = share(common("e", "c"), "len(e)")
 RELEVANCE = share(common("q", "a"), f"(len(q) + len(a) - {common('q', 'a')})")
 GROUNDED = share(common("a", "c"), "len(a)")
 CHUNK_RELEVANCE = share(f"list_sum(list_transform(cs, lambda x: {common('q', 'x')}))", "(len(q) * len(cs))")
+SAFETY = "SELECT doc_id AS conv_id, 1 - toxic AS safety FROM labels"
 
 
 def follows(rule: evaluate.Guideline, text: str) -> str:
@@ -368,12 +377,15 @@ def statements() -> dict[str, str]:
             SELECT doc_id, cast({queries.N_QUESTIONS} // count(*) OVER () AS bigint)
               + (row_number() OVER (ORDER BY md5(doc_id::varchar), doc_id) <= {queries.N_QUESTIONS} % count(*) OVER ())::bigint
               AS n_questions FROM documents""",
-        "score_correctness": f"SELECT conv_id, turn, {CORRECTNESS} AS correctness FROM ({SETS}) JOIN ({EXPECTED}) USING (conv_id)",
-        "score_sufficiency": f"SELECT conv_id, {SUFFICIENCY} AS sufficiency FROM ({EXPECTED}) JOIN ({CONTEXT}) USING (conv_id)",
+        "score_correctness": f"SELECT conv_id, turn, {CORRECTNESS} AS correctness, {reason(e=NO_E)} FROM ({SETS}) LEFT JOIN ({EXPECTED}) USING (conv_id)",
+        "score_sufficiency": f"""
+            SELECT conv_id, turn, {SUFFICIENCY} AS sufficiency, {reason(e=NO_E, c=NO_C)} FROM ({SETS})
+            LEFT JOIN ({EXPECTED}) USING (conv_id) LEFT JOIN ({CONTEXT}) USING (conv_id)""",
         "score_relevance": f"SELECT conv_id, turn, {RELEVANCE} AS relevance FROM ({SETS})",
-        "score_groundedness": f"SELECT conv_id, turn, {GROUNDED} AS groundedness FROM ({SETS}) JOIN ({CONTEXT}) USING (conv_id)",
+        "score_groundedness": f"SELECT conv_id, turn, {GROUNDED} AS groundedness, {reason(c=NO_C)} FROM ({SETS}) LEFT JOIN ({CONTEXT}) USING (conv_id)",
         "score_chunk_relevance": f"""
-            SELECT conv_id, turn, {CHUNK_RELEVANCE} AS chunk_relevance FROM ({SETS}) JOIN ({CHUNK_SETS}) USING (conv_id)""",
+            SELECT conv_id, turn, {CHUNK_RELEVANCE} AS chunk_relevance, {reason(cs=NO_C)}
+            FROM ({SETS}) LEFT JOIN ({CHUNK_SETS}) USING (conv_id)""",
         "score_safety": f"SELECT lang, count(*) AS n_rows, round(avg(safety), 6) AS safety FROM ({LABELLED}) GROUP BY lang",
         "score_guidelines": " UNION ALL ".join(
             f"SELECT conv_id, turn, '{r.name}' AS guideline, {follows(r, 'text')} AS passed FROM conversations WHERE role = 'assistant'"
@@ -382,19 +394,22 @@ def statements() -> dict[str, str]:
         "score_panel": f"""
             SELECT conv_id, turn, {CORRECTNESS} AS correctness, {SUFFICIENCY} AS sufficiency, {RELEVANCE} AS relevance,
               {GROUNDED} AS groundedness, {CHUNK_RELEVANCE} AS chunk_relevance, safety,
-              {", ".join(f"{follows(r, 'answer')} AS {r.name}" for r in evaluate.GUIDELINES)}
-            FROM ({SETS}) JOIN ({EXPECTED}) USING (conv_id) JOIN ({CONTEXT}) USING (conv_id) JOIN ({CHUNK_SETS}) USING (conv_id)
-            LEFT JOIN (SELECT doc_id AS conv_id, 1 - toxic AS safety FROM labels) USING (conv_id)""",
+              {", ".join(f"{follows(r, 'answer')} AS {r.name}" for r in evaluate.GUIDELINES)},
+              {reason(e=NO_E, c=NO_C, safety="no label")}
+            FROM ({SETS}) LEFT JOIN ({EXPECTED}) USING (conv_id) LEFT JOIN ({CONTEXT}) USING (conv_id)
+            LEFT JOIN ({CHUNK_SETS}) USING (conv_id) LEFT JOIN ({SAFETY}) USING (conv_id)""",
         "monitor_sample": sampled(),
         "monitor_scores": f"""
             SELECT conv_id, turn, CASE WHEN sampled_safety = 1 THEN safety END AS safety,
               CASE WHEN sampled_groundedness = 1 THEN {GROUNDED} END AS groundedness,
               CASE WHEN sampled_relevance_to_query = 1 THEN {RELEVANCE} END AS relevance_to_query,
-              CASE WHEN sampled_chunk_relevance = 1 THEN {CHUNK_RELEVANCE} END AS chunk_relevance
-            FROM ({SETS}) JOIN ({sampled()}) USING (conv_id, turn) JOIN ({CONTEXT}) USING (conv_id)
-            JOIN ({CHUNK_SETS}) USING (conv_id)
-            LEFT JOIN (SELECT doc_id AS conv_id, 1 - toxic AS safety FROM labels) USING (conv_id)""",
-        "trace_window": f"SELECT event_id, ts, 'OK' AS status FROM events WHERE event_type <> 'error' AND {RECENT}",
+              CASE WHEN sampled_chunk_relevance = 1 THEN {CHUNK_RELEVANCE} END AS chunk_relevance,
+              {reason(a="no answer", c=NO_C, safety="no label")}
+            FROM ({sampled()}) LEFT JOIN ({SETS}) USING (conv_id, turn) LEFT JOIN ({CONTEXT}) USING (conv_id)
+            LEFT JOIN ({CHUNK_SETS}) USING (conv_id) LEFT JOIN ({SAFETY}) USING (conv_id)""",
+        "trace_window": f"""
+            SELECT event_id, ts, 'OK' AS status, row_number() OVER (ORDER BY ts DESC, event_id) AS rank
+            FROM events WHERE event_type <> 'error' AND {RECENT}""",
         "trace_counts": f"""
             SELECT CASE WHEN event_type = 'error' THEN 'ERROR' ELSE 'OK' END AS status, count(*) AS n_traces,
               cast(sum(({RECENT})::int) AS bigint) AS n_recent FROM events GROUP BY 1""",

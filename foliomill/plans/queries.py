@@ -40,11 +40,11 @@ def query(fn: Query) -> Query:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.on_all_cores(inputs.table(spark, sf_dir, "documents"))
+    return inputs.table(spark, sf_dir, "documents")
 
 
 def _pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.on_all_cores(inputs.table(spark, sf_dir, "pages"))
+    return inputs.table(spark, sf_dir, "pages")
 
 
 def _conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -124,7 +124,7 @@ def snapshot_ctas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return medallion.silver_pages(inputs.on_all_cores(inputs.document_files(spark, sf_dir)), "txt", inputs.as_of())
+    return medallion.silver_pages(inputs.document_files(spark, sf_dir), "txt", inputs.as_of())
 
 
 @query
@@ -184,7 +184,7 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     small = lambda text: tx.fixed_chunks(text, *medallion.INCREMENTAL_CHUNKS)
-    texts = medallion.extracted_texts(inputs.on_all_cores(inputs.page_files(spark, sf_dir)), ".html")
+    texts = medallion.extracted_texts(inputs.page_files(spark, sf_dir), ".html")
     gold = medallion.topics_and_chunks(texts, small)
     return gold.select("path", "length", "topic", "parsed_topic_str", "chunk_ix", "chunked_text")
 
@@ -386,10 +386,15 @@ def eval_allocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.allocate_questions(inputs.table(spark, sf_dir, "documents"), "doc_id", N_QUESTIONS)
 
 
-def _scored(spark: SparkSession, sf_dir: str, facts: DataFrame) -> DataFrame:
-    """Answered turns with the facts of their conversation; one conversation may own a large share of the turns."""
-    hot = keyed.hot_keys(_conversations(spark, sf_dir), ["conv_id"])
-    return keyed.join_facts(inputs.answered_sets(spark, sf_dir), facts, "conv_id", "turn", hot)
+def _scored(spark: SparkSession, sf_dir: str, *facts: DataFrame) -> DataFrame:
+    """Every answered turn, with the facts of its conversation where there are any.
+
+    Facts are one row per conversation, so the turns of a busy one can be dealt out over several tasks at run time.
+    """
+    rows = inputs.answered_sets(spark, sf_dir)
+    for own in facts:
+        rows = rows.join(own, "conv_id", "left")
+    return rows
 
 
 def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -399,14 +404,17 @@ def _contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_correctness(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir, inputs.expected_sets(spark, sf_dir))
-    return rows.select("conv_id", "turn", evaluate.correctness(F.col("a"), F.col("e")).alias("correctness"))
+    score = evaluate.where_known(evaluate.correctness(F.col("a"), F.col("e")), "e")
+    return rows.select("conv_id", "turn", score.alias("correctness"), evaluate.missing_reason(e="no expected response").alias("reason"))
 
 
 @query
 def score_sufficiency(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per conversation: its expected response against its context."""
-    rows = inputs.expected_sets(spark, sf_dir).join(_contexts(spark, sf_dir), "conv_id")
-    return rows.select("conv_id", evaluate.covered_share(F.col("e"), F.col("c")).alias("sufficiency"))
+    """One row per answered turn: the expected response of its conversation against the context."""
+    rows = _scored(spark, sf_dir, inputs.expected_sets(spark, sf_dir), _contexts(spark, sf_dir))
+    score = evaluate.where_known(evaluate.covered_share(F.col("e"), F.col("c")), "e", "c")
+    reason = evaluate.missing_reason(e="no expected response", c="no context")
+    return rows.select("conv_id", "turn", score.alias("sufficiency"), reason.alias("reason"))
 
 
 @query
@@ -418,13 +426,15 @@ def score_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_groundedness(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir, _contexts(spark, sf_dir))
-    return rows.select("conv_id", "turn", evaluate.covered_share(F.col("a"), F.col("c")).alias("groundedness"))
+    score = evaluate.where_known(evaluate.covered_share(F.col("a"), F.col("c")), "c")
+    return rows.select("conv_id", "turn", score.alias("groundedness"), evaluate.missing_reason(c="no context").alias("reason"))
 
 
 @query
 def score_chunk_relevance(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _scored(spark, sf_dir, _contexts(spark, sf_dir))
-    return rows.select("conv_id", "turn", evaluate.chunk_relevance(F.col("q"), F.col("cs")).alias("chunk_relevance"))
+    score = evaluate.where_known(evaluate.chunk_relevance(F.col("q"), F.col("cs")), "cs")
+    return rows.select("conv_id", "turn", score.alias("chunk_relevance"), evaluate.missing_reason(cs="no context").alias("reason"))
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -451,20 +461,21 @@ def _safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def score_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All scorers in one row per answered turn. The facts of a conversation meet first, the turns join them once."""
-    facts = inputs.expected_sets(spark, sf_dir).join(_contexts(spark, sf_dir), "conv_id")
-    facts = facts.join(_safe(spark, sf_dir), "conv_id", "left")
+    facts = inputs.expected_sets(spark, sf_dir).join(_contexts(spark, sf_dir), "conv_id", "full_outer")
+    facts = facts.join(_safe(spark, sf_dir), "conv_id", "full_outer")
     rows = _scored(spark, sf_dir, facts)
     q, a, e, c = (F.col(name) for name in ("q", "a", "e", "c"))
     rules = [evaluate.follows(r, F.col("answer")).cast("int").alias(r.name) for r in evaluate.GUIDELINES]
     return rows.select(
         "conv_id",
         "turn",
-        evaluate.correctness(a, e).alias("correctness"),
-        evaluate.covered_share(e, c).alias("sufficiency"),
+        evaluate.where_known(evaluate.correctness(a, e), "e").alias("correctness"),
+        evaluate.where_known(evaluate.covered_share(e, c), "e", "c").alias("sufficiency"),
         evaluate.relevance(q, a).alias("relevance"),
-        evaluate.covered_share(a, c).alias("groundedness"),
-        evaluate.chunk_relevance(q, F.col("cs")).alias("chunk_relevance"),
+        evaluate.where_known(evaluate.covered_share(a, c), "c").alias("groundedness"),
+        evaluate.where_known(evaluate.chunk_relevance(q, F.col("cs")), "cs").alias("chunk_relevance"),
         "safety",
+        evaluate.missing_reason(e="no expected response", c="no context", safety="no label").alias("reason"),
         *rules,
     )
 
@@ -481,24 +492,28 @@ def monitor_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def monitor_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Continuous monitoring: each judge scores the requests of its own sample."""
-    facts = _contexts(spark, sf_dir).join(_safe(spark, sf_dir), "conv_id", "left")
-    requests = evaluate.monitor_sample(_scored(spark, sf_dir, facts), _request_id())
+    """Continuous monitoring: each judge scores the requests of its own sample. Requests without an answer, a context or a
+    label stay in, with nulls and the reason."""
+    asked = _conversations(spark, sf_dir).filter("role = 'user'").select("conv_id", "turn")
+    facts = _contexts(spark, sf_dir).join(_safe(spark, sf_dir), "conv_id", "full_outer")
+    rows = asked.join(inputs.answered_sets(spark, sf_dir), ["conv_id", "turn"], "left").join(facts, "conv_id", "left")
+    requests = evaluate.monitor_sample(rows, _request_id())
     q, a, c = F.col("q"), F.col("a"), F.col("c")
     scores = {
         "safety": F.col("safety"),
-        "groundedness": evaluate.covered_share(a, c),
-        "relevance_to_query": evaluate.relevance(q, a),
-        "chunk_relevance": evaluate.chunk_relevance(q, F.col("cs")),
+        "groundedness": evaluate.where_known(evaluate.covered_share(a, c), "a", "c"),
+        "relevance_to_query": evaluate.where_known(evaluate.relevance(q, a), "a"),
+        "chunk_relevance": evaluate.where_known(evaluate.chunk_relevance(q, F.col("cs")), "q", "cs"),
     }
-    return evaluate.score_sampled(requests, ["conv_id", "turn"], scores)
+    reason = evaluate.missing_reason(a="no answer", c="no context", safety="no label")
+    return evaluate.score_sampled(requests.withColumn("reason", reason), ["conv_id", "turn", "reason"], scores)
 
 
 @query
 def trace_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _events(spark, sf_dir)
     start = evaluate.window_start(inputs.newest_time(events), TRACE_MINUTES)
-    return evaluate.recent_traces(inputs.traces(events), "ts", "status", start)
+    return evaluate.ranked_traces(evaluate.recent_traces(inputs.traces(events), "ts", "status", start), "ts", "event_id")
 
 
 @query
@@ -638,7 +653,7 @@ def memory_put(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _memory_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = _conversations(spark, sf_dir).filter("role = 'user'").withColumn("user_id", F.col("conv_id") % inputs.N_USERS)
     last = keyed.newest_per_key(asked, ["user_id"], ["conv_id", "turn"]).select("user_id", F.col("text").alias("query"))
-    return chat.search_memories(_memories(spark, sf_dir), last, keyed.hot_keys(asked, ["user_id"]))
+    return chat.search_memories(_memories(spark, sf_dir), last)
 
 
 @query

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -18,6 +19,7 @@ def local_session(cores: int | str = 8, app_name: str = "foliomill", driver_memo
         .appName(app_name)
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.shuffle.partitions", str(cores))
+        .config("spark.sql.files.maxPartitionBytes", "8m")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -34,7 +36,7 @@ def shared_root(spark: SparkSession) -> str:
     root = spark.conf.get(CHECKPOINT_DIR_KEY, None) or spark.sparkContext.getConf().get(CHECKPOINT_DIR_KEY, None)
     if root:
         return root.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
         raise ValueError(f"{CHECKPOINT_DIR_KEY} must name a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:

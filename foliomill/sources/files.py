@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+ANY_AGE = "36500d"  # by default a stream passes over files a week older than the newest
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
@@ -25,12 +26,13 @@ def scan_binary(spark: SparkSession, folder: str, glob: str = "*", as_of: Column
 
 
 def stream_binary(spark: SparkSession, folder: str, glob: str = "*", files_per_batch: int | None = None) -> DataFrame:
-    """Stream of new files; each file is delivered once per checkpoint."""
+    """Stream of new files; each file is delivered once per checkpoint, however old it is when it arrives."""
     reader = (
         spark.readStream.format("binaryFile")
         .schema(BINARY_FILE_SCHEMA)
         .option("recursiveFileLookup", "true")
         .option("pathGlobFilter", glob)
+        .option("maxFileAge", ANY_AGE)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

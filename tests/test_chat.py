@@ -4,7 +4,7 @@ import random
 from pyspark.sql import functions as F
 
 from foliomill.functions.text import token_set
-from foliomill.operators import chat, keyed
+from foliomill.operators import chat
 
 SCHEMA = "conv bigint, turn bigint, role string, text string"
 COLS = ("conv", "turn", "role", "text")
@@ -97,7 +97,7 @@ def test_memory_crosses_threads_but_not_users(spark):
     store = chat.stored_memories(puts.unionByName(puts), ["conv", "turn"])
     assert store.count() == 2
     asked = spark.createDataFrame([(1, "what is my name?"), (2, "which door"), (3, "anything")], "user_id int, query string")
-    found = chat.search_memories(store, asked, {})
+    found = chat.search_memories(store, asked)
     assert {(r.user_id, r.data, r.rank) for r in found.collect()} == {(1, rows[0][3], 1), (2, rows[1][3], 1)}
     context = {r.user_id: r.system_message for r in chat.memory_context(found, "Info: ").collect()}
     assert context == {1: "Info: Remember: my name is Bob", 2: "Info: remember the blue door"}
@@ -114,11 +114,8 @@ def test_memory_search_with_one_busy_user(spark):
         want = set(query.split())
         scored = sorted((-round(len(want & set(d.split())) / len(want), 6), k) for u, k, d in rows if u == user)[:10]
         expected |= {(user, k, -s, at + 1) for at, (s, k) in enumerate(scored)}
-    busy = keyed.hot_keys(memories, ["user_id"], 50)
-    assert len(busy) == 1
-    for hot in ({}, {user: 3_000_000 for user in busy}):
-        got = chat.search_memories(memories, asked, hot).collect()
-        assert {(r.user_id, r.key, r.score, r.rank) for r in got} == expected
+    got = chat.search_memories(memories, asked).collect()
+    assert {(r.user_id, r.key, r.score, r.rank) for r in got} == expected
 
 
 def test_token_set_is_shared(spark):

@@ -69,10 +69,10 @@ def test_current_rows_ignore_arrival_order(spark, seed):
         assert current(feed(spark, rows, parts)) == expected
 
 
-@pytest.mark.parametrize("rows_per_slice", [10_000, 25, 7])
-def test_history_is_the_same_in_any_number_of_slices(spark, rows_per_slice):
+@pytest.mark.parametrize("slices", [None, 1, 7, 40])
+def test_history_is_the_same_in_any_number_of_slices(spark, slices):
     rows = random_feed(3)
-    got = keyed.history_rows(feed(spark, rows, 3), ["k"], ["seq", "tie"], rows_per_slice).collect()
+    got = keyed.history_rows(feed(spark, rows, 3), ["k"], ["seq", "tie"], slices).collect()
     assert {(r.k, r.v, r["__START_AT"], r["__END_AT"]) for r in got} == plain_history(rows)
     assert len(got) == len(plain_history(rows))
 
@@ -81,17 +81,16 @@ def test_history_of_a_stored_feed(spark, tmp_path):
     rows = random_feed(6)
     feed(spark, rows, 4).write.parquet(str(tmp_path / "feed"))
     stored = spark.read.parquet(str(tmp_path / "feed"))
-    for rows_per_slice in (1, 10, 100):
-        got = keyed.history_rows(stored, ["k"], ["seq", "tie"], rows_per_slice).collect()
+    for slices in (1, 10, 100):
+        got = keyed.history_rows(stored, ["k"], ["seq", "tie"], slices).collect()
         assert {(r.k, r.v, r["__START_AT"], r["__END_AT"]) for r in got} == plain_history(rows)
 
 
-@pytest.mark.parametrize("n", [1, 2, 3, 9, 10, 17])
-def test_slice_numbers_count_the_bounds_reached(spark, n):
-    bounds = [10 * i for i in range(1, n + 1)]
-    df = spark.range(0, 10 * n + 15)
-    got = df.select("id", keyed._slice_number(F.col("id"), bounds, df.schema["id"].dataType).alias("s")).collect()
-    assert all(r.s == sum(b <= r.id for b in bounds) for r in got)
+def test_one_key_with_one_time_is_cut_by_the_whole_order(spark):
+    """A bulk load: all rows of a key at one time. The ties alone order them, over several slices."""
+    rows = [("k", 5, i, f"v{i}", "insert") for i in range(200)]
+    got = keyed.history_rows(feed(spark, rows, 4), ["k"], ["seq", "tie"], 8).collect()
+    assert {(r.k, r.v, r["__START_AT"], r["__END_AT"]) for r in got} == plain_history(rows)
 
 
 def test_open_history_is_the_current_table(spark):
@@ -148,17 +147,12 @@ def test_allocation_spends_every_question(spark, n):
     assert sum(got) == n and len(got) == 10 and max(got) - min(got) <= 1
 
 
-def test_hot_keys_join_over_salts(spark):
-    rows = spark.createDataFrame([(1 if i % 3 else i, i) for i in range(300)], "k int, turn int")
-    facts = spark.createDataFrame([(k, f"f{k}") for k in range(0, 300, 2)] + [(1, "hot")], "k int, fact string")
-    hot = keyed.hot_keys(rows, ["k"], 50)
-    one = rows.filter("k = 1").select(keyed.key_hash(["k"])).first()[0]
-    assert hot == {one: 201 - 1}
-    assert keyed.hot_keys(rows, ["k"], 301) == {} and keyed.hot_keys(rows, ["k"], 250) == {}
-    plain = sorted(map(tuple, keyed.join_facts(rows, facts, "k", "turn", {}).collect()))
-    for rows_per_salt in (7, 150, 1000):
-        dealt = keyed.join_facts(rows, facts, "k", "turn", hot, rows_per_salt)
-        assert sorted(map(tuple, dealt.collect())) == plain and dealt.columns == ["k", "turn", "fact"]
+def test_repeated_keys_stop_a_change_feed(spark):
+    old = spark.createDataFrame([(1, "x"), (1, "y"), (2, "z")], "id int, t string")
+    new = spark.createDataFrame([(1, "y"), (2, "z")], "id int, t string")
+    for before, after in ((old, new), (new, old)):
+        with pytest.raises(Exception, match="more than once"):
+            keyed.change_feed(before, after, ["id"], 1).collect()
 
 
 def test_broken_keys_stop_the_job(spark):

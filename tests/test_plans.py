@@ -70,7 +70,7 @@ def test_row_work_does_not_shuffle_by_key(spark, sf_dir, name):
 
 def test_large_keys_are_grouped_by_slice(spark, sf_dir):
     events = inputs.event_changes(inputs.table(spark, sf_dir, "events"))
-    plan = plan_of(keyed.history_rows(events, ["user_id"], inputs.CHANGE_ORDER, 10))
+    plan = plan_of(keyed.history_rows(events, ["user_id"], inputs.CHANGE_ORDER))
     assert "lead(ts" in plan and "Join" not in plan
     shuffles = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line]
     assert sum("_slice" not in line for line in shuffles) == 1  # the first values of the slices
