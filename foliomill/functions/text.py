@@ -1,16 +1,20 @@
-"""Column expressions over text. All of them stay in the JVM and touch one row at a time."""
+"""Column expressions over text. All but the counting of embeddings stay in the JVM and touch one row at a time."""
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # The white space that a Python ``str.strip`` removes.
 WHITESPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
+NOT_BLANK = "[^" + WHITESPACE[1:]
+
 SCRIPT_OR_STYLE = r"(?s)<(script|style)[^>]*>.*?</(script|style)>"
 TAG = r"<[^>]*>"
 BLANK_RUN = r"[ \t\r\n]+"
@@ -28,7 +32,7 @@ def strip(text: Column) -> Column:
 
 
 def is_blank(text: Column) -> Column:
-    return text.isNull() | (strip(text) == "")
+    return ~F.coalesce(text.rlike(NOT_BLANK), F.lit(False))
 
 
 def tokens(text: Column) -> Column:
@@ -97,16 +101,23 @@ def token_buckets(text: Column, dim: int = EMBEDDING_DIM) -> Column:
 
 
 def hashed_embedding(text: Column, dim: int = EMBEDDING_DIM) -> Column:
-    """Unit-length hashed bag of words; a text without tokens gives the zero vector."""
-
-    def weights(counts: Column) -> Column:
-        norm = F.sqrt(F.aggregate(counts, F.lit(0.0), lambda acc, n: acc + n * n))
-        return let(norm, lambda length: F.transform(counts, lambda n: F.when(length > 0, n / length).otherwise(0.0)))
+    """Unit-length hashed bag of words; a text without tokens gives the zero vector, a null text null.
 
-    def counts(buckets: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(dim - 1)),
-            lambda b: (F.size(buckets) - F.size(F.array_remove(buckets, b))).cast("double"),
-        )
+    The buckets of a batch of texts are counted at once: one number per token goes to Python, one vector comes back.
+    """
 
-    return F.when(text.isNotNull(), let(let(token_buckets(text, dim), counts), weights))
+    @F.pandas_udf("array<double>")
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for buckets in batches:
+            there = buckets.notna().to_numpy()
+            sizes = [len(b) for b in buckets[there]]
+            rows = np.repeat(np.arange(len(sizes)), sizes)
+            flat = np.concatenate([np.zeros(0, np.int64), *buckets[there]]).astype(np.int64)
+            counts = np.bincount(rows * dim + flat, minlength=len(sizes) * dim).reshape(-1, dim).astype(np.float64)
+            length = np.sqrt((counts * counts).sum(1, keepdims=True))
+            vectors = np.divide(counts, length, out=np.zeros_like(counts), where=length > 0)
+            out = pd.Series([None] * len(buckets), dtype=object)
+            out[there] = pd.Series(list(vectors), index=np.flatnonzero(there), dtype=object)
+            yield out
+
+    return count(token_buckets(text, dim))

@@ -21,6 +21,7 @@ MAX_BROADCAST_QUERIES = 4096
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 QUERY_BLOCK = 32_768
 INDEX_BLOCK = 16_384
+ROWS_PER_BUCKET = 100_000  # some 50 MB of vectors with 64 dimensions
 SCALE = 1_000_000
 SCORE_CELLS = 4_000_000  # scores held at once by one task
 FEW_ROWS = 4  # rows looked at one by one, in multiples of k
@@ -291,8 +292,12 @@ def index_rows(source: DataFrame, key: str, text: str, embed: Callable[[Column],
     return source.select(F.col(key), F.md5(text).alias("text_hash"), embed(F.col(text)).alias("embedding"))
 
 
-def write_index(rows: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
-    """Store an index bucketed by key, one file per bucket, so that later syncs meet it without shuffling it again."""
+def write_index(rows: DataFrame, table: str, path: str, key: str, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    """Store an index bucketed by key, one file per bucket, so that later syncs meet it without shuffling it again.
+
+    The number of buckets follows from the number of rows, so a bucket's file stays of one size however large the index.
+    """
+    buckets = max(1, -(-rows.select(key).count() // rows_per_bucket))
     rows.repartition(buckets, key).write.mode("overwrite").option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return rows.sparkSession.table(table)
 
@@ -323,9 +328,13 @@ def embed_changes(plan: DataFrame, key: str, embed: Callable[[Column], Column] =
 def apply_sync(
     index: DataFrame, source: DataFrame, key: str, text: str, embed: Callable[[Column], Column] = hashed_embedding
 ) -> DataFrame:
-    """Index after a triggered sync: unchanged rows keep their stored vectors."""
-    hashed = source.withColumn("text_hash", F.md5(text))
-    same = [key, "text_hash"]
-    kept = index.select(*same, "embedding").join(hashed.select(*same), same, "left_semi")
-    changed = hashed.join(index.select(*same), same, "left_anti")
-    return kept.unionByName(index_rows(changed, key, text, embed))
+    """Index after a triggered sync: unchanged rows keep their stored vectors, only new and changed texts are embedded.
+
+    Both sides meet by key alone, by which the stored index is bucketed.
+    """
+    want = source.select(key, F.col(text).alias("_text"), F.md5(text).alias("_new_hash"))
+    have = index.select(key, F.col("text_hash").alias("_old_hash"), F.col("embedding").alias("_stored"))
+    met = want.join(have, key, "left")
+    same = F.col("_old_hash").eqNullSafe(F.col("_new_hash")) & F.col("_stored").isNotNull()
+    fresh = embed(F.when(~same, F.col("_text")))
+    return met.select(key, F.col("_new_hash").alias("text_hash"), F.when(same, F.col("_stored")).otherwise(fresh).alias("embedding"))

@@ -33,13 +33,18 @@ class Refresh:
 
 
 def ingest_files(spark: SparkSession, folder: str, glob: str, bronze: str, checkpoint: str, run_id: int) -> DataFrame:
-    """Land new files by stream and rewritten ones, which a file stream passes over, by batch."""
+    """Land new files by stream and rewritten ones, which a file stream passes over, by batch.
+
+    A file counts as rewritten only if its path has been landed before: one that arrives between stream and listing is
+    left to the stream of the next run.
+    """
     stream = stream_binary(spark, folder, glob)
     run_flow(stream, bronze, "new", checkpoint)
     listing = scan_binary(spark, folder, glob).withColumnRenamed("input_file", "path").drop("_datetime")
     this_run = (F.col("flow") == "rewritten") & (F.col("batch_id") == run_id)
     known = flow_rows(stream, bronze).filter(~this_run)  # a repeated run replaces its own batch and must not read it
-    rewritten = with_audit_time(changed_files(listing, known), "processing_time")
+    seen = listing.join(known.select("path").distinct(), "path", "left_semi")
+    rewritten = with_audit_time(changed_files(seen, known), "processing_time")
     rewritten.write.mode("overwrite").parquet(f"{bronze}/flow=rewritten/batch_id={run_id}")
     return flow_rows(stream, bronze).drop("flow", "batch_id")
 

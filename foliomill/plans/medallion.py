@@ -58,9 +58,14 @@ def gold_chunks(silver: DataFrame, splitter: Splitter = batch_splitter, as_of: C
 
 
 def extracted_texts(files: DataFrame, suffix: str) -> DataFrame:
-    """Visible text in place of the bytes, for files with the suffix; later shuffles then move text only."""
-    texts = suffix_filter(files, "path", suffix).withColumn("extracted_text", html_text(F.decode("content", "UTF-8")))
-    return texts.drop("content")
+    """Visible text in place of the bytes, for files with the suffix; later shuffles then move text only.
+
+    Bytes that aren't UTF-8 give an empty text and ``readable`` false; they stop nothing.
+    """
+    content = F.col("content").cast("string")
+    readable = F.coalesce(F.is_valid_utf8(content), F.lit(False))
+    text = F.when(readable, html_text(content)).otherwise("")
+    return suffix_filter(files, "path", suffix).withColumns({"extracted_text": text, "readable": readable}).drop("content")
 
 
 def topics_and_chunks(texts: DataFrame, splitter: Splitter = incremental_splitter) -> DataFrame:

@@ -282,6 +282,15 @@ def statements() -> dict[str, str]:
     chunk_text = "SELECT chunk_id, content_chunk"
     return {
         "bronze_pages": "SELECT url AS path, octet_length(encode(html))::bigint AS length, md5(html) AS content_md5 FROM pages",
+        "bronze_scan": "SELECT lang, cast(sum(octet_length(encode(text)) + 1) AS bigint) AS n_bytes FROM documents GROUP BY lang",
+        "bronze_stream": "SELECT lang, cast(sum(octet_length(encode(text)) + 1) AS bigint) AS n_bytes FROM documents GROUP BY lang",
+        "evaluation_set": f"""
+            WITH e AS (SELECT *, md5(event_type || '#' || props) AS input_hash FROM events),
+            t AS (SELECT input_hash, max(event_id) AS id FROM e WHERE event_type <> 'error' AND {RECENT} GROUP BY 1),
+            k AS (SELECT input_hash, max(event_id) AS id, arg_max(value, event_id) AS expected FROM e
+                  WHERE event_type = 'purchase' GROUP BY 1)
+            SELECT input_hash, coalesce(t.id, k.id) AS event_id, expected,
+              CASE WHEN t.id IS NULL THEN 'existing' ELSE 'incoming' END AS origin FROM t FULL JOIN k USING (input_hash)""",
         "filter_suffix": "SELECT page_id, url FROM pages WHERE url LIKE '%.html'",
         "ingest_changed_files": """
             SELECT 'user-' || user_id AS path, max(ts) AS "modificationTime" FROM events GROUP BY user_id
@@ -366,6 +375,9 @@ def statements() -> dict[str, str]:
               SELECT doc_id, action, CASE WHEN action IN ('insert', 'update') THEN coalesce(embedding_e6, '') END AS embedding_e6
               FROM p LEFT JOIN (
                 {printed("SELECT doc_id, text FROM p WHERE action IN ('insert', 'update')", "doc_id", "text")}) USING (doc_id))""",
+        "index_after_sync": f"""
+            SELECT doc_id, md5(text) AS text_hash, coalesce(embedding_e6, '') AS embedding_e6 FROM ({AFTER})
+            LEFT JOIN ({printed(AFTER, "doc_id", "text")}) USING (doc_id)""",
         "vector_topk": f"SELECT query_id, id, score, rank FROM ({nearest(queries.TOP_K)})",
         "vector_topk_filtered": f"SELECT query_id, id, score, rank FROM ({nearest(queries.TOP_K, 'i.label = 3')})",
         "vector_threshold": f"""

@@ -71,10 +71,31 @@ def _json(value: str) -> Column:
 # --- sources and tables -------------------------------------------------------------------------------------------
 
 
+def _text_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Documents as text files in a folder per language, beside files that no scan for texts may find."""
+    docs = inputs.table(spark, sf_dir, "documents").select("text", "lang")
+    docs.write.partitionBy("lang").text(folder := fresh_path(spark, "texts"))
+    docs.write.parquet(f"{folder}/other")
+    return folder
+
+
+def _bytes_per_language(found: DataFrame, path: str) -> DataFrame:
+    lang = F.regexp_extract(path, "/lang=([^/]+)/", 1)
+    return found.groupBy(lang.alias("lang")).agg(F.sum("length").alias("n_bytes"))
+
+
 @query
 def bronze_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = files.scan_binary(spark, sf_dir, "*.parquet")
-    return found.select(F.element_at(F.split("input_file", "/"), -1).alias("file_name"), "length")
+    """Every row is a line of a file, so the files' lengths are the texts' bytes and one line end each."""
+    return _bytes_per_language(files.scan_binary(spark, _text_folder(spark, sf_dir), "*.txt"), "input_file")
+
+
+@query
+def bronze_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    run = fresh_path(spark, "bronze_stream")
+    stream = files.stream_binary(spark, _text_folder(spark, sf_dir), "*.txt").select("path", "length", "content")
+    landed = ingest.drain_to_table(stream, f"{run}/table", f"{run}/checkpoint")
+    return _bytes_per_language(landed.withColumn("length", F.octet_length("content").cast("bigint")), "path")
 
 
 @query
@@ -181,6 +202,18 @@ def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.overwrite_table(gold, fresh_path(spark, "gold"), medallion.GOLD_SCHEMA)
 
 
+@query
+def evaluation_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good recent traces go into the evaluation set; equal inputs are one record, and known expectations stay."""
+    events = _events(spark, sf_dir)
+    start = evaluate.window_start(inputs.newest_time(events), TRACE_MINUTES)
+    recent = evaluate.recent_traces(inputs.traces(events), "ts", "status", start).select("event_id")
+    request = F.md5(F.concat_ws("#", "event_type", "props")).alias("input_hash")
+    traced = events.join(recent, "event_id", "left_semi").select("event_id", request, F.lit(None).cast("double").alias("expected"))
+    known = events.filter("event_type = 'purchase'").select("event_id", request, F.col("value").alias("expected"))
+    return keyed.merge_records(known, traced, ["input_hash"], ["event_id"], ["expected"])
+
+
 @query
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     small = lambda text: tx.fixed_chunks(text, *medallion.INCREMENTAL_CHUNKS)
@@ -313,9 +346,8 @@ def _chunk_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def index_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"chunk_index_{uuid.uuid4().hex}"
-    index = retrieval.write_index(_chunk_index(spark, sf_dir), name, fresh_path(spark, "index"), "chunk_id", buckets)
+    index = retrieval.write_index(_chunk_index(spark, sf_dir), name, fresh_path(spark, "index"), "chunk_id")
     return index.select("chunk_id", "text_hash", _printed("embedding").alias("embedding_e6"))
 
 
@@ -326,6 +358,15 @@ def index_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.embed_changes(plan, "doc_id").select("doc_id", "action", _printed("embedding").alias("embedding_e6"))
 
 
+@query
+def index_after_sync(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored index after the source has moved on."""
+    before = retrieval.index_rows(inputs.snapshot_before(spark, sf_dir), "doc_id", "text")
+    index = retrieval.write_index(before, f"doc_index_{uuid.uuid4().hex}", fresh_path(spark, "index"), "doc_id")
+    synced = retrieval.apply_sync(index, inputs.snapshot_after(spark, sf_dir), "doc_id", "text")
+    return synced.select("doc_id", "text_hash", _printed("embedding").alias("embedding_e6"))
+
+
 @query
 def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir)
