@@ -45,5 +45,20 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := _state(links)) != before:
         before = now
-        links = stored(_small_star(stored(_large_star(links), "links")), "links")
+        links = stored(_small_star(_large_star(links)), "links")
     return links.select(F.col("u").alias("node"), F.col("v").alias("label"))
+
+
+def with_labels(df: DataFrame, column: str, labels: DataFrame, output: str) -> DataFrame:
+    """Add the label of the node in ``column``; a node without one is its own."""
+    found = df.join(labels.select(F.col("node").alias(column), F.col("label").alias(output)), column, "left")
+    return found.withColumn(output, F.coalesce(output, column))
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` after more links (``u, v``): only the components that these connect are looked at again."""
+    ends = with_labels(with_labels(links, "u", labels, "_lu"), "v", labels, "_lv")
+    moved = components(ends.select(F.col("_lu").alias("u"), F.col("_lv").alias("v")))
+    old = with_labels(labels.withColumnRenamed("label", "_old"), "_old", moved, "label").select("node", "label")
+    new = moved.join(labels.select("node"), "node", "left_anti").select("node", "label")
+    return stored(old.unionByName(new), "labels")

@@ -3,8 +3,8 @@
 A text is its set of five-word shingles. One hash function deals the shingles over bins and the least of each bin is
 kept; an empty bin takes over the value of the first filled bin in an order of its own, the same for all texts. Four
 bins make a band, equal bands a bucket. Within a bucket only links from one member to all others are tested, on the full
-sets. As such a star may miss a link between two of the others, further members of the bucket become centres until all
-that were not are known to be connected.
+sets. As such a star may miss a link between two of the others, further members of the bucket become centres, more of
+them each round, until all that were not are known to be connected.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.components import components, stored
+from foliomill.llm.components import merged, stored, with_labels
 from foliomill.llm.sizes import BATCH_ROWS, small_batches
 from foliomill.llm.words import mixed, shingle_sets
 
@@ -25,6 +25,9 @@ SIMILAR = (75, 100)
 BINS = 128
 ROWS_PER_BAND = 4
 BANDS = BINS // ROWS_PER_BAND
+MORE_CENTRES = 8  # times as many new centres per bucket in each round
+SMALL = 64  # shingles below which the sketches of two sets say too little
+LEAST_AGREEING = 56  # bins of two sketches; linked sets agree in 96 of 128 on average
 _BIN_SHIFT = np.uint64(64 - (BINS - 1).bit_length())
 #: Order in which an empty bin looks at the others.
 _DETOURS = np.argsort(np.random.default_rng(19).random((BINS, BINS)), axis=1)
@@ -45,10 +48,11 @@ def signature(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def bands(shingles: np.ndarray) -> np.ndarray:
+def bands(values: np.ndarray) -> np.ndarray:
+    """A key for every band of a signature."""
     with np.errstate(over="ignore"):
         key = _BAND_SALTS.copy()
-        for column in signature(shingles).reshape(BANDS, ROWS_PER_BAND).T:
+        for column in values.reshape(BANDS, ROWS_PER_BAND).T:
             key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + column)
     return key
 
@@ -59,25 +63,27 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _signatures(rows: DataFrame, id_type: str) -> DataFrame:
-    """``_id, _n, _s1, _s2, _bands``."""
+    """``_id, _n, _s1, _s2, _bands, _sketch``; the sketch is the last byte of each bin's value."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in small_batches(batch, BATCH_ROWS):
                 sets = shingle_sets(part.column(1).cast(pa.binary()).to_pylist(), WORDS)
                 keys = [set_key(s) for s in sets]
+                values = [signature(s) if len(s) else None for s in sets]
                 yield pa.record_batch(
                     [
                         part.column(0),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([k[0] for k in keys], pa.int64()),
                         pa.array([k[1] for k in keys], pa.int64()),
-                        pa.array([bands(s).view(np.int64) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                        pa.array([None if v is None else bands(v).view(np.int64) for v in values], pa.list_(pa.int64())),
+                        pa.array([None if v is None else v.astype(np.uint8).tobytes() for v in values], pa.binary()),
                     ],
-                    names=["_id", "_n", "_s1", "_s2", "_bands"],
+                    names=["_id", "_n", "_s1", "_s2", "_bands", "_sketch"],
                 )
 
-    return rows.mapInArrow(sign, f"_id {id_type}, _n bigint, _s1 bigint, _s2 bigint, _bands array<bigint>")
+    return rows.mapInArrow(sign, f"_id {id_type}, _n bigint, _s1 bigint, _s2 bigint, _bands array<bigint>, _sketch binary")
 
 
 def _candidate_texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -115,16 +121,25 @@ def _similar(links: DataFrame, texts: DataFrame) -> DataFrame:
     return near.mapInArrow(test, "u bigint, v bigint")
 
 
-def _sizes_allow(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links whose set sizes leave the similarity possible."""
-    sizes = classes.select("_c", "_n")
-    both = links.join(sizes.withColumnsRenamed({"_c": "u", "_n": "_nu"}), "u").join(sizes.withColumnsRenamed({"_c": "v", "_n": "_nv"}), "v")
-    return both.filter(SIMILAR[1] * F.least("_nu", "_nv") >= SIMILAR[0] * F.greatest("_nu", "_nv")).select("u", "v")
+def _worth_testing(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links whose set sizes leave the similarity possible, and whose sketches don't rule it out.
 
+    Sketches of linked sets agree in fewer bins than asked for once in many millions; small sets are always tested.
+    """
+    ends = links
+    for end in ("u", "v"):
+        ends = ends.join(classes.select(F.col("_c").alias(end), F.col("_n").alias(f"_n{end}"), F.col("_sketch").alias(f"_s{end}")), end)
+    ends = ends.filter(SIMILAR[1] * F.least("_nu", "_nv") >= SIMILAR[0] * F.greatest("_nu", "_nv"))
+
+    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BINS) for i in (3, 4))
+                small = batch.column(2).to_numpy(zero_copy_only=False) < SMALL
+                near = pa.array(small | ((left == right).sum(1) >= LEAST_AGREEING))
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(near)
 
-def _with_labels(members: DataFrame, labels: DataFrame) -> DataFrame:
-    found = members.join(labels.select(F.col("node").alias("_c"), "label"), "_c", "left")
-    return found.withColumn("_label", F.coalesce("label", "_c")).drop("label")
+    return ends.select("u", "v", F.least("_nu", "_nv").alias("_n"), "_su", "_sv").mapInArrow(agree, "u bigint, v bigint")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -135,49 +150,53 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     texts have no shingles, are linked with nothing and kept. Null ids are larger than any other; rows repeated with one
     id have the same result. An empty table gives an empty result; other columns are not read.
     """
+    spark = docs.sparkSession
     id_type = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     signed = stored(_signatures(rows, id_type), "signatures")
-    classes = signed.filter("_n > 0").groupBy("_n", "_s1", "_s2").agg(F.min("_id").alias("_min"), F.first("_bands").alias("_bands"))
+    classes = signed.filter("_n > 0").groupBy("_n", "_s1", "_s2").agg(
+        F.min("_id").alias("_min"), F.first("_bands").alias("_bands"), F.first("_sketch").alias("_sketch")
+    )
     classes = stored(classes.withColumn("_c", F.monotonically_increasing_id()), "classes")
 
     banded = classes.select(F.explode("_bands").alias("_bucket"), "_c")
     buckets = banded.groupBy("_bucket").agg(F.min("_c").alias("_centre"), F.count("*").alias("_size")).filter("_size > 1")
     members = stored(banded.join(buckets.drop("_size"), "_bucket"), "members")
+    texts = stored(_candidate_texts(rows, classes, members.select("_c").distinct()), "candidate-texts")
 
     stars = members.select(F.col("_centre").alias("u"), F.col("_c").alias("v")).filter("u <> v").distinct()
     centres = members.select("_bucket", F.col("_centre").alias("_c")).distinct()
     members = members.select("_bucket", "_c")
-    links = None
-    centres_per_round = 2
+    labels = spark.createDataFrame([], "node bigint, label bigint")
+    per_bucket = 1
     while True:
-        tested = stored(_sizes_allow(stars, classes), "tested")
-        wanted = tested.select(F.col("u").alias("_c")).unionByName(tested.select(F.col("v").alias("_c"))).distinct()
-        texts = stored(_candidate_texts(rows, classes, wanted), "candidate-texts")
-        found = stored(_similar(tested, texts), "similar")
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
+        found = stored(_similar(stored(_worth_testing(stars, classes), "tested"), texts), "similar")
+        if not found.isEmpty():
+            labels = merged(labels, found)
         # buckets in which members that were no centre yet are not all connected
-        waiting = _with_labels(members.join(centres, ["_bucket", "_c"], "left_anti"), labels)
+        waiting = with_labels(members.join(centres, ["_bucket", "_c"], "left_anti"), "_c", labels, "_label")
+        per_bucket *= MORE_CENTRES
         open_buckets = waiting.groupBy("_bucket").agg(
             F.min("_label").alias("_low"),
             F.max("_label").alias("_high"),
-            *[F.min(F.struct(F.xxhash64("_c", F.lit(i)), F.col("_c")))["_c"].alias(f"_m{i}") for i in range(centres_per_round)],
             F.min_by("_c", "_label").alias("_of_low"),
             F.max_by("_c", "_label").alias("_of_high"),
         )
-        open_buckets = open_buckets.filter("_low <> _high")
-        chosen = F.array("_of_low", "_of_high", *[f"_m{i}" for i in range(centres_per_round)])
-        fresh = stored(open_buckets.select("_bucket", F.explode(F.array_distinct(chosen)).alias("_c")), "centres")
-        if fresh.isEmpty():
+        open_buckets = stored(open_buckets.filter("_low <> _high"), "open-buckets")
+        if open_buckets.isEmpty():
             break
-        others = _with_labels(members.join(fresh.select("_bucket").distinct(), "_bucket", "left_semi"), labels)
-        spokes = _with_labels(fresh, labels).withColumnsRenamed({"_c": "u", "_label": "_lu"}).join(others, "_bucket")
+        # of each bucket one member of the lowest and one of the highest label, and others by a hash of bucket and round
+        lots = waiting.join(open_buckets.select("_bucket"), "_bucket", "left_semi")
+        lot = F.pmod(F.xxhash64("_c", F.lit(per_bucket)), F.lit(per_bucket))
+        drawn = lots.groupBy("_bucket", lot.alias("_lot")).agg(F.min("_c").alias("_c")).select("_bucket", "_c")
+        ends = open_buckets.select("_bucket", F.explode(F.array("_of_low", "_of_high")).alias("_c"))
+        fresh = stored(drawn.unionByName(ends).distinct(), "centres")
+        others = with_labels(members.join(open_buckets.select("_bucket"), "_bucket", "left_semi"), "_c", labels, "_label")
+        spokes = with_labels(fresh, "_c", labels, "_lu").withColumnRenamed("_c", "u").join(others, "_bucket")
         stars = spokes.filter("_lu <> _label").select(F.least("u", "_c").alias("u"), F.greatest("u", "_c").alias("v")).distinct()
         centres = centres.unionByName(fresh)
-        centres_per_round *= 2
 
-    owned = _with_labels(classes.select("_c", "_n", "_s1", "_s2", "_min"), labels)
+    owned = with_labels(classes.select("_c", "_n", "_s1", "_s2", "_min"), "_c", labels, "_label")
     least = owned.groupBy("_label").agg(F.min("_min").alias("_least"))
     owned = owned.join(least, "_label").select("_n", "_s1", "_s2", "_least")
     found = signed.select("_id", "_n", "_s1", "_s2").join(owned, ["_n", "_s1", "_s2"], "left")
