@@ -127,8 +127,9 @@ def _find_anchors(rows: DataFrame) -> DataFrame:
 
 
 def _repeated(df: DataFrame, *keys: str) -> DataFrame:
-    """Keys of more than one row; equal rows are combined before the shuffle."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_times")).filter("_times > 1").drop("_times")
+    """Keys of more than one row; equal rows are combined before the shuffle. They are stored, so that the join back deals
+    out its rows anew and can split those of a frequent key."""
+    return stored(df.groupBy(*keys).agg(F.count("*").alias("_times")).filter("_times > 1").drop("_times"), "repeated-keys")
 
 
 def _undecided_texts(rows: DataFrame, undecided: DataFrame) -> DataFrame:
@@ -196,7 +197,8 @@ def _flagged(df: DataFrame, keys: list[str], flag: str) -> DataFrame:
 def _with_twins(df: DataFrame, keys: list[str]) -> DataFrame:
     """The undecided rows, and of the decided ones that they may still be equal to in part one of each kind."""
     undecided = df.filter(~F.col("_all"))
-    twins = df.filter("_all").join(undecided.select(*keys).distinct(), keys, "left_semi").dropDuplicates(["_gram", "_span"])
+    asked = stored(undecided.select(*keys).distinct(), "asked-keys")
+    twins = df.filter("_all").join(asked, keys, "left_semi").dropDuplicates(["_gram", "_span"])
     return undecided.unionByName(twins)
 
 
