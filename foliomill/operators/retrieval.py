@@ -16,11 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliomill.functions.text import hashed_embedding
+from foliomill.session import fresh_path
 
-MAX_BROADCAST_QUERIES = 4096
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
-QUERY_BLOCK = 32_768
-INDEX_BLOCK = 16_384
+QUERY_BLOCK = 4096  # queries sent to the tasks at once
+BLOCK_BYTES = 64 << 20
 ROWS_PER_BUCKET = 100_000  # some 50 MB of vectors with 64 dimensions
 SCALE = 1_000_000
 SCORE_CELLS = 4_000_000  # scores held at once by one task
@@ -145,26 +144,11 @@ def _scan_best(
     return scan
 
 
-def _cell_best(k: int, floor: int, skip_self: bool) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def score(queries: pa.Table, index: pa.Table) -> pa.Table:
-        schema = _arrow_schema(queries.schema.field("query_id").type, index.schema.field("id").type)
-        queries = _complete(queries.select(["query_id", "query_vec"]))
-        index = _complete(index.select(["id", "vec"]))
-        if queries.num_rows == 0 or index.num_rows == 0:
-            return schema.empty_table()
-        q_ids, q_rows = _ids(queries["query_id"]), _unit_rows(queries["query_vec"])
-        rows = _unit_rows(index["vec"], q_rows.shape[1])
-        found = _block_best(_ids(index["id"]), rows, q_ids, q_rows, k, floor, skip_self)
-        return pa.Table.from_batches([_best_batch(found, q_ids, schema)])
-
-    return score
-
-
-def _spread(df: DataFrame, id_col: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
-    """Put each row into one block of its own side and copy it to every block of the other side."""
-    return df.withColumn(own, F.pmod(F.xxhash64(id_col), F.lit(n_own))).withColumn(
-        other, F.explode(F.sequence(F.lit(0), F.lit(n_other - 1)))
-    )
+def _query_blocks(queries: DataFrame, rows_per_block: int) -> int:
+    """Number of blocks that hold about ``rows_per_block`` queries, fewer if their vectors are long."""
+    n, size = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("query_vec")), F.lit(1))).first()
+    rows = max(1, min(rows_per_block, BLOCK_BYTES // (8 * max(1, size))))
+    return max(1, -(-n // rows))
 
 
 def top_k(
@@ -176,16 +160,14 @@ def top_k(
     query_cols: tuple[str, str],
     min_score: float | None = None,
     skip_self: bool = False,
-    max_broadcast: int = MAX_BROADCAST_QUERIES,
     query_block: int = QUERY_BLOCK,
-    index_block: int = INDEX_BLOCK,
 ) -> DataFrame:
     """``query_id, id, score, rank`` of the ``k`` most similar vectors per query, optionally from ``min_score`` up.
 
-    Up to ``max_broadcast`` queries (and a bound in bytes) travel to the tasks and the index is scanned in place, unshuffled. More
-    queries than that are cut into blocks which meet blocks of the index by key; both sides stay distributed and
-    each cell is bounded by the two block sizes. Filters on the index belong before the call, where they reach
-    its scan. Ids are unique on both sides.
+    The queries are the smaller side. They travel to the tasks in blocks of bounded size, one after another, and for each
+    block the index is scanned where it lies; it is never shuffled, and a task hands on ``k`` rows per query at most. Any
+    number of queries takes this way; with several blocks the hits of each are stored before the next one is read.
+    Filters on the index belong before the call, where they reach its scan. Ids are unique on both sides.
     """
     if k < 1:
         raise ValueError("k must be positive")
@@ -196,19 +178,27 @@ def top_k(
     floor = -2 * SCALE if min_score is None else int(np.rint(min_score * SCALE))
     schema = f"query_id {qry.schema['query_id'].dataType.simpleString()}, id {idx.schema['id'].dataType.simpleString()}, score double"
 
-    small = qry.limit(max_broadcast + 1).toArrow()
-    if small.num_rows <= max_broadcast and small.nbytes <= MAX_BROADCAST_BYTES:
-        small = _complete(small)
-        if small.num_rows == 0:
-            return qry.sparkSession.createDataFrame([], schema + ", rank bigint")
-        q_ids, q_rows = _ids(small["query_id"]), _unit_rows(small["query_vec"])
-        found = idx.mapInArrow(_scan_best(q_ids, q_rows, small.schema.field("query_id").type, k, floor, skip_self), schema)
+    n_blocks = _query_blocks(qry, query_block)
+
+    def scan(block: int) -> DataFrame | None:
+        own = qry if n_blocks == 1 else qry.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == block)
+        own = _complete(own.toArrow())
+        if own.num_rows == 0:
+            return None
+        best = _scan_best(_ids(own["query_id"]), _unit_rows(own["query_vec"]), own.schema.field("query_id").type, k, floor, skip_self)
+        return idx.mapInArrow(best, schema)
+
+    spark = qry.sparkSession
+    if n_blocks == 1:
+        found = scan(0)
     else:
-        n_q = -(-qry.count() // query_block)
-        n_i = max(1, -(-idx.count() // index_block))
-        q_cells = _spread(qry, "query_id", "qb", n_q, "ib", n_i).groupBy("qb", "ib")
-        i_cells = _spread(idx, "id", "ib", n_i, "qb", n_q).groupBy("qb", "ib")
-        found = q_cells.cogroup(i_cells).applyInArrow(_cell_best(k, floor, skip_self), schema)
+        spark.createDataFrame([], schema).write.parquet(path := fresh_path(spark, "hits"))
+        for block in range(n_blocks):
+            if (hits := scan(block)) is not None:
+                hits.write.mode("append").parquet(path)
+        found = spark.read.schema(schema).parquet(path)
+    if found is None:
+        return spark.createDataFrame([], schema + ", rank bigint")
 
     order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)

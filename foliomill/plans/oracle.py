@@ -379,6 +379,7 @@ def statements() -> dict[str, str]:
             SELECT doc_id, md5(text) AS text_hash, coalesce(embedding_e6, '') AS embedding_e6 FROM ({AFTER})
             LEFT JOIN ({printed(AFTER, "doc_id", "text")}) USING (doc_id)""",
         "vector_topk": f"SELECT query_id, id, score, rank FROM ({nearest(queries.TOP_K)})",
+        "vector_topk_blocks": f"SELECT query_id, id, score, rank FROM ({nearest(queries.TOP_K)})",
         "vector_topk_filtered": f"SELECT query_id, id, score, rank FROM ({nearest(queries.TOP_K, 'i.label = 3')})",
         "vector_threshold": f"""
             SELECT query_id, id, score, rank FROM ({nearest(queries.TOP_K)}) WHERE score >= {queries.THRESHOLD}""",

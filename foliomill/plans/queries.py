@@ -373,6 +373,13 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.top_k(vectors, vectors, TOP_K, index_cols=VECTORS, query_cols=VECTORS, skip_self=True)
 
 
+@query
+def vector_topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same hits with the queries sent in several blocks."""
+    vectors = _vectors(spark, sf_dir)
+    return retrieval.top_k(vectors, vectors, TOP_K, index_cols=VECTORS, query_cols=VECTORS, skip_self=True, query_block=200)
+
+
 @query
 def vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _vectors(spark, sf_dir)

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from foliomill.operators import retrieval
 
 COLS = ("id", "v")
-GRID = {"max_broadcast": 0, "query_block": 7, "index_block": 11}
+BLOCKS = {"query_block": 7}
 
 
 def frame(spark, rows, id_type="bigint"):
@@ -38,7 +38,7 @@ def hits(df):
     return {(r.query_id, r.id, r.score + 0.0, r.rank) for r in df.collect()}
 
 
-@pytest.mark.parametrize("ways", [{}, GRID], ids=["broadcast", "grid"])
+@pytest.mark.parametrize("ways", [{}, BLOCKS], ids=["one block", "blocks"])
 @pytest.mark.parametrize("k,min_score,skip_self", [(1, None, False), (5, None, True), (25, 0.2, True), (100, None, False)])
 def test_top_k_is_exact(spark, ways, k, min_score, skip_self):
     index, queries = corpus(), corpus(25, seed=5)
@@ -59,7 +59,7 @@ def test_small_batches_give_the_same_hits(spark):
     assert got == plain_top_k(index, queries, 5)
 
 
-@pytest.mark.parametrize("ways", [{}, GRID], ids=["broadcast", "grid"])
+@pytest.mark.parametrize("ways", [{}, BLOCKS], ids=["one block", "blocks"])
 def test_text_ids(spark, ways):
     index = [(f"c{i:02d}é", v) for i, v in corpus(30)]
     got = retrieval.top_k(frame(spark, index, "string"), frame(spark, corpus(5)), 3, index_cols=COLS, query_cols=COLS, **ways)
@@ -73,7 +73,7 @@ def test_missing_vectors_and_empty_sides(spark):
     none = index.limit(0)
     assert retrieval.top_k(index, none, 2, index_cols=COLS, query_cols=COLS).count() == 0
     assert retrieval.top_k(none, index, 2, index_cols=COLS, query_cols=COLS).count() == 0
-    assert retrieval.top_k(none, index, 2, index_cols=COLS, query_cols=COLS, **GRID).count() == 0
+    assert retrieval.top_k(none, index, 2, index_cols=COLS, query_cols=COLS, **BLOCKS).count() == 0
 
 
 def test_uneven_vectors_fail(spark):
@@ -115,7 +115,7 @@ def test_recall(spark):
 def test_index_sync(spark, tmp_path):
     before = spark.createDataFrame([(1, "alpha"), (2, "beta"), (3, "gamma")], "k bigint, t string")
     after = spark.createDataFrame([(2, "beta"), (3, "gamma ray"), (4, "delta")], "k bigint, t string")
-    index = retrieval.write_index(retrieval.index_rows(before, "k", "t"), "sync_test", str(tmp_path / "index"), "k", 4)
+    index = retrieval.write_index(retrieval.index_rows(before, "k", "t"), "sync_test", str(tmp_path / "index"), "k", 1)
     plan = retrieval.sync_plan(index, after, "k", "t")
     shuffles = plan._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
     assert shuffles == 1  # the source side only, the index is bucketed by key
@@ -128,3 +128,9 @@ def test_index_sync(spark, tmp_path):
     rebuilt = {r.k: r.embedding for r in retrieval.index_rows(after, "k", "t").collect()}
     assert synced.pop(2) == [-1.0] and rebuilt.pop(2)
     assert synced == rebuilt
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = retrieval.apply_sync(index, after, "k", "t")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1  # stored vectors stay where they are
