@@ -25,7 +25,7 @@ SIMILAR = (75, 100)
 BINS = 128
 ROWS_PER_BAND = 4
 BANDS = BINS // ROWS_PER_BAND
-MORE_CENTRES = 8  # times as many new centres per bucket in each round
+MORE_CENTRES = 32  # times as many new centres per bucket in each round
 SMALL = 64  # shingles below which the sketches of two sets say too little
 LEAST_AGREEING = 56  # bins of two sketches; linked sets agree in 96 of 128 on average
 _BIN_SHIFT = np.uint64(64 - (BINS - 1).bit_length())
@@ -173,9 +173,9 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         found = stored(_similar(stored(_worth_testing(stars, classes), "tested"), texts), "similar")
         if not found.isEmpty():
             labels = merged(labels, found)
-        # buckets in which members that were no centre yet are not all connected
-        waiting = with_labels(members.join(centres, ["_bucket", "_c"], "left_anti"), "_c", labels, "_label")
-        per_bucket *= MORE_CENTRES
+        # a bucket is open as long as members that were no centre yet are not all connected
+        labelled = with_labels(members, "_c", labels, "_label")
+        waiting = stored(labelled.join(centres, ["_bucket", "_c"], "left_anti"), "waiting")
         open_buckets = waiting.groupBy("_bucket").agg(
             F.min("_label").alias("_low"),
             F.max("_label").alias("_high"),
@@ -185,16 +185,23 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         open_buckets = stored(open_buckets.filter("_low <> _high"), "open-buckets")
         if open_buckets.isEmpty():
             break
-        # of each bucket one member of the lowest and one of the highest label, and others by a hash of bucket and round
-        lots = waiting.join(open_buckets.select("_bucket"), "_bucket", "left_semi")
+        # of each bucket one member of the lowest and one of the highest label, and more by lot
+        per_bucket *= MORE_CENTRES
         lot = F.pmod(F.xxhash64("_c", F.lit(per_bucket)), F.lit(per_bucket))
-        drawn = lots.groupBy("_bucket", lot.alias("_lot")).agg(F.min("_c").alias("_c")).select("_bucket", "_c")
-        ends = open_buckets.select("_bucket", F.explode(F.array("_of_low", "_of_high")).alias("_c"))
-        fresh = stored(drawn.unionByName(ends).distinct(), "centres")
-        others = with_labels(members.join(open_buckets.select("_bucket"), "_bucket", "left_semi"), "_c", labels, "_label")
-        spokes = with_labels(fresh, "_c", labels, "_lu").withColumnRenamed("_c", "u").join(others, "_bucket")
-        stars = spokes.filter("_lu <> _label").select(F.least("u", "_c").alias("u"), F.greatest("u", "_c").alias("v")).distinct()
-        centres = centres.unionByName(fresh)
+        drawn = waiting.join(open_buckets.select("_bucket"), "_bucket", "left_semi").groupBy("_bucket", lot).agg(
+            F.min(F.struct("_c", "_label")).alias("_m")
+        )
+        ends = F.array(*[F.struct(F.col(f"_of_{end}").alias("_c"), F.col(f"_{end}").alias("_label")) for end in ("low", "high")])
+        fresh = drawn.select("_bucket", "_m.*").unionByName(open_buckets.select("_bucket", F.inline(ends)))
+        fresh = stored(fresh.distinct().withColumnsRenamed({"_c": "u", "_label": "_lu"}), "centres")
+        # a bucket once closed stays closed, because labels are only ever joined
+        labelled = stored(labelled.join(open_buckets.select("_bucket"), "_bucket", "left_semi"), "open-members")
+        members = labelled.select("_bucket", "_c")
+        spokes = fresh.alias("f").join(
+            labelled.alias("m"), (F.col("f._bucket") == F.col("m._bucket")) & (F.col("f._lu") != F.col("m._label"))
+        )
+        stars = spokes.select(F.least("u", "_c").alias("u"), F.greatest("u", "_c").alias("v")).distinct()
+        centres = centres.unionByName(fresh.select("_bucket", F.col("u").alias("_c")))
 
     owned = with_labels(classes.select("_c", "_n", "_s1", "_s2", "_min"), "_c", labels, "_label")
     least = owned.groupBy("_label").agg(F.min("_min").alias("_least"))
