@@ -74,6 +74,33 @@ def request_histories(
     )
 
 
+def full_histories(
+    messages: DataFrame, requests: DataFrame, thread: str, turn: str, role: str, text: str, page_turns: int = PAGE_TURNS
+) -> DataFrame:
+    """Whole history of chosen requests, one per thread: ``thread, turn, page, n_messages, messages``.
+
+    One row per page of the thread up to the request, in order by ``page``; ``n_messages`` counts the whole history. Each
+    row is bounded, however long the thread.
+    """
+    chosen = requests.select(thread, F.col(turn).alias("_request"))
+    before = messages.join(chosen, thread).filter(F.col(turn) <= F.col("_request"))
+    in_order = F.sort_array(F.collect_list(F.struct(F.col(turn).alias("turn"), _message(role, text).alias("m"))))
+    pages = before.groupBy(thread, "_request", _page(turn, page_turns).alias("page")).agg(in_order.alias("_all"))
+    total = before.groupBy(thread).agg(F.count(F.lit(1)).alias("n_messages"))
+    return pages.join(total, thread).select(
+        thread, F.col("_request").alias(turn), "page", "n_messages", F.transform("_all", lambda e: e["m"]).alias("messages")
+    )
+
+
+def open_threads(pages: DataFrame, system: DataFrame, thread: str) -> DataFrame:
+    """Put each thread's ``system`` message in front of its first page; a thread with nothing else gets a page of its own."""
+    first = pages.groupBy(thread).agg(F.min("page").alias("page"))
+    placed = system.join(first, thread, "left").select(thread, F.coalesce("page", F.lit(0)).alias("page"), "system")
+    both = pages.join(placed, [thread, "page"], "full_outer")
+    none = F.array().cast(f"array<{MESSAGE}>")
+    return both.select(thread, "page", prepend_system(F.coalesce("messages", none), F.col("system")).alias("messages"))
+
+
 def last_messages(messages: DataFrame, thread: str, turn: str) -> DataFrame:
     """The last message of every conversation."""
     return newest_per_key(messages, [thread], [turn])

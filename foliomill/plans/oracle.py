@@ -446,12 +446,17 @@ def statements() -> dict[str, str]:
             SELECT conv_id, turn, role, text FROM conversations
             QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1""",
         "with_system": f"""
-            SELECT conv_id, page, to_json(CASE WHEN s IS NULL THEN m ELSE list_concat([{{'role': 'system', 'content': s}}], m) END)::varchar
-              AS messages_json FROM (
-                SELECT conv_id, turn // {chat.PAGE_TURNS} AS page, list({MESSAGE} ORDER BY turn) AS m FROM conversations
-                WHERE role <> 'system' GROUP BY 1, 2)
-            LEFT JOIN (SELECT conv_id, 0 AS page, arg_max(text, turn) AS s FROM conversations WHERE role = 'system' GROUP BY 1)
-              USING (conv_id, page)""",
+            WITH m AS (SELECT conv_id, turn // {chat.PAGE_TURNS} AS page, list({MESSAGE} ORDER BY turn) AS m FROM conversations
+              WHERE role <> 'system' GROUP BY 1, 2),
+            s AS (SELECT conv_id, arg_max(text, turn) AS s FROM conversations WHERE role = 'system' GROUP BY 1),
+            p AS (SELECT s.conv_id, coalesce(min(m.page), 0) AS page, any_value(s) AS s FROM s LEFT JOIN m USING (conv_id) GROUP BY 1)
+            SELECT conv_id, page, to_json(list_concat(CASE WHEN s IS NOT NULL THEN [{{'role': 'system', 'content': s}}] ELSE [] END,
+              coalesce(m, [])))::varchar AS messages_json FROM m FULL JOIN p USING (conv_id, page)""",
+        "full_history": f"""
+            WITH r AS (SELECT conv_id, max(turn) AS asked FROM conversations WHERE role = 'user' GROUP BY 1)
+            SELECT conv_id, asked AS turn, turn // 4 AS page, cast(sum(count(*)) OVER (PARTITION BY conv_id) AS bigint) AS n_messages,
+              to_json(list({MESSAGE} ORDER BY turn))::varchar AS messages_json
+            FROM conversations JOIN r USING (conv_id) WHERE turn <= asked GROUP BY conv_id, asked, turn // 4""",
         "pairs_to_messages": f"""
             SELECT conv_id, turn, 0::int AS position, 'user' AS role, question AS content FROM ({ANSWERED})
             UNION ALL SELECT conv_id, turn, 1, 'assistant', answer FROM ({ANSWERED})""",

@@ -641,6 +641,15 @@ def history_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last request of every conversation with all that was said before, in pages of four turns."""
+    messages = _conversations(spark, sf_dir)
+    last = messages.filter("role = 'user'").groupBy("conv_id").agg(F.max("turn").alias("turn"))
+    pages = chat.full_histories(messages, last, "conv_id", "turn", "role", "text", 4)
+    return pages.select("conv_id", "turn", "page", "n_messages", _json("messages").alias("messages_json"))
+
+
 @query
 def last_message(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.last_messages(_conversations(spark, sf_dir), "conv_id", "turn")
@@ -651,10 +660,8 @@ def with_system(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = _conversations(spark, sf_dir)
     threads = chat.thread_pages(messages.filter("role <> 'system'"), "conv_id", "turn", "role", "text")
     system = keyed.newest_per_key(messages.filter("role = 'system'"), ["conv_id"], ["turn"])
-    system = system.select("conv_id", F.lit(0).cast("bigint").alias("page"), F.col("text").alias("system"))
-    both = threads.join(system, ["conv_id", "page"], "left")
-    opened = chat.prepend_system(F.col("messages"), F.col("system")).alias("messages")
-    return both.select("conv_id", "page", opened).select("conv_id", "page", _json("messages").alias("messages_json"))
+    system = system.select("conv_id", F.col("text").alias("system"))
+    return chat.open_threads(threads, system, "conv_id").select("conv_id", "page", _json("messages").alias("messages_json"))
 
 
 @query

@@ -121,3 +121,16 @@ def test_memory_search_with_one_busy_user(spark):
 def test_token_set_is_shared(spark):
     row = spark.createDataFrame([("The the café!",)], "t string").select(token_set(F.col("t"))).first()[0]
     assert row == ["the", "caf"]
+
+
+def test_histories_are_whole_beyond_a_page(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", f"m{t}") for t in range(600)] + [(2, 0, "system", "only")]
+    messages = spark.createDataFrame(rows, "conv bigint, turn bigint, role string, text string")
+    asked = spark.createDataFrame([(1, 590)], "conv bigint, turn bigint")
+    pages = sorted(chat.full_histories(messages, asked, "conv", "turn", "role", "text").collect(), key=lambda r: r.page)
+    assert [len(r.messages) for r in pages] == [256, 256, 79] and {r.n_messages for r in pages} == {591}
+    assert [m.content for r in pages for m in r.messages] == [f"m{t}" for t in range(591)]
+    threads = chat.thread_pages(messages.filter("role <> 'system' AND turn > 300"), "conv", "turn", "role", "text")
+    system = spark.createDataFrame([(1, "intro"), (2, "only")], "conv bigint, system string")
+    opened = {(r.conv, r.page): [m.content for m in r.messages] for r in chat.open_threads(threads, system, "conv").collect()}
+    assert opened[1, 1][:2] == ["intro", "m301"] and opened[1, 2][0] == "m512" and opened[2, 0] == ["only"]
