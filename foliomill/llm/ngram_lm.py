@@ -3,8 +3,9 @@
 The filter holds no counts but events: an n-gram of quantised count q is inserted as (n-gram, 1) to (n-gram, q). A count
 is read by probing level after level until one is missing. False positives can only raise a count, and by two levels
 far more rarely than by one. The probability of a word interpolates the probed counts of the bigram, its first word and
-the word. The filter's size has a fixed bound: of a corpus with N tokens at most N / c n-grams occur c times, and when
-the events of all n-grams might not fit, the lowest levels are left out for bigrams, as in any pruned model.
+the word. The filter is cut by key into segments, each as large as its own events need, so all levels are kept at every
+size. A filter of up to ``SHARED_BITS`` is sent to every worker; from a larger one nothing is sent, and the n-grams of the
+texts travel to their segments and the levels back. Both ways give the same scores.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,10 +28,10 @@ END = np.uint64(0x5BD1E995C0FFEE01)  # key of the end of a text, counted as a to
 START = np.uint64(0x27D4EB2F165667C5)  # key of the place before the first word, only a history
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
-FILTER_BITS = 1 << 29  # 64 MB: the filter is sent to every worker
+SHARED_BITS = 1 << 29  # 64 MB: up to this size the filter is sent to every worker
 BITS_PER_EVENT = 8
 HASHES = 4
-BLOCKS = 4096  # most pieces that the filter is put together from
+UNIT_BYTES = 1 << 22  # texts whose n-grams travel together to the segments of a larger filter
 SEGMENT_TOKENS = 1 << 21  # tokens of the corpus per segment whose n-grams one task counts
 HEAVY_TOKENS = 1 << 20  # most tokens that are sent to every worker with exact counts
 FLUSH = 3 << 20  # n-grams that a task combines before it passes them on
@@ -38,35 +40,37 @@ _LOW = np.uint64((1 << 48) - 1)
 
 
 class Shape(NamedTuple):
-    """Addresses in the filter. A key's top bits are its segment; neighbouring segments share a block."""
+    """Addresses in the filter. A key's top bits are its segment, which has its own range of bytes."""
 
     segment_bits: int
-    block_bits: int
-    size_bits: int  # logarithm of the bits of a block
+    edges: np.ndarray  # byte at which each segment begins, and the end of the last
 
     def segments(self, keys: np.ndarray) -> np.ndarray:
-        return (keys >> np.uint64(64 - self.segment_bits)) if self.segment_bits else np.zeros(len(keys), np.uint64)
-
-    def blocks(self, segments: np.ndarray) -> np.ndarray:
-        return segments >> np.uint64(self.segment_bits - self.block_bits)
-
-    def places(self, segments: np.ndarray, low: np.ndarray, level: int) -> Iterator[np.ndarray]:
-        """Bit in the key's block, one array per hash function."""
-        with np.errstate(over="ignore"):
-            own = mixed(low + segments * _PAIR, level)
-            step = mixed(own, 101) | np.uint64(1)
-            for _ in range(HASHES):
-                yield own >> np.uint64(64 - self.size_bits)
-                own = own + step
+        return segments_of(keys, self.segment_bits)
 
 
 class Model(NamedTuple):
     n_tokens: int
     n_types: int
     shape: Shape
-    cuts: tuple[int, int]  # lowest level kept for single tokens and for bigrams
-    shared: Broadcast  # filter, heavy keys, their exact counts
+    cuts: tuple[int, int]  # lowest level kept for single tokens and for bigrams, 1 unless a bound was asked for
+    shared: Broadcast  # filter or, if that is too large, None; heavy keys, their exact counts
     unigrams: DataFrame
+    filters: DataFrame  # _segment, _bits
+
+
+def segments_of(keys: np.ndarray, segment_bits: int) -> np.ndarray:
+    return (keys >> np.uint64(64 - segment_bits)) if segment_bits else np.zeros(len(keys), np.uint64)
+
+
+def places(segments: np.ndarray, low: np.ndarray, sizes: np.ndarray | np.uint64, level: int) -> Iterator[np.ndarray]:
+    """Bit in the key's segment of ``sizes`` bits, fewer than 2^32; one array per hash function."""
+    with np.errstate(over="ignore"):
+        own = mixed(low + segments * _PAIR, level)
+        step = mixed(own, 101) | np.uint64(1)
+        for _ in range(HASHES):
+            yield (own >> np.uint64(32)) * sizes >> np.uint64(32)
+            own = own + step
 
 
 def held_out(id_column: str) -> Column:
@@ -134,11 +138,22 @@ def count_tokens(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(count, "_key bigint, _n bigint").groupBy("_key").agg(F.sum("_n").alias("_n"))
 
 
-def _packed(keys: np.ndarray, counts: np.ndarray, order: int, shape: Shape) -> Iterator[pa.RecordBatch]:
-    """A row per segment of sorted distinct keys: the low 48 bits of each, and the counts."""
-    segments = shape.segments(keys)
+def _by_segment(keys: np.ndarray, segment_bits: int) -> tuple[np.ndarray, list[int], np.ndarray]:
+    """Segments of sorted keys, where each segment begins with the end of the last, and the low 48 bits of each key."""
+    segments = segments_of(keys, segment_bits)
     cut = np.flatnonzero(np.diff(segments.astype(np.int64), prepend=-1)).tolist() + [len(keys)]
-    low = keys.view(np.uint8).reshape(-1, 8)[:, :6]
+    return segments, cut, np.ascontiguousarray(keys).view(np.uint8).reshape(-1, 8)[:, :6]
+
+
+def _unpacked(packed: list[bytes]) -> np.ndarray:
+    low = np.zeros((sum(map(len, packed)) // 6, 8), np.uint8)
+    low[:, :6] = np.frombuffer(b"".join(packed), np.uint8).reshape(-1, 6)
+    return low.view(np.uint64)[:, 0]
+
+
+def _packed(keys: np.ndarray, counts: np.ndarray, order: int, segment_bits: int) -> Iterator[pa.RecordBatch]:
+    """A row per segment of sorted distinct keys: the low 48 bits of each, and the counts."""
+    segments, cut, low = _by_segment(keys, segment_bits)
     counts = np.minimum(counts, 2**32 - 1).astype(np.uint32)
     for at in range(0, len(cut) - 1, 64):
         edges = list(zip(cut[at : at + 64], cut[at + 1 : at + 65], strict=False))
@@ -156,58 +171,55 @@ def _packed(keys: np.ndarray, counts: np.ndarray, order: int, shape: Shape) -> I
 _PACKED = "_segment bigint, _order int, _keys binary, _counts binary"
 
 
-def _pair_segments(texts: DataFrame, shape: Shape) -> DataFrame:
+def _pair_segments(texts: DataFrame, segment_bits: int) -> DataFrame:
     def pairs(batch: list[bytes]) -> np.ndarray:
         keys, before, _ = token_keys(batch)
         return pair_keys(before, keys)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for keys, n in _flushed(batches, pairs):
-            yield from _packed(keys, n, 2, shape)
+            yield from _packed(keys, n, 2, segment_bits)
 
     return texts.mapInArrow(pack, _PACKED)
 
 
-def _token_segments(unigrams: DataFrame, shape: Shape) -> DataFrame:
+def _token_segments(unigrams: DataFrame, segment_bits: int) -> DataFrame:
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
             order = np.argsort(keys)
-            yield from _packed(keys[order], batch.column(1).to_numpy(zero_copy_only=False)[order], 1, shape)
+            yield from _packed(keys[order], batch.column(1).to_numpy(zero_copy_only=False)[order], 1, segment_bits)
 
     return unigrams.select("_key", "_n").mapInArrow(pack, _PACKED)
 
 
-def _filter_blocks(packed: DataFrame, shape: Shape, cuts: tuple[int, int]) -> DataFrame:
-    """``_block, _bits``: count the n-grams of each segment and insert their events into the segment's block."""
+def _filters(packed: DataFrame, cuts: tuple[int, int]) -> DataFrame:
+    """``_segment, _bits``: count the n-grams of each segment and insert their events into a filter of the size they need.
+
+    An n-gram has at most as many events as occurrences, so a segment's filter is bounded by its share of the tokens.
+    """
 
     def insert(table: pa.Table) -> pa.Table:
         segment = table.column("_segment")[0].as_py()
-        bits = np.zeros(max(1, (1 << shape.size_bits) // 8), np.uint8)
         order = np.array(table.column("_order").to_pylist())
         keys, counts = table.column("_keys").to_pylist(), table.column("_counts").to_pylist()
+        counted = []
         for n in (1, 2):
             own = np.flatnonzero(order == n)
-            if not len(own):
-                continue
-            low = np.zeros((sum(len(counts[i]) for i in own) // 4, 8), np.uint8)
-            low[:, :6] = np.frombuffer(b"".join(keys[i] for i in own), np.uint8).reshape(-1, 6)
-            found, where = np.unique(low.view(np.uint64)[:, 0], return_inverse=True)
-            total = np.bincount(where, np.frombuffer(b"".join(counts[i] for i in own), np.uint32))
-            top = levels(total)
-            for level in range(cuts[n - 1], int(top.max()) + 1):
+            if len(own):
+                found, where = np.unique(_unpacked([keys[i] for i in own]), return_inverse=True)
+                total = np.bincount(where, np.frombuffer(b"".join(counts[i] for i in own), np.uint32))
+                counted.append((found, levels(total), cuts[n - 1]))
+        events = sum(int(np.maximum(top - cut + 1, 0).sum()) for _, top, cut in counted)
+        bits = np.zeros(-(-events * BITS_PER_EVENT // 8), np.uint8)
+        for found, top, cut in counted:
+            for level in range(cut, int(top.max()) + 1):
                 there = found[top >= level]
-                for place in shape.places(np.full(len(there), segment, np.uint64), there, level):
+                for place in places(np.full(len(there), segment, np.uint64), there, np.uint64(8 * len(bits)), level):
                     np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
-        block = int(shape.blocks(np.array([segment], np.uint64))[0])
-        return pa.table({"_block": pa.array([block], pa.int64()), "_bits": pa.array([bits.tobytes()], pa.binary())})
-
-    def unite(table: pa.Table) -> pa.Table:
-        parts = [np.frombuffer(b, np.uint8) for b in table.column("_bits").to_pylist()]
-        return pa.table({"_block": table.column("_block")[:1], "_bits": pa.array([np.bitwise_or.reduce(parts).tobytes()], pa.binary())})
+        return pa.table({"_segment": pa.array([segment], pa.int64()), "_bits": pa.array([bits.tobytes()], pa.binary())})
 
-    made = "_block bigint, _bits binary"
-    return packed.groupBy("_segment").applyInArrow(insert, made).groupBy("_block").applyInArrow(unite, made)
+    return packed.groupBy("_segment").applyInArrow(insert, "_segment bigint, _bits binary")
 
 
 def _lowest_level(events: dict[int, int], capacity: int) -> int:
@@ -218,11 +230,13 @@ def _lowest_level(events: dict[int, int], capacity: int) -> int:
     return cut
 
 
-def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", filter_bits: int = FILTER_BITS) -> Model:
+def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", filter_bits: int | None = None) -> Model:
     """Count all tokens and bigrams of the rows that aren't held out and build the filter.
 
-    Single tokens are counted exactly and stored. What reaches the driver has fixed bounds: the filter, and the exact
-    counts of tokens that make up at least one part in ``HEAVY_TOKENS`` of the corpus, of which there are not more.
+    Single tokens are counted exactly and stored. The filter keeps all counts, unless ``filter_bits`` asks for a pruned
+    model: then the lowest levels that might not fit are left out. What reaches the driver is bounded: the filter if it has
+    at most ``SHARED_BITS``, a number per segment, and the exact counts of tokens that make up at least one part in
+    ``HEAVY_TOKENS`` of the corpus, of which there are not more.
     """
     spark = docs.sparkSession
     texts = docs.filter(~held_out(id_column)).select(F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
@@ -230,38 +244,46 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     start = int(START.astype(np.int64))
     words = unigrams.filter(F.col("_key") != start)
     n_tokens, n_types = words.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count("*")).first()
-    by_level = unigrams.groupBy((F.floor(F.log2("_n") + 1e-12) + 1).alias("l")).count().collect()
-    capacity = filter_bits // BITS_PER_EVENT
-    first = _lowest_level({r.l: r["count"] for r in by_level}, capacity // 4)
-    # at most n_tokens / 2^(l - 1) events lie on level l or above
-    second = 1
-    while n_tokens >> (second - 1) > capacity * 3 // 4:
-        second += 1
-    expected = capacity // 4 if first > 1 else sum(r.l * r["count"] for r in by_level)
-    bits = max(16, (BITS_PER_EVENT * (expected + (n_tokens >> (second - 1))) - 1).bit_length())
-    bits = min(bits, filter_bits.bit_length() - 1)
+    first = second = 1
+    if filter_bits is not None:
+        by_level = unigrams.groupBy((F.floor(F.log2("_n") + 1e-12) + 1).alias("l")).count().collect()
+        capacity = filter_bits // BITS_PER_EVENT
+        first = _lowest_level({r.l: r["count"] for r in by_level}, capacity // 4)
+        # at most n_tokens / 2^(l - 1) events lie on level l or above
+        while n_tokens >> (second - 1) > capacity * 3 // 4:
+            second += 1
     segment_bits = max(0, (n_tokens // SEGMENT_TOKENS).bit_length())
-    block_bits = min(segment_bits, BLOCKS.bit_length() - 1)
-    shape = Shape(segment_bits, block_bits, bits - block_bits)
-    packed = _pair_segments(texts, shape).unionByName(_token_segments(unigrams, shape))
-    data = np.zeros((1 << block_bits, (1 << shape.size_bits) // 8), np.uint8)
-    for row in stored(_filter_blocks(packed, shape, (first, second)), "filter-blocks").toLocalIterator():
-        data[row["_block"]] = np.frombuffer(row["_bits"], np.uint8)
+    packed = _pair_segments(texts, segment_bits).unionByName(_token_segments(unigrams, segment_bits))
+    filters = stored(_filters(packed, (first, second)), "filter-segments")
+    sizes = np.zeros(1 << segment_bits, np.int64)
+    for segment, size in filters.select("_segment", F.length("_bits")).toLocalIterator():
+        sizes[segment] = size
+    shape = Shape(segment_bits, np.concatenate([[0], np.cumsum(sizes)]))
+    data = None
+    if 8 * sizes.sum() <= SHARED_BITS:
+        data = np.zeros(sizes.sum(), np.uint8)
+        for row in filters.toLocalIterator():
+            at = shape.edges[row["_segment"]]
+            data[at : at + len(row["_bits"])] = np.frombuffer(row["_bits"], np.uint8)
     heavy = words.filter(F.col("_n") > n_tokens / HEAVY_TOKENS).toPandas().sort_values("_key")
-    shared = spark.sparkContext.broadcast((data.reshape(-1), heavy["_key"].to_numpy(np.int64), heavy["_n"].to_numpy(np.int64)))
-    return Model(n_tokens, n_types, shape, (first, second), shared, unigrams)
+    shared = spark.sparkContext.broadcast((data, heavy["_key"].to_numpy(np.int64), heavy["_n"].to_numpy(np.int64)))
+    return Model(n_tokens, n_types, shape, (first, second), shared, unigrams, filters)
 
 
 def probe(data: np.ndarray, shape: Shape, keys: np.ndarray, cut: int) -> np.ndarray:
     """Levels of keys in the filter; 0 where even the lowest is missing."""
-    found = np.zeros(len(keys), np.int64)
     segments = shape.segments(keys)
-    base = shape.blocks(segments) << np.uint64(shape.size_bits)
-    low = keys & _LOW
-    live, level = np.arange(len(keys)), cut
+    begin = shape.edges[segments.astype(np.int64)]
+    size = shape.edges[segments.astype(np.int64) + 1] - begin
+    return _probe(data, segments, keys & _LOW, (8 * begin).astype(np.uint64), (8 * size).astype(np.uint64), cut)
+
+
+def _probe(data: np.ndarray, segments: np.ndarray, low: np.ndarray, base: np.ndarray, sizes: np.ndarray, cut: int) -> np.ndarray:
+    found = np.zeros(len(low), np.int64)
+    live, level = np.flatnonzero(sizes), cut
     while len(live):
         there = np.ones(len(live), bool)
-        for place in shape.places(segments[live], low[live], level):
+        for place in places(segments[live], low[live], sizes[live], level):
             at = base[live] + place
             there &= (data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
         live = live[there]
@@ -272,18 +294,121 @@ def probe(data: np.ndarray, shape: Shape, keys: np.ndarray, cut: int) -> np.ndar
     return found
 
 
-def log_probabilities(model_parts: tuple, keys: np.ndarray, before: np.ndarray) -> np.ndarray:
-    """log10 probability of each token after the one before it, from probed counts only."""
-    data, shape, cuts, n_tokens, n_types = model_parts
-    single, at = np.unique(np.concatenate([keys, before]), return_inverse=True)
-    counts = count_of(probe(data, shape, single, cuts[0]))
-    own, history = counts[at[: len(keys)]], counts[at[len(keys) :]]
-    pairs, at = np.unique(pair_keys(before, keys), return_inverse=True)
-    both = count_of(probe(data, shape, pairs, cuts[1]))[at]
+class Ngrams(NamedTuple):
+    """Sorted distinct keys of the single tokens and the bigrams of some texts, and where each token's are among them."""
+
+    singles: np.ndarray
+    own: np.ndarray
+    history: np.ndarray
+    pairs: np.ndarray
+    both: np.ndarray
+
+
+def ngrams(keys: np.ndarray, before: np.ndarray) -> Ngrams:
+    singles, at = np.unique(np.concatenate([keys, before]), return_inverse=True)
+    pairs, both = np.unique(pair_keys(before, keys), return_inverse=True)
+    return Ngrams(singles, at[: len(keys)], at[len(keys) :], pairs, both)
+
+
+def log_probabilities(grams: Ngrams, singles: np.ndarray, pairs: np.ndarray, n_tokens: int, n_types: int) -> np.ndarray:
+    """log10 probability of each token after the one before it, from the probed levels of single tokens and bigrams only."""
+    counts = count_of(singles)
+    own, history, both = counts[grams.own], counts[grams.history], count_of(pairs)[grams.both]
     lower = (own + 1) / (n_tokens + n_types + 1)
     return np.log10((both + PRIOR * lower) / (np.maximum(history, both) + PRIOR))
 
 
+def _sent(rows: DataFrame, segment_bits: int, id_type: str) -> DataFrame:
+    """Texts in units, and the n-grams of each unit packed by segment; ``_to`` is the segment, or negative for a unit.
+
+    A unit is named by its first row. ``_order`` is 0 for a text, 1 for single tokens and 2 for bigrams.
+    """
+
+    def unit(parts: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name = parts[0].column(1)[0].as_py()
+        for part in parts:
+            n = part.num_rows
+            yield pa.record_batch(
+                [
+                    pa.array([-1 - name] * n, pa.int64()),
+                    pa.array([name] * n, pa.int64()),
+                    pa.array([0] * n, pa.int32()),
+                    part.column(0).cast(pa.binary()),
+                    part.column(1),
+                    part.column(2),
+                ],
+                names=names,
+            )
+        texts = [t for part in parts for t in part.column(0).cast(pa.binary()).to_pylist()]
+        grams = ngrams(*token_keys(texts)[:2])
+        for order, keys in ((1, grams.singles), (2, grams.pairs)):
+            segments, cut, low = _by_segment(keys, segment_bits)
+            n = len(cut) - 1
+            yield pa.record_batch(
+                [
+                    pa.array(segments[cut[:-1]].astype(np.int64)),
+                    pa.array([name] * n, pa.int64()),
+                    pa.array([order] * n, pa.int32()),
+                    pa.array([low[a:b].tobytes() for a, b in zip(cut, cut[1:], strict=False)], pa.binary()),
+                    pa.nulls(n, pa.int64()),
+                    pa.nulls(n, parts[0].column(2).type),
+                ],
+                names=names,
+            )
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size = 0
+        for batch in batches:
+            for part in sized_batches(batch, 0):
+                more = pc.sum(pc.binary_length(part.column(0))).as_py()
+                if held and size + more > UNIT_BYTES:
+                    yield from unit(held)
+                    held, size = [], 0
+                held.append(part)
+                size += more
+        if held:
+            yield from unit(held)
+
+    names = ["_to", "_unit", "_order", "_data", "_row", "_id"]
+    return rows.mapInArrow(send, f"_to bigint, _unit bigint, _order int, _data binary, _row bigint, _id {id_type}")
+
+
+def _answered(sent: DataFrame, filters: DataFrame, cuts: tuple[int, int]) -> DataFrame:
+    """``sent`` with a byte per n-gram, its level, in place of the n-grams, and ``_from``, the segment; texts stay."""
+    filters = filters.select(
+        F.col("_segment").alias("_to"),
+        F.lit(None).cast("bigint").alias("_unit"),
+        F.lit(3).alias("_order"),
+        F.col("_bits").alias("_data"),
+        F.lit(None).cast("bigint").alias("_row"),
+        F.lit(None).cast(sent.schema["_id"].dataType).alias("_id"),
+    )
+
+    def answer(table: pa.Table) -> pa.Table:
+        segment = table.column("_to")[0].as_py()
+        order = table.column("_order").to_numpy()
+        if segment >= 0:
+            packed = table.column("_data").to_pylist()
+            data = np.frombuffer(b"".join(packed[i] for i in np.flatnonzero(order == 3)), np.uint8)
+            for n in (1, 2):
+                own = np.flatnonzero(order == n)
+                low = _unpacked([packed[i] for i in own])
+                sizes = np.full(len(low), 8 * len(data), np.uint64)
+                found = _probe(data, np.full(len(low), segment, np.uint64), low, np.zeros(len(low), np.uint64), sizes, cuts[n - 1])
+                found, at = found.astype(np.uint8).tobytes(), 0
+                for i in own:
+                    size = len(packed[i]) // 6
+                    packed[i], at = found[at : at + size], at + size
+            kept = np.flatnonzero(order < 3)
+            table = table.set_column(3, "_data", pa.array(packed, pa.binary())).take(pa.array(kept))
+        return table.rename_columns(["_from", "_unit", "_order", "_data", "_row", "_id"])
+
+    id_type = sent.schema["_id"].dataType.simpleString()
+    made = f"_from bigint, _unit bigint, _order int, _data binary, _row bigint, _id {id_type}"
+    return sent.unionByName(filters).groupBy("_to").applyInArrow(answer, made)
+
+
 def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per input row: ``<id_column>, held_out, n_tokens, n_known, train_tokens, base_score, score``.
 
@@ -300,50 +425,74 @@ def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_c
     )
     names = ["_row", "_key", "_tf", "_id", "_tokens", "_known", "_base", "_score"]
 
+    def summed(row: np.ndarray, ids: pa.Array, tokens: tuple, grams: Ngrams, found: tuple) -> Iterator[pa.RecordBatch]:
+        """Rows of some texts, and of each text's tokens that are not at hand, from the levels of their n-grams."""
+        _, heavy, heavy_counts = shared.value
+        keys, _, counts = tokens
+        starts = np.cumsum(counts) - counts
+        total = np.add.reduceat(log_probabilities(grams, *found, n_tokens, n_types), starts)
+        at = np.minimum(np.searchsorted(heavy, keys.view(np.int64)), max(0, len(heavy) - 1))
+        at_hand = heavy[at] == keys.view(np.int64) if len(heavy) else np.zeros(len(keys), bool)
+        exact = np.log10(np.where(at_hand, heavy_counts[at] + 1, 1)) if len(heavy) else np.zeros(len(keys))
+        yield pa.record_batch(
+            [
+                pa.array(row),
+                # a key that meets no count, so that these rows spread evenly
+                pa.array(mixed(row.view(np.uint64), 77).view(np.int64)),
+                pa.nulls(len(row), pa.int64()),
+                ids,
+                pa.array(counts.astype(np.int64)),
+                pa.array(np.add.reduceat(at_hand.astype(np.int64), starts)),
+                pa.array(np.add.reduceat(exact, starts)),
+                pa.array(total),
+            ],
+            names=names,
+        )
+        rare = np.flatnonzero(~at_hand)
+        words, word = np.unique(keys[rare], return_inverse=True)
+        of = np.repeat(np.arange(len(row)), counts)[rare]
+        both, times = np.unique(of * max(1, len(words)) + word, return_counts=True)
+        size = len(both)
+        none = [pa.nulls(size, ids.type), *(pa.nulls(size, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
+        yield pa.record_batch(
+            [
+                pa.array(row[both // max(1, len(words))]),
+                pa.array(words[both % max(1, len(words))].view(np.int64) if size else np.zeros(0, np.int64)),
+                pa.array(times.astype(np.int64)),
+                *none,
+            ],
+            names=names,
+        )
+
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        data, heavy, heavy_counts = shared.value
-        parts = (data, shape, cuts, n_tokens, n_types)
+        data = shared.value[0]
         for batch in batches:
             for part in sized_batches(batch, 0):
-                keys, before, counts = token_keys(part.column(0).cast(pa.binary()).to_pylist())
-                starts = np.cumsum(counts) - counts
-                row = part.column(1).to_numpy(zero_copy_only=False)
-                total = np.add.reduceat(log_probabilities(parts, keys, before), starts)
-                at = np.minimum(np.searchsorted(heavy, keys.view(np.int64)), max(0, len(heavy) - 1))
-                at_hand = heavy[at] == keys.view(np.int64) if len(heavy) else np.zeros(len(keys), bool)
-                exact = np.log10(np.where(at_hand, heavy_counts[at] + 1, 1)) if len(heavy) else np.zeros(len(keys))
-                yield pa.record_batch(
-                    [
-                        part.column(1),
-                        # a key that meets no count, so that these rows spread evenly
-                        pa.array(mixed(row.view(np.uint64), 77).view(np.int64)),
-                        pa.nulls(len(row), pa.int64()),
-                        part.column(2),
-                        pa.array(counts.astype(np.int64)),
-                        pa.array(np.add.reduceat(at_hand.astype(np.int64), starts)),
-                        pa.array(np.add.reduceat(exact, starts)),
-                        pa.array(total),
-                    ],
-                    names=names,
-                )
-                rare = np.flatnonzero(~at_hand)
-                words, word = np.unique(keys[rare], return_inverse=True)
-                of = np.repeat(np.arange(len(row)), counts)[rare]
-                both, times = np.unique(of * max(1, len(words)) + word, return_counts=True)
-                size = len(both)
-                none = [pa.nulls(size, part.column(2).type), *(pa.nulls(size, t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.float64()))]
-                yield pa.record_batch(
-                    [
-                        pa.array(row[both // max(1, len(words))]),
-                        pa.array(words[both % max(1, len(words))].view(np.int64) if size else np.zeros(0, np.int64)),
-                        pa.array(times.astype(np.int64)),
-                        *none,
-                    ],
-                    names=names,
-                )
+                tokens = token_keys(part.column(0).cast(pa.binary()).to_pylist())
+                grams = ngrams(*tokens[:2])
+                found = (probe(data, shape, grams.singles, cuts[0]), probe(data, shape, grams.pairs, cuts[1]))
+                yield from summed(part.column(1).to_numpy(zero_copy_only=False), part.column(2), tokens, grams, found)
+
+    def finish(table: pa.Table) -> pa.Table:
+        order = table.column("_order").to_numpy()
+        texts = table.take(pa.array(np.flatnonzero(order == 0)))
+        tokens = token_keys(texts.column("_data").to_pylist())
+        grams = ngrams(*tokens[:2])
+        answers, segments = table.column("_data").to_pylist(), table.column("_from").to_numpy()
+        found = []
+        for n in (1, 2):  # keys in order are segments in order
+            own = np.flatnonzero(order == n)
+            own = own[np.argsort(segments[own])]
+            found.append(np.frombuffer(b"".join(answers[i] for i in own), np.uint8).astype(np.int64))
+        ids = pa.concat_arrays(texts.column("_id").chunks)
+        return pa.Table.from_batches(summed(texts.column("_row").to_numpy(), ids, tokens, grams, tuple(found)))
 
     made = f"_row bigint, _key bigint, _tf bigint, _id {id_type}, _tokens bigint, _known bigint, _base double, _score double"
-    scored = rows.mapInArrow(score, made)
+    if shared.value[0] is not None:
+        scored = rows.mapInArrow(score, made)
+    else:
+        sent = _sent(rows, shape.segment_bits, id_type)
+        scored = _answered(sent, model.filters, cuts).groupBy("_unit").applyInArrow(finish, made)
     found = scored.join(model.unigrams, "_key", "left")
     known = F.when(F.col("_tf").isNotNull() & F.col("_n").isNotNull(), F.col("_tf"))
     found = found.groupBy("_row").agg(

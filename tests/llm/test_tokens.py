@@ -133,3 +133,24 @@ def test_small_filter_leaves_out_low_levels(docs):
     assert model.cuts[1] > 1
     assert len(model.shared.value[0]) * 8 <= 1 << 17
     assert all(r.score < 0 for r in ngram_lm.score_texts(docs, model).collect())
+
+
+def test_large_filter_keeps_all_levels(docs, no_docs, monkeypatch):
+    """A filter too large to be sent is asked segment by segment: no count is left out and the scores are the same."""
+    monkeypatch.setattr(ngram_lm, "SEGMENT_TOKENS", 1 << 10)
+    want = by_repr(tuple(r) for r in ngram_lm.score_texts(docs, ngram_lm.learn(docs)).collect())
+    monkeypatch.setattr(ngram_lm, "SHARED_BITS", 1 << 10)
+    monkeypatch.setattr(ngram_lm, "UNIT_BYTES", 1 << 14)
+    model = ngram_lm.learn(docs)
+    assert model.cuts == (1, 1) and model.shared.value[0] is None and model.shape.segment_bits > 0
+    assert by_repr(tuple(r) for r in ngram_lm.score_texts(docs, model).collect()) == want
+    assert ngram_lm.score_texts(no_docs, model).count() == 0
+
+
+def test_once_seen_bigrams_are_in_the_filter(docs, texts):
+    model = ngram_lm.learn(docs)
+    learned = [(t or "").encode() for i, t in texts if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    keys, before, _ = ngram_lm.token_keys(learned)
+    pairs, n = np.unique(ngram_lm.pair_keys(before, keys), return_counts=True)
+    found = ngram_lm.probe(model.shared.value[0], model.shape, pairs, 1)
+    assert (n == 1).any() and (found >= ngram_lm.levels(n)).all()
