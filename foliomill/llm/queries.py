@@ -13,10 +13,13 @@ from foliomill.llm.decontaminate import contamination
 from foliomill.llm.exact_dup import exact_duplicates
 from foliomill.llm.near_dup import near_duplicates
 from foliomill.llm.quality import learn, quality_scores
+from foliomill.llm.recompress import remove_repeated_words
 from foliomill.llm.repeats import remove_repeats
+from foliomill.llm.spelling import spelling_variants
 from foliomill.llm.token_count import token_counts
 from foliomill.llm.url_lists import active_entries, url_host, url_key
 from foliomill.llm.warc import archive_round_trip
+from foliomill.llm.whitening import whitened
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -234,3 +237,19 @@ WITH p AS (
 SELECT page_id, t AS fetched_at, host, coalesce(n, 0) AS n_entries, coalesce(lists, '') AS lists, n IS NOT NULL AS blocked
 FROM p LEFT JOIN m USING (page_id)
 """
+
+
+@query
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_whitened_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op13_repeated_words(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeated_words(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))

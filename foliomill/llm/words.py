@@ -43,12 +43,14 @@ def mixed(x: np.ndarray, salt: int = 0) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each word in order, A-Z lower-cased, and the number of words of each text.
+def word_hashes(texts: Sequence[bytes], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each word in order, A-Z lower-cased if asked for, and the number of words of each text.
 
     Words are what ASCII white space separates. The hash is a polynomial of the bytes modulo 2^64, scrambled.
     """
-    data = _LOWER[np.frombuffer(b" ".join(texts) + b" ", np.uint8)]
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    if lower:
+        data = _LOWER[data]
     space = _SPACE[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     if len(data) and not space[0]:
