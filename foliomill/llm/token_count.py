@@ -90,6 +90,11 @@ def _counts(model_file: str) -> _Counts:
     return _Counts(PieceMerger.load(model_file))
 
 
+def text_units(counts: _Counts, text: str) -> list[str]:
+    """Units that no piece can cross; a text's own stand-in for a blank is a blank to the library."""
+    return counts.merger.units.findall(" " + text.replace(SPACE, " ")) if text else []
+
+
 def token_counts(
     docs: DataFrame, model_file: str, id_column: str = "doc_id", text_column: str = "text", limit: int = 4096
 ) -> DataFrame:
@@ -105,13 +110,12 @@ def token_counts(
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _counts(model_file)
-        units = counts.merger.units
         for batch in batches:
             for part in small_batches(batch, BATCH_ROWS):
                 n_bytes, n_tokens = [], []
                 for text in part.column(1).to_pylist():
                     n_bytes.append(len(text.encode()))
-                    n_tokens.append(sum(map(counts.__getitem__, units.findall(" " + text))) if text else 0)
+                    n_tokens.append(sum(map(counts.__getitem__, text_units(counts, text))))
                 yield pa.record_batch([part.column(0), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())], names=["_id", "n_bytes", "n_tokens"])
 
     found = rows.mapInArrow(count, f"_id {id_type}, n_bytes bigint, n_tokens bigint")

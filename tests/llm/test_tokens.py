@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 
 from foliomill.llm import bpe, ngram_lm
-from foliomill.llm.token_count import PieceMerger, token_counts
+from foliomill.llm.token_count import PieceMerger, _counts, text_units, token_counts
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -72,6 +72,21 @@ def test_token_counts(docs, no_docs, texts):
     assert token_counts(no_docs, PIECES).count() == 0
 
 
+def test_stand_ins_for_blanks():
+    """U+2581 in a text is a blank to the library, beside real blanks too."""
+    import random
+
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    counts = _counts(PIECES)
+    parts = ["▁", " ", "  ", "\xa0", "a", "the", "▁the", "\n", "\t", "é", "　", "x▁", "日", "<s>", "\x00"]
+    for seed in range(3000):
+        rng = random.Random(seed)
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(1, 12)))
+        assert sum(map(counts.__getitem__, text_units(counts, text))) == len(model.encode(text)), repr(text)
+
+
 def test_merging_long_units():
     import sentencepiece
 
