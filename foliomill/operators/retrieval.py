@@ -1,7 +1,8 @@
 """Exact similarity retrieval over a table of vectors, index building and index upkeep.
 
-Scores are cosine similarities rounded to six decimals before ranking; equal scores rank by lower id. Every task
-scores blocks of vectors with one matrix product and hands on only its best ``k`` rows per query.
+Scores are cosine similarities rounded to six decimals before ranking; equal scores rank by lower id. Queries and index
+are packed into tiles, stored tables of unit rows; tiles meet in the cells of a grid, where a task scores each pair of
+them with one matrix product and hands on its best ``k`` rows per query. Vectors never pass through the driver.
 """
 
 from __future__ import annotations
@@ -12,27 +13,29 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from foliomill.functions.text import hashed_embedding
 from foliomill.session import fresh_path
 
-QUERY_BLOCK = 4096  # queries sent to the tasks at once
-BLOCK_BYTES = 64 << 20
+QUERY_TILE = 2048  # rows of a tile, fewer if the vectors are long
+INDEX_TILE = 8192
+TILE_BYTES = 8 << 20
+CELL_PAIRS = 64  # pairs of full tiles that a cell of the grid may hold
 ROWS_PER_BUCKET = 100_000  # some 50 MB of vectors with 64 dimensions
 SCALE = 1_000_000
 SCORE_CELLS = 4_000_000  # scores held at once by one task
 FEW_ROWS = 4  # rows looked at one by one, in multiples of k
 
 
-def _unit_rows(vectors: pa.Array | pa.ChunkedArray, dim: int | None = None) -> np.ndarray:
-    """Vectors as unit rows; a zero vector stays zero. ``dim`` is the length they must have, if it is known."""
-    if isinstance(vectors, pa.ChunkedArray):
-        vectors = vectors.combine_chunks()
+def _unit_rows(vectors: pa.Array) -> np.ndarray:
+    """Vectors as unit rows; a zero vector stays zero."""
     lengths = pc.unique(pc.list_value_length(vectors)).to_pylist()
-    if len(lengths) > 1 or (dim is not None and lengths not in ([], [dim])):
-        raise ValueError(f"vectors must have one length, found {sorted(lengths)} against {dim}")
+    if len(lengths) > 1:
+        raise ValueError(f"vectors must have one length, found {sorted(lengths)}")
     flat = vectors.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     if not np.isfinite(flat).all():
         raise ValueError("vectors must hold finite numbers only")
@@ -41,13 +44,8 @@ def _unit_rows(vectors: pa.Array | pa.ChunkedArray, dim: int | None = None) -> n
     return np.divide(rows, norm, out=np.zeros_like(rows), where=norm > 0)
 
 
-def _complete(rows: pa.Table | pa.RecordBatch) -> pa.Table | pa.RecordBatch:
-    """Rows with id and vector. A null filter in the plan would compute a derived vector twice."""
-    return rows.filter(pc.and_(pc.is_valid(rows.column(0)), pc.is_valid(rows.column(1))))
-
-
-def _ids(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
-    return column.to_numpy() if isinstance(column, pa.ChunkedArray) else column.to_numpy(zero_copy_only=False)
+def _ids(column: pa.Array) -> np.ndarray:
+    return column.to_numpy(zero_copy_only=False)
 
 
 def _block_best(
@@ -121,34 +119,111 @@ def _best_batch(found: pd.DataFrame, q_ids: np.ndarray, schema: pa.Schema) -> pa
     return pa.RecordBatch.from_arrays(columns, schema=schema)
 
 
-def _arrow_schema(query_type: pa.DataType, id_type: pa.DataType) -> pa.Schema:
-    return pa.schema([("query_id", query_type), ("id", id_type), ("score", pa.float64())])
+def pack_tiles(df: DataFrame, rows: int, *by: str) -> DataFrame:
+    """Stored tiles of unit rows: ``by, slot, n, ids, rows``, where ``df`` has ``by, id, vec``.
 
+    Rows without id or vector are left out. A tile holds at most ``rows`` rows and ``TILE_BYTES`` and rows of one ``by``
+    only; its matrix is kept as bytes. ``slot`` numbers the tiles of a task from the task's own number on, so that a
+    remainder of it deals tiles out evenly. Nothing is shuffled.
+    """
+    types = {f.name: f.dataType.simpleString() for f in df.schema}
+
+    def tile(key: tuple, slot: int, ids: pa.Array, unit: np.ndarray) -> pa.RecordBatch:
+        columns = [*(pa.array([k], pa.int64()) for k in key), pa.array([slot], pa.int64()), pa.array([len(ids)], pa.int64())]
+        columns += [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), pa.array([unit.tobytes()], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, names=[*by, "slot", "n", "ids", "rows"])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot = TaskContext.get().partitionId()
+        held: dict[tuple, tuple[list, list]] = {}
+
+        def cut(key: tuple, least: int) -> Iterator[pa.RecordBatch]:
+            nonlocal slot
+            ids, unit = held.pop(key)
+            ids, unit = pa.concat_arrays(ids), np.concatenate(unit)
+            most = max(1, min(rows, TILE_BYTES // (8 * max(1, unit.shape[1]))))
+            while len(ids) >= (most if least else 1):
+                yield tile(key, slot, ids[:most], unit[:most])
+                ids, unit, slot = ids[most:], unit[most:], slot + 1
+            if len(ids):
+                held[key] = ([ids], [unit])
 
-def _scan_best(
-    q_ids: np.ndarray, q_rows: np.ndarray, query_type: pa.DataType, k: int, floor: int, skip_self: bool
-) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best, schema = None, None
-        for batch in map(_complete, batches):
-            if batch.num_rows == 0:
+        for batch in batches:
+            at = len(by)
+            batch = batch.filter(pc.and_(pc.is_valid(batch.column(at)), pc.is_valid(batch.column(at + 1))))
+            if not batch.num_rows:
                 continue
-            schema = schema or _arrow_schema(query_type, batch.schema.field(0).type)
-            rows = _unit_rows(batch.column(1), q_rows.shape[1])
-            to_beat = None if best is None else _scores_to_beat(best, len(q_ids), k)
-            found = _block_best(_ids(batch.column(0)), rows, q_ids, q_rows, k, floor, skip_self, to_beat)
-            best = _trim(found if best is None else pd.concat([best, found], ignore_index=True), k)
+            unit = _unit_rows(batch.column(at + 1))
+            groups = {(): np.arange(batch.num_rows)} if not by else batch.select(by).to_pandas().groupby(list(by)).indices
+            for key, places in groups.items():
+                key = tuple(int(k) for k in (key if isinstance(key, tuple) else (key,)))
+                ids, parts = held.setdefault(key, ([], []))
+                if parts and parts[0].shape[1] != unit.shape[1]:
+                    raise ValueError(f"vectors must have one length, found {sorted({parts[0].shape[1], unit.shape[1]})}")
+                ids.append(batch.column(at).take(pa.array(places)))
+                parts.append(unit[places])
+                if sum(map(len, ids)) >= min(rows, TILE_BYTES // (8 * max(1, unit.shape[1]))):
+                    yield from cut(key, rows)
+        for key in list(held):
+            yield from cut(key, 0)
+
+    made = "".join(f"{c} bigint, " for c in by) + f"slot bigint, n bigint, ids array<{types['id']}>, rows binary"
+    tiles = df.select(*by, "id", "vec").mapInArrow(pack, made)
+    tiles.write.parquet(path := fresh_path(df.sparkSession, "tiles"))
+    return df.sparkSession.read.schema(tiles.schema).parquet(path)
+
+
+def _grid(n_queries: int, n_index: int, least_cells: int, cell_pairs: int) -> tuple[int, int]:
+    """Groups of query tiles and of index tiles: enough cells for the work and the cluster, and of these the shape that
+    copies the fewest tiles (a query tile goes to every index group, an index tile to every query group)."""
+    cells = max(-(-n_queries * n_index // cell_pairs), min(least_cells, n_queries * n_index), 1)
+    index_groups = max(1, min(n_index, round((cells * n_index / max(1, n_queries)) ** 0.5)))
+    query_groups = max(1, min(n_queries, -(-cells // index_groups)))
+    return query_groups, index_groups
+
+
+def _score_pairs(k: int, floor: int, skip_self: bool, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Best ``k`` per query over pairs of tiles (``q, ids, rows, own ids, own rows``). Pairs that follow each other with
+    the same query tile share one running best."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current = best = q_ids = q_rows = None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tile = (batch.column(0)[i].as_py(), batch.column(2)[i].as_py())
+                if tile != current:
+                    if best is not None:
+                        yield _best_batch(best, q_ids, schema)
+                    q_ids = _ids(batch.column(1)[i].values)
+                    q_rows = np.frombuffer(tile[1], np.float64).reshape(len(q_ids), -1)
+                    current, best = tile, None
+                ids = _ids(batch.column(3)[i].values)
+                rows = np.frombuffer(batch.column(4)[i].as_py(), np.float64).reshape(len(ids), -1)
+                if rows.shape[1] != q_rows.shape[1]:
+                    raise ValueError(f"vectors must have one length, found {sorted({rows.shape[1], q_rows.shape[1]})}")
+                to_beat = None if best is None else _scores_to_beat(best, len(q_ids), k)
+                found = _block_best(ids, rows, q_ids, q_rows, k, floor, skip_self, to_beat)
+                best = _trim(found if best is None else pd.concat([best, found], ignore_index=True), k)
         if best is not None:
             yield _best_batch(best, q_ids, schema)
 
     return scan
 
 
-def _query_blocks(queries: DataFrame, rows_per_block: int) -> int:
-    """Number of blocks that hold about ``rows_per_block`` queries, fewer if their vectors are long."""
-    n, size = queries.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("query_vec")), F.lit(1))).first()
-    rows = max(1, min(rows_per_block, BLOCK_BYTES // (8 * max(1, size))))
-    return max(1, -(-n // rows))
+def join_tiles(
+    queries: DataFrame, index: DataFrame, k: int, on: list[str], *, floor: int = -2 * SCALE, skip_self: bool = False
+) -> DataFrame:
+    """``query_id, id, score, rank`` of the best ``k`` per query over all pairs of tiles that agree in ``on``."""
+    id_types = [tiles.schema["ids"].dataType.elementType for tiles in (queries, index)]
+    arrow = pa.schema([("query_id", to_arrow_type(id_types[0])), ("id", to_arrow_type(id_types[1])), ("score", pa.float64())])
+    # one row of a batch is a pair of tiles: a few of them are held at once, whatever the session's batch size
+    own = index.select(*on, F.col("ids").alias("_ids"), F.col("rows").alias("_rows"))
+    pairs = queries.select(*on, "slot", "ids", "rows").join(own, on).select("slot", "ids", "rows", "_ids", "_rows")
+    made = f"query_id {id_types[0].simpleString()}, id {id_types[1].simpleString()}, score double"
+    found = pairs.mapInArrow(_score_pairs(k, floor, skip_self, arrow), made)
+    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def top_k(
@@ -160,49 +235,30 @@ def top_k(
     query_cols: tuple[str, str],
     min_score: float | None = None,
     skip_self: bool = False,
-    query_block: int = QUERY_BLOCK,
+    query_tile: int = QUERY_TILE,
+    index_tile: int = INDEX_TILE,
+    cell_pairs: int = CELL_PAIRS,
 ) -> DataFrame:
     """``query_id, id, score, rank`` of the ``k`` most similar vectors per query, optionally from ``min_score`` up.
 
-    The queries are the smaller side. They travel to the tasks in blocks of bounded size, one after another, and for each
-    block the index is scanned where it lies; it is never shuffled, and a task hands on ``k`` rows per query at most. Any
-    number of queries takes this way; with several blocks the hits of each are stored before the next one is read.
-    Filters on the index belong before the call, where they reach its scan. Ids are unique on both sides.
+    Both sides are packed into tiles where they lie and stored. The tiles are dealt to the rows and columns of a grid and
+    meet on its cells in one join; each cell hands on ``k`` rows per query, so what is shuffled is the tiles times the
+    grid's sides and these hits. All vectors against all vectors is quadratic work whatever the plan. Filters on the
+    index belong before the call, where they reach its scan. Ids are unique on both sides.
     """
     if k < 1:
         raise ValueError("k must be positive")
-    index_id, index_vec = index_cols
-    query_id, query_vec = query_cols
-    idx = index.select(F.col(index_id).alias("id"), F.col(index_vec).alias("vec"))
-    qry = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).alias("query_vec"))
+    spark = index.sparkSession
+    (index_id, index_vec), (query_id, query_vec) = index_cols, query_cols
+    own = pack_tiles(index.select(F.col(index_id).alias("id"), F.col(index_vec).alias("vec")), index_tile)
+    asked = pack_tiles(queries.select(F.col(query_id).alias("id"), F.col(query_vec).alias("vec")), query_tile)
+    rows, columns = _grid(asked.count(), own.count(), spark.sparkContext.defaultParallelism, cell_pairs)
+    asked = asked.withColumns({"_row": F.pmod("slot", F.lit(rows)), "_column": F.explode(F.sequence(F.lit(0), F.lit(columns - 1)))})
+    own = own.withColumns({"_column": F.pmod("slot", F.lit(columns)), "_row": F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))})
+    on = ["_row", "_column"]
+    asked, own = (t.withColumns({c: F.col(c).cast("bigint") for c in on}) for t in (asked, own))
     floor = -2 * SCALE if min_score is None else int(np.rint(min_score * SCALE))
-    schema = f"query_id {qry.schema['query_id'].dataType.simpleString()}, id {idx.schema['id'].dataType.simpleString()}, score double"
-
-    n_blocks = _query_blocks(qry, query_block)
-
-    def scan(block: int) -> DataFrame | None:
-        own = qry if n_blocks == 1 else qry.filter(F.pmod(F.xxhash64("query_id"), F.lit(n_blocks)) == block)
-        own = _complete(own.toArrow())
-        if own.num_rows == 0:
-            return None
-        best = _scan_best(_ids(own["query_id"]), _unit_rows(own["query_vec"]), own.schema.field("query_id").type, k, floor, skip_self)
-        return idx.mapInArrow(best, schema)
-
-    spark = qry.sparkSession
-    if n_blocks == 1:
-        found = scan(0)
-    else:
-        spark.createDataFrame([], schema).write.parquet(path := fresh_path(spark, "hits"))
-        for block in range(n_blocks):
-            if (hits := scan(block)) is not None:
-                hits.write.mode("append").parquet(path)
-        found = spark.read.schema(schema).parquet(path)
-    if found is None:
-        return spark.createDataFrame([], schema + ", rank bigint")
-
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
-    ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+    return join_tiles(asked, own, k, on, floor=floor, skip_self=skip_self)
 
 
 def _pick_diverse(k: int, weight: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:

