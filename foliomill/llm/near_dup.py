@@ -2,9 +2,13 @@
 
 A text is its set of five-word shingles. One hash function deals the shingles over bins and the least of each bin is
 kept; an empty bin takes over the value of the first filled bin in an order of its own, the same for all texts. Four
-bins make a band, equal bands a bucket. Within a bucket only links from one member to all others are tested, on the full
-sets. As such a star may miss a link between two of the others, further members of the bucket become centres, more of
-them each round, until all that were not are known to be connected.
+bins make a band, equal bands a bucket. Two sets that are similar enough share no bucket with a probability of at most
+(1 - 0.75^4)^32, five in a million; nothing else is left to chance.
+
+Within a bucket only links from one member to all others are tested, on the full sets, and then from the most frequent
+component of the bucket to each other one. As such stars may miss a link between two of the others, members of buckets
+that are still not connected are compared by their rarest shingles: in an order common to all, two linked sets share one
+of the first seventh of the smaller and the first quarter of the larger set, and not too late to leave room for the rest.
 """
 
 from __future__ import annotations
@@ -25,9 +29,7 @@ SIMILAR = (75, 100)
 BINS = 128
 ROWS_PER_BAND = 4
 BANDS = BINS // ROWS_PER_BAND
-MORE_CENTRES = 32  # times as many new centres per bucket in each round
-SMALL = 64  # shingles below which the sketches of two sets say too little
-LEAST_AGREEING = 56  # bins of two sketches; linked sets agree in 96 of 128 on average
+HUB_ROUNDS = 2
 _BIN_SHIFT = np.uint64(64 - (BINS - 1).bit_length())
 #: Order in which an empty bin looks at the others.
 _DETOURS = np.argsort(np.random.default_rng(19).random((BINS, BINS)), axis=1)
@@ -63,7 +65,7 @@ def set_key(shingles: np.ndarray) -> tuple[int, int]:
 
 
 def _signatures(rows: DataFrame, id_type: str) -> DataFrame:
-    """``_id, _n, _s1, _s2, _bands, _sketch``; the sketch is the last byte of each bin's value."""
+    """``_id, _n, _s1, _s2, _bands``."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -78,12 +80,11 @@ def _signatures(rows: DataFrame, id_type: str) -> DataFrame:
                         pa.array([k[0] for k in keys], pa.int64()),
                         pa.array([k[1] for k in keys], pa.int64()),
                         pa.array([None if v is None else bands(v).view(np.int64) for v in values], pa.list_(pa.int64())),
-                        pa.array([None if v is None else v.astype(np.uint8).tobytes() for v in values], pa.binary()),
                     ],
-                    names=["_id", "_n", "_s1", "_s2", "_bands", "_sketch"],
+                    names=["_id", "_n", "_s1", "_s2", "_bands"],
                 )
 
-    return rows.mapInArrow(sign, f"_id {id_type}, _n bigint, _s1 bigint, _s2 bigint, _bands array<bigint>, _sketch binary")
+    return rows.mapInArrow(sign, f"_id {id_type}, _n bigint, _s1 bigint, _s2 bigint, _bands array<bigint>")
 
 
 def _candidate_texts(rows: DataFrame, classes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -121,25 +122,93 @@ def _similar(links: DataFrame, texts: DataFrame) -> DataFrame:
     return near.mapInArrow(test, "u bigint, v bigint")
 
 
-def _worth_testing(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links whose set sizes leave the similarity possible, and whose sketches don't rule it out.
-
-    Sketches of linked sets agree in fewer bins than asked for once in many millions; small sets are always tested.
-    """
+def _possible(links: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links whose set sizes leave the similarity possible."""
     ends = links
     for end in ("u", "v"):
-        ends = ends.join(classes.select(F.col("_c").alias(end), F.col("_n").alias(f"_n{end}"), F.col("_sketch").alias(f"_s{end}")), end)
-    ends = ends.filter(SIMILAR[1] * F.least("_nu", "_nv") >= SIMILAR[0] * F.greatest("_nu", "_nv"))
+        ends = ends.join(classes.select(F.col("_c").alias(end), F.col("_n").alias(f"_n{end}")), end)
+    return ends.filter(SIMILAR[1] * F.least("_nu", "_nv") >= SIMILAR[0] * F.greatest("_nu", "_nv")).select("u", "v")
+
+
+def _groups(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Components within each bucket that holds more than one: ``_bucket, _label, _low, _high, _size``."""
+    labelled = with_labels(members, "_c", labels, "_label")
+    groups = labelled.groupBy("_bucket", "_label").agg(F.min("_c").alias("_low"), F.max("_c").alias("_high"), F.count("*").alias("_size"))
+    groups = stored(groups, "bucket-groups")
+    several = groups.groupBy("_bucket").agg(F.count("*").alias("_groups")).filter("_groups > 1").select("_bucket")
+    return stored(groups.join(several, "_bucket"), "open-groups")
+
+
+def _hub_links(groups: DataFrame, end: str) -> DataFrame:
+    """Links from one member of each bucket's largest component to one of every other."""
+    hubs = groups.groupBy("_bucket").agg(F.max(F.struct("_size", F.col("_label"), F.col(end).alias("u"))).alias("_hub"))
+    spokes = groups.join(hubs, "_bucket").filter("_label <> _hub._label")
+    u, v = F.col("_hub.u"), F.col(end)
+    return spokes.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
+
+
+def _open_members(members: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
+    """``_c, _label`` of the members of buckets in which those that were no centre are not all connected.
+
+    A centre has been tested against every member of its bucket.
+    """
+    waiting = with_labels(members.join(centres, ["_bucket", "_c"], "left_anti"), "_c", labels, "_label")
+    waiting = stored(waiting.select("_bucket", "_c", "_label"), "waiting")
+    ends = waiting.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high"))
+    return waiting.join(ends.filter("_low <> _high"), "_bucket").select("_c", "_label").distinct()
+
 
-    def agree(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _shingles(texts: DataFrame) -> DataFrame:
+    """``_c, _label, _n, _shingle``: a row for each shingle of ``texts`` (``_c, _label, _text``)."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                left, right = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, BINS) for i in (3, 4))
-                small = batch.column(2).to_numpy(zero_copy_only=False) < SMALL
-                near = pa.array(small | ((left == right).sum(1) >= LEAST_AGREEING))
-                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["u", "v"]).filter(near)
+            for part in small_batches(batch, BATCH_ROWS):
+                sets = shingle_sets(part.column(2).cast(pa.binary()).to_pylist(), WORDS)
+                sizes = np.array([len(s) for s in sets], np.int64)
+                again = pa.array(np.repeat(np.arange(len(sets)), sizes))
+                columns = [part.column(0).take(again), part.column(1).take(again), pa.array(np.repeat(sizes, sizes))]
+                columns.append(pa.array(np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)))
+                yield pa.RecordBatch.from_arrays(columns, names=["_c", "_label", "_n", "_shingle"])
+
+    return texts.select("_c", "_label", "_text").mapInArrow(cut, "_c bigint, _label bigint, _n bigint, _shingle bigint")
 
-    return ends.select("u", "v", F.least("_nu", "_nv").alias("_n"), "_su", "_sv").mapInArrow(agree, "u bigint, v bigint")
+
+def _prefix_links(open_members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``u, v`` of different components whose sets may be similar enough: all that are, and few others.
+
+    Shingles are ordered by the number of open members that have them, then by hash. If two sets share at least ``k``
+    shingles, the first of these in the order is among the first ``n - k + 1`` of either set, and at most as many follow
+    it as are left behind it. Shingles of one member stand first and link nothing.
+    """
+    many, parts = SIMILAR
+    both = many + parts
+    cut = stored(_shingles(texts.join(open_members, "_c")), "shingles")
+    times = cut.groupBy("_shingle").agg(F.count("*").alias("_times")).filter("_times > 1")
+    shared = stored(cut.join(times, "_shingle"), "shared-shingles")
+    # a member's own shingles, as many as its text has
+    sets = shared.groupBy("_c", "_label", "_n").agg(F.sort_array(F.collect_list(F.struct("_times", "_shingle"))).alias("_set"))
+    own = F.col("_n") - F.size("_set")
+    as_larger = F.col("_n") - F.ceil(many * F.col("_n") / parts) + 1
+    as_smaller = F.col("_n") - F.ceil(2 * many * F.col("_n") / both) + 1
+    first = F.slice("_set", 1, F.greatest(as_larger - own, F.lit(0)).cast("int"))
+    placed = sets.select("_c", "_label", "_n", own.alias("_own"), as_smaller.alias("_short"), F.posexplode(first).alias("_at", "_s"))
+    placed = placed.select("_c", "_label", "_n", "_short", F.col("_s._shingle").alias("_shingle"), (F.col("_own") + F.col("_at")).alias("_at"))
+    placed = stored(placed, "prefixes")
+    small = placed.filter("_at < _short").alias("a")
+    large = placed.alias("b")
+    least = F.ceil(many * (F.col("a._n") + F.col("b._n")) / both)
+    met = small.join(
+        large,
+        (F.col("a._shingle") == F.col("b._shingle"))
+        & (F.col("a._label") != F.col("b._label"))
+        & ((F.col("a._n") < F.col("b._n")) | ((F.col("a._n") == F.col("b._n")) & (F.col("a._c") < F.col("b._c"))))
+        & (parts * F.col("a._n") >= many * F.col("b._n"))
+        & (F.col("a._n") - F.col("a._at") >= least)
+        & (F.col("b._n") - F.col("b._at") >= least),
+    )
+    u, v = F.col("a._c"), F.col("b._c")
+    return met.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -154,54 +223,31 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     id_type = docs.schema[id_column].dataType.simpleString()
     rows = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     signed = stored(_signatures(rows, id_type), "signatures")
-    classes = signed.filter("_n > 0").groupBy("_n", "_s1", "_s2").agg(
-        F.min("_id").alias("_min"), F.first("_bands").alias("_bands"), F.first("_sketch").alias("_sketch")
-    )
+    classes = signed.filter("_n > 0").groupBy("_n", "_s1", "_s2").agg(F.min("_id").alias("_min"), F.first("_bands").alias("_bands"))
     classes = stored(classes.withColumn("_c", F.monotonically_increasing_id()), "classes")
 
     banded = classes.select(F.explode("_bands").alias("_bucket"), "_c")
     buckets = banded.groupBy("_bucket").agg(F.min("_c").alias("_centre"), F.count("*").alias("_size")).filter("_size > 1")
     members = stored(banded.join(buckets.drop("_size"), "_bucket"), "members")
     texts = stored(_candidate_texts(rows, classes, members.select("_c").distinct()), "candidate-texts")
+    labels = spark.createDataFrame([], "node bigint, label bigint")
 
-    stars = members.select(F.col("_centre").alias("u"), F.col("_c").alias("v")).filter("u <> v").distinct()
+    def linked(links: DataFrame) -> DataFrame:
+        """Labels after the test of further links."""
+        found = stored(_similar(stored(_possible(links, classes), "tested"), texts), "similar")
+        return labels if found.isEmpty() else merged(labels, found)
+
+    labels = linked(members.select(F.col("_centre").alias("u"), F.col("_c").alias("v")).filter("u <> v").distinct())
     centres = members.select("_bucket", F.col("_centre").alias("_c")).distinct()
     members = members.select("_bucket", "_c")
-    labels = spark.createDataFrame([], "node bigint, label bigint")
-    per_bucket = 1
-    while True:
-        found = stored(_similar(stored(_worth_testing(stars, classes), "tested"), texts), "similar")
-        if not found.isEmpty():
-            labels = merged(labels, found)
-        # a bucket is open as long as members that were no centre yet are not all connected
-        labelled = with_labels(members, "_c", labels, "_label")
-        waiting = stored(labelled.join(centres, ["_bucket", "_c"], "left_anti"), "waiting")
-        open_buckets = waiting.groupBy("_bucket").agg(
-            F.min("_label").alias("_low"),
-            F.max("_label").alias("_high"),
-            F.min_by("_c", "_label").alias("_of_low"),
-            F.max_by("_c", "_label").alias("_of_high"),
-        )
-        open_buckets = stored(open_buckets.filter("_low <> _high"), "open-buckets")
-        if open_buckets.isEmpty():
+    for number in range(HUB_ROUNDS):
+        groups = _groups(members, labels)
+        if groups.isEmpty():
             break
-        # of each bucket one member of the lowest and one of the highest label, and more by lot
-        per_bucket *= MORE_CENTRES
-        lot = F.pmod(F.xxhash64("_c", F.lit(per_bucket)), F.lit(per_bucket))
-        drawn = waiting.join(open_buckets.select("_bucket"), "_bucket", "left_semi").groupBy("_bucket", lot).agg(
-            F.min(F.struct("_c", "_label")).alias("_m")
-        )
-        ends = F.array(*[F.struct(F.col(f"_of_{end}").alias("_c"), F.col(f"_{end}").alias("_label")) for end in ("low", "high")])
-        fresh = drawn.select("_bucket", "_m.*").unionByName(open_buckets.select("_bucket", F.inline(ends)))
-        fresh = stored(fresh.distinct().withColumnsRenamed({"_c": "u", "_label": "_lu"}), "centres")
-        # a bucket once closed stays closed, because labels are only ever joined
-        labelled = stored(labelled.join(open_buckets.select("_bucket"), "_bucket", "left_semi"), "open-members")
-        members = labelled.select("_bucket", "_c")
-        spokes = fresh.alias("f").join(
-            labelled.alias("m"), (F.col("f._bucket") == F.col("m._bucket")) & (F.col("f._lu") != F.col("m._label"))
-        )
-        stars = spokes.select(F.least("u", "_c").alias("u"), F.greatest("u", "_c").alias("v")).distinct()
-        centres = centres.unionByName(fresh.select("_bucket", F.col("u").alias("_c")))
+        labels = linked(_hub_links(groups, "_high" if number % 2 else "_low"))
+    open_members = stored(_open_members(members, centres, labels), "open-members")
+    if not open_members.isEmpty():
+        labels = linked(_prefix_links(open_members, texts))
 
     owned = with_labels(classes.select("_c", "_n", "_s1", "_s2", "_min"), "_c", labels, "_label")
     least = owned.groupBy("_label").agg(F.min("_min").alias("_least"))

@@ -162,3 +162,37 @@ def test_repeated_passages_of_mixed_lengths(spark, tmp_path, monkeypatch, piece)
     texts += [(100, "a" * 500), (101, "a" * 201), (102, "a" * 200), (103, "ab" * 300), (104, base[0] * 3), (105, "x" * 199)]
     spark.createDataFrame(texts, "doc_id long, text string").repartition(3).write.parquet(str(tmp_path / "t"))
     assert digest(repeats.remove_repeats(spark.read.parquet(str(tmp_path / "t")))) == expected_repeats(texts)
+
+
+def passages_in_common(seed, n):
+    """Texts of shared passages and own words, many of them just below or above the similarity that links."""
+    rng = random.Random(seed)
+    passages = [[f"p{k}w{i}" for i in range(60)] for k in range(4)]
+    out = []
+    for i in range(n):
+        own = [f"d{i}w{j}" for j in range(rng.randrange(25))]
+        text = [w for p in rng.sample(passages, rng.randrange(1, 4)) for w in p[: rng.randrange(40, 61)]]
+        at = rng.randrange(len(text))
+        out.append((i, " ".join(text[:at] + own + text[at:])))
+    return out
+
+
+def test_prefix_links_miss_nothing(spark):
+    rows = passages_in_common(1, 120) + [(200, "one two"), (201, "a b c d e f"), (202, "a b c d e g")]
+    sets = {i: shingles(t) for i, t in rows}
+    linked = {(i, j) for i in sets for j in sets if i < j and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    texts = spark.createDataFrame(rows, "_c long, _text string")
+    alone = spark.createDataFrame([(i, i) for i in sets], "_c long, _label long")
+    found = {(r.u, r.v) for r in near_dup._prefix_links(alone, texts).collect()}
+    assert len(linked) > 50 and linked <= found and len(found) < 0.7 * len(sets) * (len(sets) - 1) / 2
+    together = spark.createDataFrame([(i, 0) for i in sets], "_c long, _label long")
+    assert near_dup._prefix_links(together, texts).count() == 0
+
+
+def test_unconnected_buckets_are_closed(spark, tmp_path, monkeypatch):
+    """With all texts in one bucket a star of the first text alone would lose nearly every link."""
+    rows = passages_in_common(2, 90)
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "t"))
+    monkeypatch.setattr(near_dup, "bands", lambda values: np.zeros(2, np.uint64))
+    found = near_dup.near_duplicates(spark.read.parquet(str(tmp_path / "t")))
+    assert rows_of(found) == expected_near(rows)
