@@ -167,11 +167,11 @@ def test_repeated_passages_of_mixed_lengths(spark, tmp_path, monkeypatch, piece)
 def passages_in_common(seed, n):
     """Texts of shared passages and own words, many of them just below or above the similarity that links."""
     rng = random.Random(seed)
-    passages = [[f"p{k}w{i}" for i in range(60)] for k in range(4)]
+    passages = [[f"p{k}w{i}" for i in range(60)] for k in range(3)]
     out = []
     for i in range(n):
-        own = [f"d{i}w{j}" for j in range(rng.randrange(25))]
-        text = [w for p in rng.sample(passages, rng.randrange(1, 4)) for w in p[: rng.randrange(40, 61)]]
+        own = [f"d{i}w{j}" for j in range(rng.randrange(16))]
+        text = [w for p in sorted(rng.sample(passages, rng.randrange(1, 4))) for w in p[: rng.randrange(54, 61)]]
         at = rng.randrange(len(text))
         out.append((i, " ".join(text[:at] + own + text[at:])))
     return out
