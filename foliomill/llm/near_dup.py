@@ -29,7 +29,7 @@ SIMILAR = (75, 100)
 BINS = 128
 ROWS_PER_BAND = 4
 BANDS = BINS // ROWS_PER_BAND
-HUB_ROUNDS = 2
+HUB_ROUNDS = 1
 _BIN_SHIFT = np.uint64(64 - (BINS - 1).bit_length())
 #: Order in which an empty bin looks at the others.
 _DETOURS = np.argsort(np.random.default_rng(19).random((BINS, BINS)), axis=1)
