@@ -28,6 +28,7 @@ DATE = "2024-01-01T00:00:00Z"
 
 ARCHIVE_BYTES = 16 << 20  # payload bytes after which an archive is closed
 DICTIONARY_BYTES = 16 << 10
+MOST_READERS = 20_000  # tasks among which archives are dealt out
 SAMPLE_BYTES = 1 << 20  # leading payload bytes of an archive that its dictionary is made from
 
 
@@ -265,7 +266,9 @@ def read_archives(archives: DataFrame, folder: str) -> DataFrame:
                     raise ValueError(f"{path} has {seen} records, not {n}")
 
     arrow = pa.schema([(f, pa.int64() if f in ("page_id", "payload_bytes") else pa.string()) for f in schema.replace(" string", "").replace(" bigint", "").split(", ")])
-    return archives.repartition(F.col("path")).mapInArrow(read, schema)
+    # a list of paths is tiny, whatever the archives hold: the number of readers follows from their number
+    readers = max(1, min(archives.count(), MOST_READERS))
+    return archives.repartition(readers, "path").mapInArrow(read, schema)
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
@@ -273,13 +276,14 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     the payload that it refers to and that response's page id. A response that many records refer to is one row of the
     join's smaller side."""
     slim = records.select("record_id", "page_id", "record_type", "payload_bytes", "payload_digest", "refers_to_record")
-    first = slim.filter("record_type = 'response'").select(
+    whole = slim.filter("record_type = 'response'")
+    first = whole.select(
         F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"), F.col("payload_bytes").alias("_n")
     )
-    found = slim.join(first, "refers_to_record", "left")
-    return found.select(
-        "page_id", F.coalesce("payload_bytes", "_n").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"
-    )
+    found = slim.filter("record_type <> 'response'").join(first, "refers_to_record", "left")
+    revisits = found.select("page_id", F.coalesce("payload_bytes", "_n").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    # responses refer to nothing and need no join
+    return revisits.unionByName(whole.drop("record_id").withColumnRenamed("refers_to_record", "refers_to").withColumn("refers_to", F.lit(None).cast("bigint")))
 
 
 def archive_round_trip(spark: SparkSession, pages: DataFrame, min_bytes: int = 1000) -> DataFrame:
