@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomill.session import fresh_path
 
 SALTS = 16
+HOT_SHARE = 1000  # a text with more than this part of all rows is frequent; so fewer texts are than this number
 
 
 def sha256(text: Column) -> Column:
@@ -19,7 +20,7 @@ def sha256(text: Column) -> Column:
 def text_classes(
     docs: DataFrame, id_column: str, text_column: str, salts: int = SALTS, digest: Callable[[Column], Column] = sha256
 ) -> DataFrame:
-    """One row per different text: ``_digest, _text, _keep, _n`` (largest id, number of rows).
+    """One row per different text: ``_digest, _text, _keep, _n`` (largest id with the row's place, number of rows).
 
     The grouping key holds the text itself beside its digest, so equal digests alone never merge rows. The salt is the
     number of the input partition: Spark combines equal texts of a partition before the first shuffle, then those of one
@@ -30,7 +31,7 @@ def text_classes(
     rows = docs.select(
         digest(text).alias("_digest"),
         text.alias("_text"),
-        F.col(id_column).alias("_id"),
+        F.struct(F.col(id_column).alias("id"), F.monotonically_increasing_id().alias("row")).alias("_id"),
         F.pmod(F.spark_partition_id(), F.lit(salts)).alias("_salt"),
     )
     salted = rows.groupBy("_digest", "_salt", "_text").agg(F.max("_id").alias("_keep"), F.count("*").alias("_n"))
@@ -54,32 +55,44 @@ def exact_duplicates(
 
     Every row of a digest goes into the comparison of whole texts. Digests under which all texts turned out equal are
     then enough to find a row's group; if ``digest`` ever gives one value to different texts, those rows are found by text.
+    The groups of frequent texts, fewer than ``HOT_SHARE``, are sent to the rows; only the others are met by a shuffle.
+    ``docs`` is read twice and rows are told apart by their place in it, so it must come from stored data.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     spark = docs.sparkSession
     classes = text_classes(docs, id_column, text_column, salts, digest)
     per_digest = classes.groupBy("_digest").agg(
-        F.count("*").alias("_texts"), F.max("_keep").alias("keep_id"), F.max("_n").alias("group_size")
+        F.count("*").alias("_texts"), F.max("_keep").alias("_keep"), F.max("_n").alias("group_size"), F.sum("_n").alias("_rows")
     )
     per_digest.write.parquet(groups := fresh_path(spark, "exact-groups"))
     per_digest = spark.read.schema(per_digest.schema).parquet(groups)
+    total = per_digest.agg(F.sum("_rows")).first()[0] or 0
     clashing = per_digest.filter("_texts > 1").select("_digest")
+    owned = per_digest.filter("_texts = 1").drop("_texts")
+    is_hot = F.col("_rows") * HOT_SHARE > total
 
-    rows = docs.select(F.col(id_column).alias("_id"), digest(text).alias("_digest"), sha256(text).alias("text_sha256"))
-    same_row = Window.partitionBy("_digest", "_id").orderBy("_digest")
-    rows = rows.withColumn("_copy", F.row_number().over(same_row))
-    found = rows.join(per_digest.filter("_texts = 1").drop("_texts"), "_digest")
+    rows = docs.select(
+        F.col(id_column).alias("_id"),
+        F.monotonically_increasing_id().alias("_row"),
+        digest(text).alias("_digest"),
+        sha256(text).alias("text_sha256"),
+    )
+    hot = owned.filter(is_hot).select("_digest", F.struct("_keep", "group_size").alias("_hot"))
+    rows = rows.join(F.broadcast(hot), "_digest", "left")
+    found = rows.filter("_hot IS NOT NULL").select("_id", "_row", "text_sha256", "_hot.*")
+    rest = rows.filter("_hot IS NULL").drop("_hot").join(owned.filter(~is_hot).drop("_rows"), "_digest")
+    found = found.unionByName(rest.drop("_digest"))
     if not clashing.isEmpty():
-        texts = docs.select(F.col(id_column).alias("_id"), digest(text).alias("_digest"), text.alias("_text"))
-        same_text = Window.partitionBy("_digest", "_text", "_id").orderBy("_digest")
-        texts = texts.join(clashing, "_digest", "left_semi").withColumn("_copy", F.row_number().over(same_text))
-        owners = classes.withColumnsRenamed({"_keep": "keep_id", "_n": "group_size"})
-        texts = texts.join(owners, ["_digest", "_text"]).withColumn("text_sha256", sha256(F.col("_text")))
-        found = found.unionByName(texts.drop("_text"))
+        texts = docs.select(
+            F.col(id_column).alias("_id"), F.monotonically_increasing_id().alias("_row"), digest(text).alias("_digest"), text.alias("_text")
+        )
+        owners = classes.withColumnRenamed("_n", "group_size")
+        texts = texts.join(clashing, "_digest", "left_semi").join(owners, ["_digest", "_text"])
+        found = found.unionByName(texts.select("_id", "_row", sha256(F.col("_text")).alias("text_sha256"), "_keep", "group_size"))
     return found.select(
         F.col("_id").alias(id_column),
-        "keep_id",
+        F.col("_keep.id").alias("keep_id"),
         F.col("group_size").cast("long").alias("group_size"),
-        (F.col("_id").eqNullSafe(F.col("keep_id")) & (F.col("_copy") == 1)).alias("kept"),
+        (F.col("_row") == F.col("_keep.row")).alias("kept"),
         "text_sha256",
     )
