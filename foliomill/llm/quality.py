@@ -25,7 +25,7 @@ FILTERS = 24
 PIECE_HOPS = 2048  # bytes / HOP that go through the filters at once
 
 SAMPLE_PER_CLASS = 2000  # labelled rows that the network is fitted on, at most
-SAMPLE_CHARS = 8192  # contiguous characters of such a row, from a place given by its id
+SAMPLE_BYTES = 32 << 20  # bytes of such rows of one label, at most: a row that does not fit in whole is not taken
 EPOCHS = 10
 LEAST_STEPS = 500  # so that a small sample is learned too
 BATCH = 32
@@ -50,15 +50,15 @@ def new_network(seed: int = 7) -> Network:
 
 
 def padded(texts: Sequence[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Bytes of the texts, each filled up with zeros to whole hops of at least one, and the hops of each.
+    """Bytes of the texts, each behind a zero step and filled up with zeros to whole hops, and the hops of each.
 
-    There is at least one zero step behind each text, so no filter sees two texts.
+    The last filter of a text reaches into the first step of the next, which is that zero step: no filter sees two texts.
     """
     hops = np.array([(len(t) + STEP) // HOP + 1 for t in texts])
     out = np.zeros(int(hops.sum()) * HOP + STEP, np.uint8)
     at = 0
     for text, n in zip(texts, hops, strict=True):
-        out[at : at + len(text)] = np.frombuffer(text, np.uint8)
+        out[at + STEP : at + STEP + len(text)] = np.frombuffer(text, np.uint8)
         at += int(n) * HOP
     return out, hops
 
@@ -70,14 +70,16 @@ def convolve(net: Network, data: np.ndarray) -> np.ndarray:
     return (seen @ net.filters[:half])[:-1] + (seen @ net.filters[half:])[1:]
 
 
-def hop_maxima(net: Network, data: np.ndarray) -> np.ndarray:
-    """Largest value of each filter in each hop, computed piece by piece."""
+def hop_values(net: Network, data: np.ndarray) -> Iterator[np.ndarray]:
+    """Filter values by hop and step, piece by piece."""
     hops = (len(data) - STEP) // HOP
-    found = [
-        convolve(net, data[at * HOP : min(at + PIECE_HOPS, hops) * HOP + STEP]).reshape(-1, STEPS, FILTERS).max(1)
-        for at in range(0, hops, PIECE_HOPS)
-    ]
-    return np.concatenate(found)
+    for at in range(0, hops, PIECE_HOPS):
+        yield convolve(net, data[at * HOP : min(at + PIECE_HOPS, hops) * HOP + STEP]).reshape(-1, STEPS, FILTERS)
+
+
+def hop_maxima(net: Network, data: np.ndarray) -> np.ndarray:
+    """Largest value of each filter in each hop."""
+    return np.concatenate([values.max(1) for values in hop_values(net, data)])
 
 
 def chunk_plan(hops: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -105,11 +107,10 @@ def probabilities(net: Network, texts: Sequence[bytes]) -> np.ndarray:
 
 
 def gradients(net: Network, texts: Sequence[bytes], labels: np.ndarray, weights: np.ndarray) -> Network:
-    """Gradient of the weighted mean log loss."""
+    """Gradient of the weighted mean log loss; whole texts, a piece at a time."""
     data, hops = padded(texts)
-    values = convolve(net, data).reshape(-1, STEPS, FILTERS)
-    where = values.argmax(1)  # hop x filter
-    maxima = np.take_along_axis(values, where[:, None], 1)[:, 0]
+    best = [(where := values.argmax(1), np.take_along_axis(values, where[:, None], 1)[:, 0]) for values in hop_values(net, data)]
+    where, maxima = (np.concatenate(x) for x in zip(*best, strict=True))  # hop x filter
     first, second, starts = chunk_plan(hops)
     n_chunks = np.maximum(hops - 1, 1)
     take_second = maxima[second] > maxima[first]
@@ -127,13 +128,14 @@ def gradients(net: Network, texts: Sequence[bytes], labels: np.ndarray, weights:
     d_maxima = np.zeros_like(maxima)
     column = np.broadcast_to(np.arange(FILTERS), d_chunks.shape)
     np.add.at(d_maxima, (np.where(take_second, second[:, None], first[:, None]), column), d_chunks)
-    begin = (np.arange(len(maxima))[:, None] * STEPS + where) * STEP
-    seen = data[begin[:, :, None] + np.arange(WIDTH)]  # hop x filter x WIDTH
-    looked = net.embed[seen].reshape(*begin.shape, WIDTH * EMBED)
-    d_filters = np.einsum("hf,hfk->kf", d_maxima, looked)
-    d_seen = d_maxima[:, :, None] * net.filters.T
-    d_embed = np.zeros_like(net.embed)
-    np.add.at(d_embed, seen.reshape(-1), d_seen.reshape(-1, EMBED))
+    d_filters, d_embed = np.zeros_like(net.filters), np.zeros_like(net.embed)
+    for at in range(0, len(maxima), PIECE_HOPS):
+        own = slice(at, at + PIECE_HOPS)
+        begin = (np.arange(at, at + len(where[own]))[:, None] * STEPS + where[own]) * STEP
+        seen = data[begin[:, :, None] + np.arange(WIDTH)]  # hop x filter x WIDTH
+        looked = net.embed[seen].reshape(*begin.shape, WIDTH * EMBED)
+        d_filters += np.einsum("hf,hfk->kf", d_maxima[own], looked)
+        np.add.at(d_embed, seen.reshape(-1), (d_maxima[own][:, :, None] * net.filters.T).reshape(-1, EMBED))
     d_embed[0] = 0
     return Network(d_embed, d_filters, d_chunks.sum(0), features.T @ d_logit, d_logit.sum(keepdims=True))
 
@@ -162,28 +164,38 @@ def held_out(id_column: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string")) % 4 == 2, F.lit(False))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS) -> DataFrame:
-    """``text, quality, share``: at most ``per_class`` rows of each label, those with the lowest hash of their id.
+def training_rows(
+    docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, most_bytes: int = SAMPLE_BYTES
+) -> DataFrame:
+    """``doc_id, quality, share, text``: at most ``per_class`` rows of each label, those with the lowest hash of their id,
+    with whole texts of together at most ``most_bytes`` a label; a text that would go beyond is passed over.
 
-    ``share`` is the label's number of labelled rows. Only ids and labels are ordered; the rows chosen are few enough
-    to be sent to every executor, so the texts stay where they are.
+    ``share`` is the label's number of labelled ids. An id with several labels has the lowest, one with several texts the
+    first in order. Only ids, labels and lengths are ordered; the rows chosen are few enough to be sent to every executor,
+    so the texts stay where they are.
     """
-    known = labels.filter(F.col("quality").isin(0, 1) & ~held_out("doc_id")).select("doc_id", "quality")
-    totals = known.groupBy("quality").count()
+    known = labels.filter(F.col("quality").isin(0, 1) & ~held_out("doc_id") & F.col("doc_id").isNotNull())
+    known = known.groupBy("doc_id").agg(F.min("quality").alias("quality"))
+    totals = known.groupBy("quality").agg(F.count("*").cast("double").alias("share"))
     order = F.xxhash64(F.col("doc_id").cast("string"))
     chosen = [known.filter(F.col("quality") == q).orderBy(order, "doc_id").limit(per_class) for q in (0, 1)]
-    chosen = F.broadcast(chosen[0].unionByName(chosen[1]).dropDuplicates(["doc_id"]))
-    spare = F.greatest(F.length("text") - SAMPLE_CHARS, F.lit(0))
-    begin = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(1)), spare + 1).cast("int") + 1
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id")
-    rows = rows.select("doc_id", "quality", F.substring("text", begin, F.lit(SAMPLE_CHARS)).alias("text"))
-    return rows.join(F.broadcast(totals), "quality").withColumn("share", F.col("count").cast("double"))
+    chosen = chosen[0].unionByName(chosen[1]).join(F.broadcast(totals), "quality")
+    text = F.min(F.coalesce("text", F.lit("")))
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality", "share").agg(text.alias("text"))
+    sizes = found.select("doc_id", "quality", order.alias("_hash"), F.octet_length("text").alias("_bytes")).collect()
+    left, taken = dict.fromkeys((0, 1), most_bytes), []
+    for row in sorted(sizes, key=lambda r: (r["_hash"], r["doc_id"])):
+        if row["_bytes"] <= left[row["quality"]]:
+            left[row["quality"]] -= row["_bytes"]
+            taken.append((row["doc_id"],))
+    ids = docs.sparkSession.createDataFrame(taken, known.select("doc_id").schema)
+    return found.join(F.broadcast(ids), "doc_id")
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE_PER_CLASS, epochs: int = EPOCHS) -> Network:
     """Network fitted on the bounded sample; with no or one label only, one that answers with that label's chance."""
     rows = training_rows(docs, labels, per_class).select("doc_id", "text", "quality", "share").collect()
-    rows = sorted({(r.doc_id, r.quality, r.share, r.text or "") for r in rows})
+    rows = sorted((r.doc_id, r.quality, r.share, r.text) for r in rows)
     y = np.array([r[1] for r in rows], np.float32)
     net = new_network()
     if not rows or y.min() == y.max():

@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from foliomill.llm import near_dup, repeats
+from foliomill.llm import exact_dup, near_dup, repeats
 from foliomill.llm.components import components
 from foliomill.llm.exact_dup import exact_duplicates
 from foliomill.llm.words import run_hashes, shingle_sets, word_hashes
@@ -41,6 +41,13 @@ def test_exact_duplicates(docs, no_docs, texts):
     assert exact_duplicates(no_docs).count() == 0
 
 
+@pytest.mark.parametrize("share", [1, 10**9])
+def test_frequent_texts_give_the_same_groups(docs, texts, monkeypatch, share):
+    """No text counts as frequent, or all do."""
+    monkeypatch.setattr(exact_dup, "HOT_SHARE", share)
+    assert rows_of(exact_duplicates(docs)) == expected_exact(texts)
+
+
 def test_exact_duplicates_compare_texts_when_digests_clash(docs, texts):
     weak = exact_duplicates(docs, digest=lambda text: F.octet_length(text).cast("string"))
     assert rows_of(weak) == expected_exact(texts)

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import zlib
 import struct
 
 import numpy as np
@@ -43,6 +44,25 @@ def test_archive_round_trip(spark, tmp_path):
     assert warc.archive_round_trip(spark, none).count() == 0
 
 
+def test_archives_are_read_by_many_tasks(spark, tmp_path, monkeypatch):
+    rows = [(i, f"u{i}", "x" * 3000 + str(i)) for i in range(400)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(str(tmp_path / "p"))
+    folder = str(tmp_path / "archives")
+    archives = warc.write_archives(spark.read.parquet(str(tmp_path / "p")), folder, archive_bytes=30_000)
+    n = archives.count()
+    records = warc.read_archives(archives, folder)
+    per_task = [r["count"] for r in records.groupBy(F.spark_partition_id()).count().collect()]
+    assert n > 8 and records.rdd.getNumPartitions() == n and len(per_task) > n / 3 and sum(per_task) == 400
+    monkeypatch.setattr(warc, "MOST_READERS", 3)
+    assert warc.read_archives(archives, folder).rdd.getNumPartitions() == 3
+
+
+def test_only_revisits_are_joined(spark, tmp_path):
+    schema = "record_id string, page_id long, record_type string, payload_bytes long, payload_digest string, refers_to_record string"
+    records = spark.createDataFrame([("a", 1, "response", 5, "d", None), ("b", 2, "revisit", None, "d", "a"), ("c", 3, "revisit", None, "e", "gone")], schema)
+    assert by_repr(warc.resolve_revisits(records).collect()) == by_repr([(1, 5, "d", "response", None), (2, 5, "d", "revisit", 1), (3, None, "e", "revisit", None)])
+
+
 def test_archive_layout():
     records = [warc.write_record({"WARC-Type": "resource", "WARC-Record-ID": f"<{i}>", "WARC-Date": warc.DATE}, b"text %d " % i * 90) for i in range(200)]
     archive = b"".join(warc.pack_records(records))
@@ -166,6 +186,43 @@ def test_gradients_match_differences():
         assert slope == pytest.approx(grad[place], rel=1e-3), name
 
 
+def naive_probability(net, text):
+    """The network by loops: every filter at every step of every chunk."""
+    hops = (len(text) + quality.STEP) // quality.HOP + 1
+    data = bytes(quality.STEP) + text + bytes(hops * quality.HOP - len(text))
+    maxima = []
+    for h in range(hops):
+        best = np.full(quality.FILTERS, -np.inf)
+        for step in range(quality.STEPS):
+            at = (h * quality.STEPS + step) * quality.STEP
+            seen = np.concatenate([net.embed[b] for b in data[at : at + quality.WIDTH]])
+            best = np.maximum(best, seen @ net.filters)
+        maxima.append(best)
+    chunks = [np.maximum(np.maximum(a, b) + net.bias, 0) for a, b in zip(maxima, maxima[1:] or maxima)]
+    features = np.concatenate([np.mean(chunks, 0), np.max(chunks, 0)])
+    return 1 / (1 + np.exp(-(features @ net.weights + net.offset[0])))
+
+
+def test_scores_match_loops():
+    rng = np.random.default_rng(6)
+    net = quality.new_network(3)._replace(bias=rng.normal(0.1, 0.1, quality.FILTERS).astype(np.float32))
+    texts = [bytes(rng.integers(1, 256, n).astype(np.uint8)) for n in (0, 1, 7, 251, 252, 255, 256, 257, 511, 1030)]
+    assert quality.probabilities(net, texts) == pytest.approx([naive_probability(net, t) for t in texts], abs=1e-5)
+
+
+def test_training_rows(spark, docs):
+    labels = spark.createDataFrame([(1, 1), (1, 0), (10, 1), (13, 0), (13, 0), (8, 1), (None, 1)], "doc_id long, quality int")
+    rows = {r.doc_id: r for r in quality.training_rows(docs, labels).collect()}
+    held = {i for i in (1, 10, 13, 8) if zlib.crc32(str(i).encode()) % 4 == 2}
+    assert set(rows) == {1, 10, 13, 8} - held and len(held) < 3
+    for i, want in ((1, 0), (10, 1), (13, 0), (8, 1)):
+        assert i in held or rows[i].quality == want
+    assert 13 in held or rows[13].text == "a b c d e f g"  # one row of a repeated id
+    assert 10 in held or len(rows[10].text) > 100_000  # whole texts
+    small = quality.training_rows(docs, labels, most_bytes=1000).collect()
+    assert all(sum(len(r.text.encode()) for r in small if r.quality == q) <= 1000 for q in (0, 1))
+
+
 def test_pieces_of_a_long_text_score_as_a_whole(monkeypatch):
     net = quality.new_network()
     text = bytes(np.random.default_rng(1).integers(32, 120, 9000).astype(np.uint8))
@@ -202,9 +259,36 @@ def test_quality_of_odd_rows(spark, docs, no_docs, texts):
 
 def test_lookup_keys(spark):
     rows = [("https://User@A.B.Example.com:80/x/y/?q#f",), (None,), ("nonsense",), ("http://" + "a." * 200 + "com/",), ("http://h",)]
-    keys = [r[0] for r in spark.createDataFrame(rows, "url string").select(url_lists.lookup_keys(F.col("url"))).collect()]
+    urls = spark.createDataFrame(rows, "url string")
+    keys = [r[0] for r in urls.select(url_lists.lookup_keys(F.col("url"), 4)).collect()]
     assert keys[0] == ["a.b.example.com", "b.example.com", "example.com", "com", "a.b.example.com/x/y/"]
-    assert keys[1:] == [[], [], [], ["h", "h/"]]
+    assert keys[1:3] == [[], []] and keys[4] == ["h", "h/"]
+    assert keys[3] == ["a.a.a.com", "a.a.com", "a.com", "com", "a." * 200 + "com/"]
+    assert urls.select(url_lists.lookup_keys(F.col("url"), 2)).first()[0] == ["example.com", "com", "a.b.example.com/x/y/"]
+
+
+def test_blocks_make_up_a_range(spark):
+    ranges = [(a, b) for a in range(-9, 20, 2) for b in range(a - 1, 25, 3)] + [(0, 10**12), (-(10**12), 5)]
+    rows = spark.createDataFrame(ranges, "a long, b long").select("a", "b", url_lists.blocks(F.col("a"), F.col("b")).alias("k")).collect()
+    for r in rows:
+        parts = sorted((x.block << x.level, (x.block + 1) << x.level) for x in r.k or [])
+        assert [p[0] for p in parts[1:]] == [p[1] for p in parts[:-1]] and len(parts) <= 82
+        assert (parts[0][0], parts[-1][1] - 1) == (r.a, r.b) if r.a <= r.b else not parts
+
+
+def test_one_far_fetch_time_is_harmless(spark):
+    """A capture whose time is in milliseconds makes pieces in proportion to the digits of the time, not to the time."""
+    lists = spark.createDataFrame([("ads", f"h{i}.com", i, "add") for i in range(50)], "list string, key string, at long, action string")
+    caps = spark.createDataFrame([(1, "http://h3.com/", 10**9), (2, "http://h4.com/", 1_700_000_000_000)], "page_id long, url string, at long")
+    assert url_lists.validity(lists, 1_700_000_000_000 // url_lists.PERIOD_SECONDS).count() < 50 * 50
+    assert {(r.page_id, r.blocked) for r in url_lists.active_entries(caps, lists, "page_id", "url", "at").collect()} == {(1, True), (2, True)}
+
+
+def test_long_hosts_are_looked_up(spark):
+    lists = spark.createDataFrame([("ads", "b.com", 0, "add")], "list string, key string, at long, action string")
+    caps = spark.createDataFrame([(1, "http://" + "x." * 4000 + "b.com/", 5)], "page_id long, url string, at long")
+    row = url_lists.active_entries(caps, lists, "page_id", "url", "at").first()
+    assert row.blocked and len(row.host) == 8005
 
 
 def test_active_entries(spark):
