@@ -1,7 +1,9 @@
 """A training corpus from raw documents: poor texts go, copies and near copies go, benchmark leaks go, the rest is encoded.
 
 Every stage takes ``(spark, docs, sf_dir)`` with ``docs`` read from stored Parquet, and all but the last return the columns
-of ``docs``. Rows are told apart by their place in the stored input, so null and repeated ids are no trouble.
+of ``docs``, whatever they are called. Rows are told apart by their place in the stored input, so null and repeated ids are
+no trouble: a row with a null id is a document like any other. Null and empty texts are empty documents: the classifier
+scores them, equal ones are one group of exact copies, and no later stage links or drops them. An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -17,42 +19,48 @@ from foliomill.llm.near_dup import near_duplicates
 from foliomill.llm.quality import keep_good, learn
 from foliomill.llm.queries import table, tokenizer
 
-ROW = "_row_of_stage"
+def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with each row's place, and the name of that column, which no column of ``docs`` has."""
+    name, taken = "_row", {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return docs.withColumn(name, F.monotonically_increasing_id()), name
 
 
-def _numbered(docs: DataFrame) -> DataFrame:
-    return docs.withColumn(ROW, F.monotonically_increasing_id())
-
-
-def _ids(rows: DataFrame) -> DataFrame:
+def _ids(rows: DataFrame, row: str) -> DataFrame:
     """Id and place as one ordered value, which no two rows share."""
-    return rows.select(F.struct("doc_id", ROW).alias("id"), "text")
+    return rows.select(F.struct("doc_id", F.col(row).alias("row")).alias("id"), "text")
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier, learned from the labels' training part, scores 0.7 or more."""
+    """Documents that the classifier, learned from the labels' training part, scores 0.7 or more.
+
+    Without labels every document scores 0.5 and goes.
+    """
     return keep_good(docs, learn(docs, table(spark, sf_dir, "labels")))
 
 
 def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal texts the one with the largest id."""
-    rows = _numbered(docs)
-    kept = exact_duplicates(_ids(rows), "id").filter("kept").select(f"id.{ROW}")
-    return rows.join(kept, ROW, "left_semi").drop(ROW)
+    """Of documents with equal texts the one with the largest id; of rows that share it the last in the table. Null ids
+    are smaller than any other."""
+    rows, row = _numbered(docs)
+    kept = exact_duplicates(_ids(rows, row), "id").filter("kept").select(F.col("id.row").alias(row))
+    return rows.join(kept, row, "left_semi").drop(row)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the smallest id."""
-    rows = _numbered(docs)
-    gone = near_duplicates(_ids(rows), "id").filter(~F.col("kept")).select(f"id.{ROW}")
-    return rows.join(gone, ROW, "left_anti").drop(ROW)
+    """Of each group of near duplicates the document with the smallest id; of rows that share it the first in the table.
+    Null ids are smaller than any other here."""
+    rows, row = _numbered(docs)
+    gone = near_duplicates(_ids(rows, row), "id").filter(~F.col("kept")).select(F.col("id.row").alias(row))
+    return rows.join(gone, row, "left_anti").drop(row)
 
 
 def without_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no window of a benchmark item occurs."""
-    rows = _numbered(docs)
-    found = contamination(rows.select(ROW, "text"), table(spark, sf_dir, "benchmark"), ROW)
-    return rows.join(found.filter("contaminated").select(ROW), ROW, "left_anti").drop(ROW)
+    rows, row = _numbered(docs)
+    found = contamination(rows.select(row, "text"), table(spark, sf_dir, "benchmark"), row)
+    return rows.join(found.filter("contaminated").select(row), row, "left_anti").drop(row)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
