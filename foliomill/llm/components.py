@@ -8,10 +8,20 @@ from pyspark.sql import functions as F
 from foliomill.session import fresh_path
 
 
-def stored(df: DataFrame, purpose: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: a lost executor never sends later steps back to its sources."""
-    df.write.parquet(path := fresh_path(df.sparkSession, purpose))
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+def stored(df: DataFrame, purpose: str, share: int = 1) -> DataFrame:
+    """``df`` written to the shared folder and read back: a lost executor never sends later steps back to its sources.
+
+    Tables that are small beside the documents, such as links, are written by one of ``share`` shuffle partitions each.
+    """
+    spark = df.sparkSession
+    if share > 1:
+        df = df.coalesce(max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) // share))
+    df.write.parquet(path := fresh_path(spark, purpose))
+    return spark.read.schema(df.schema).parquet(path)
+
+
+LINKS = 8  # share of the shuffle partitions that write links and labels
+STEPS = 2  # stars of either kind between two stored states
 
 
 def _least(links: DataFrame) -> DataFrame:
@@ -19,16 +29,20 @@ def _least(links: DataFrame) -> DataFrame:
     return links.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("m"))
 
 
+def _pairs(df: DataFrame, *pairs: tuple) -> DataFrame:
+    """``u, v`` of several pairs of a row, without equal ends."""
+    ends = F.explode(F.array(*[F.struct(F.col(u).alias("u"), F.col(v).alias("v")) for u, v in pairs]))
+    return df.select(ends.alias("_p")).select("_p.u", "_p.v").filter("u <> v")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
-    both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+    both = _pairs(links, ("u", "v"), ("v", "u"))
+    return both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     down = links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    near = down.join(_least(down), "u")
-    kept = near.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(near.select("u", F.col("m").alias("v")))
-    return kept.filter("u <> v").distinct()
+    return _pairs(down.join(_least(down), "u"), ("v", "m"), ("u", "m")).distinct()
 
 
 def _state(links: DataFrame) -> tuple:
@@ -41,11 +55,13 @@ def components(links: DataFrame) -> DataFrame:
     A node's links are only combined by minimum and joined back, so a node with very many links is never one group in a
     task. Rounds go on until the links no longer change, about as often as the logarithm of the longest chain.
     """
-    links = stored(links.filter("u <> v").distinct(), "links")
+    links = stored(links.filter("u <> v").distinct(), "links", LINKS)
     before = None
     while (now := _state(links)) != before:
         before = now
-        links = stored(_small_star(_large_star(links)), "links")
+        for _ in range(STEPS):
+            links = _small_star(_large_star(links))
+        links = stored(links, "links", LINKS)
     return links.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
@@ -61,4 +77,4 @@ def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
     moved = components(ends.select(F.col("_lu").alias("u"), F.col("_lv").alias("v")))
     old = with_labels(labels.withColumnRenamed("label", "_old"), "_old", moved, "label").select("node", "label")
     new = moved.join(labels.select("node"), "node", "left_anti").select("node", "label")
-    return stored(old.unionByName(new), "labels")
+    return stored(old.unionByName(new), "labels", LINKS)

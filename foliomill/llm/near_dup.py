@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.components import merged, stored, with_labels
+from foliomill.llm.components import LINKS, merged, stored, with_labels
 from foliomill.llm.sizes import BATCH_ROWS, small_batches
 from foliomill.llm.words import mixed, shingle_sets
 
@@ -134,9 +134,9 @@ def _groups(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Components within each bucket that holds more than one: ``_bucket, _label, _low, _high, _size``."""
     labelled = with_labels(members, "_c", labels, "_label")
     groups = labelled.groupBy("_bucket", "_label").agg(F.min("_c").alias("_low"), F.max("_c").alias("_high"), F.count("*").alias("_size"))
-    groups = stored(groups, "bucket-groups")
+    groups = stored(groups, "bucket-groups", LINKS)
     several = groups.groupBy("_bucket").agg(F.count("*").alias("_groups")).filter("_groups > 1").select("_bucket")
-    return stored(groups.join(several, "_bucket"), "open-groups")
+    return groups.join(several, "_bucket")
 
 
 def _hub_links(groups: DataFrame, end: str) -> DataFrame:
@@ -153,7 +153,7 @@ def _open_members(members: DataFrame, centres: DataFrame, labels: DataFrame) ->
     A centre has been tested against every member of its bucket.
     """
     waiting = with_labels(members.join(centres, ["_bucket", "_c"], "left_anti"), "_c", labels, "_label")
-    waiting = stored(waiting.select("_bucket", "_c", "_label"), "waiting")
+    waiting = stored(waiting.select("_bucket", "_c", "_label"), "waiting", LINKS)
     ends = waiting.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high"))
     return waiting.join(ends.filter("_low <> _high"), "_bucket").select("_c", "_label").distinct()
 
@@ -185,7 +185,7 @@ def _prefix_links(open_members: DataFrame, texts: DataFrame) -> DataFrame:
     both = many + parts
     cut = stored(_shingles(texts.join(open_members, "_c")), "shingles")
     times = cut.groupBy("_shingle").agg(F.count("*").alias("_times")).filter("_times > 1")
-    shared = stored(cut.join(times, "_shingle"), "shared-shingles")
+    shared = cut.join(times, "_shingle")
     # a member's own shingles, as many as its text has
     sets = shared.groupBy("_c", "_label", "_n").agg(F.sort_array(F.collect_list(F.struct("_times", "_shingle"))).alias("_set"))
     own = F.col("_n") - F.size("_set")
@@ -194,7 +194,7 @@ def _prefix_links(open_members: DataFrame, texts: DataFrame) -> DataFrame:
     first = F.slice("_set", 1, F.greatest(as_larger - own, F.lit(0)).cast("int"))
     placed = sets.select("_c", "_label", "_n", own.alias("_own"), as_smaller.alias("_short"), F.posexplode(first).alias("_at", "_s"))
     placed = placed.select("_c", "_label", "_n", "_short", F.col("_s._shingle").alias("_shingle"), (F.col("_own") + F.col("_at")).alias("_at"))
-    placed = stored(placed, "prefixes")
+    placed = stored(placed, "prefixes", LINKS)
     small = placed.filter("_at < _short").alias("a")
     large = placed.alias("b")
     least = F.ceil(many * (F.col("a._n") + F.col("b._n")) / both)
@@ -234,7 +234,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
     def linked(links: DataFrame) -> DataFrame:
         """Labels after the test of further links."""
-        found = stored(_similar(stored(_possible(links, classes), "tested"), texts), "similar")
+        found = stored(_similar(_possible(links, classes), texts), "similar", LINKS)
         return labels if found.isEmpty() else merged(labels, found)
 
     labels = linked(members.select(F.col("_centre").alias("u"), F.col("_c").alias("v")).filter("u <> v").distinct())
@@ -245,7 +245,7 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         if groups.isEmpty():
             break
         labels = linked(_hub_links(groups, "_high" if number % 2 else "_low"))
-    open_members = stored(_open_members(members, centres, labels), "open-members")
+    open_members = stored(_open_members(members, centres, labels), "open-members", LINKS)
     if not open_members.isEmpty():
         labels = linked(_prefix_links(open_members, texts))
 
