@@ -19,7 +19,7 @@ def stage_docs(spark, texts, tmp_path_factory):
     """The odd rows with passages of the benchmark, and columns named as the stages' own."""
     rows = [*texts, (300, f"before it. {BENCHMARK[0][1].upper()}! and after"), (301, "a short, item here"), (302, "nothing of that")]
     path = str(tmp_path_factory.mktemp("stage") / "documents.parquet")
-    schema = "doc_id long, text string, _row long, _row_ string, kept boolean, id int, component_id string"
+    schema = "doc_id long, text string, _row long, _PLACE_in_stage string, kept boolean, id int, component_id string"
     spark.createDataFrame([(i, t, 7, "x", False, 3, "y") for i, t in rows], schema).repartition(3).write.parquet(path)
     return spark.read.parquet(path), rows
 
@@ -93,6 +93,16 @@ def test_encoded(spark, stage_docs, sf_folder):
     assert got == sorted(want, key=repr)
 
 
+def test_run_without_further_columns(spark, sf_folder, tmp_path):
+    """The table as it comes: the stages' own columns meet none of the operators'."""
+    folder = tmp_path / "plain"
+    for name in ("documents", "benchmark", "labels"):
+        table = spark.read.parquet(f"{sf_folder}/{name}.parquet")
+        (table.select("doc_id", "text") if name == "documents" else table).write.parquet(f"{folder}/{name}.parquet")
+    want = sorted((r.doc_id for r in corpus_pipeline.run(spark, sf_folder).collect()), key=repr)
+    assert sorted((r.doc_id for r in corpus_pipeline.run(spark, str(folder)).collect()), key=repr) == want
+
+
 def test_run_and_empty_tables(spark, stage_docs, sf_folder, tmp_path):
     names = [n for n, _ in corpus_pipeline.STAGES]
     assert names == ["quality classifier", "exact dedup", "MinHash near-dedup", "benchmark decontamination", "BPE encoding and decoding"]
