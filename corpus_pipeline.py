@@ -21,7 +21,7 @@ from foliomill.llm.queries import table, tokenizer
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """``docs`` with each row's place, and the name of that column, which no column of ``docs`` has."""
-    name, taken = "_row", {c.lower() for c in docs.columns}
+    name, taken = "_place_in_stage", {c.lower() for c in docs.columns}
     while name in taken:
         name += "_"
     return docs.withColumn(name, F.monotonically_increasing_id()), name
