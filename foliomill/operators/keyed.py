@@ -34,6 +34,11 @@ def drop_preimages(changes: DataFrame, change_type: str = "_change_type") -> Dat
     return changes.filter(~F.lower(F.col(change_type)).eqNullSafe("update_preimage"))
 
 
+def with_keys(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Changes whose key is complete: a stored table can't tell which row a change without a key means."""
+    return changes.filter(reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+
+
 def latest_changes(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Newest change per key, deletions included, so that a late older change cannot revive a deleted key."""
     return newest_per_key(drop_preimages(changes), keys, order)

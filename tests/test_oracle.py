@@ -9,6 +9,7 @@ import __spark_entry__ as spark_entry
 
 QUERIES = spark_entry.queries()
 SQL = spark_entry.oracle_sql()
+APPROXIMATE = {"vector_ivf_topk"}  # measured against the exact hits in test_ivf.py
 TRAINING = {n for n in QUERIES if n == "pipeline" or re.match(r"op\d+_", n)}  # tested in a folder of their own
 
 
@@ -20,7 +21,7 @@ def duck(sf_dir):
 
 
 def test_every_query_has_a_statement():
-    assert set(QUERIES) - set(SQL) <= TRAINING
+    assert set(QUERIES) - set(SQL) <= TRAINING | APPROXIMATE
     assert set(SQL) <= set(QUERIES)
 
 
