@@ -50,6 +50,26 @@ def current_rows(changes: DataFrame, keys: Sequence[str], order: Sequence[str])
     return latest.filter(~F.coalesce(is_delete(), F.lit(False))).drop(*CHANGE_COLUMNS)
 
 
+def patched_rows(changes: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Current table in which a null in a change leaves its column as it was: one row per live key.
+
+    Every column has its newest value that isn't null and no older than the key's last deletion, which empties all of
+    them; the order columns are those of the newest change. One aggregate does all columns and combines before the
+    shuffle, so a hot key leaves one row per task. Order values are unique within a key.
+    """
+    changes = drop_preimages(changes)
+    at, gone = F.struct(*order), F.coalesce(is_delete(), F.lit(False))
+    values = [c for c in changes.columns if c not in (*keys, *order, *CHANGE_COLUMNS)]
+    # a struct around the value keeps it apart from a missing one
+    newest = [F.max_by(F.struct(at.alias("at"), F.col(c).alias("v")), F.when(F.col(c).isNotNull() & ~gone, at)).alias(c) for c in values]
+    folded = changes.groupBy(*keys).agg(F.max(at).alias("_last"), F.max(F.when(gone, at)).alias("_gone"), *newest)
+    since = lambda value: F.col("_gone").isNull() | (value > F.col("_gone"))
+    live = folded.filter(since(F.col("_last")))
+    ordered = {c: F.col("_last")[c] for c in order}
+    patched = {c: F.when(since(F.col(c)["at"]), F.col(c)["v"]) for c in values}
+    return live.select(*[{**ordered, **patched}.get(c, F.col(c)).alias(c) for c in changes.columns if c not in CHANGE_COLUMNS])
+
+
 def next_in_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], output: str, slices: int | None = None) -> DataFrame:
     """Add ``output``: the value of ``order[0]`` in the following row of the same key.
 

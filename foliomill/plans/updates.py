@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from foliomill.functions import text as tx
-from foliomill.operators import refresh, retrieval
+from foliomill.operators import keyed, refresh
 from foliomill.operators.enrich import chunk_id
 from foliomill.plans import inputs, medallion, oracle
 from foliomill.plans.queries import _events, _printed, query
@@ -153,6 +153,16 @@ def cdc_scd1_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh.live(table.read(spark)).drop("_change_type")
 
 
+@query
+def cdc_scd1_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current row of every user where a third of the changes lack the value and a quarter the properties."""
+    events = inputs.event_changes(_events(spark, sf_dir))
+    sparse = events.withColumns(
+        {"value": F.when(F.col("event_id") % 3 != 0, F.col("value")), "props": F.when(F.col("event_id") % 4 != 1, F.col("props"))}
+    )
+    return keyed.patched_rows(sparse, ["user_id"], inputs.CHANGE_ORDER)
+
+
 def _versions() -> str:
     batches = []
     for number in range(1, N_BATCHES + 1):
@@ -182,4 +192,14 @@ def statements() -> dict[str, str]:
               SELECT *, lead(version) OVER (PARTITION BY path ORDER BY version) AS next FROM ({_versions()})) WHERE ct <> 'delete'""",
         "cdc_scd2_stream": every["cdc_scd2"],
         "cdc_scd1_buckets": every["cdc_scd1"],
+        "cdc_scd1_patch": f"""
+            WITH c AS (
+              SELECT event_id, ts, user_id, event_type, ct, CASE WHEN event_id % 3 <> 0 THEN value END AS v,
+                CASE WHEN event_id % 4 <> 1 THEN props END AS p,
+                row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r
+              FROM ({oracle.CHANGES}) WHERE ct <> 'update_preimage'
+            ), d AS (SELECT user_id, coalesce(max(r) FILTER (ct = 'delete'), 0) AS gone FROM c GROUP BY 1)
+            SELECT user_id, arg_max(event_id, r) AS event_id, arg_max(ts, r) AS ts, arg_max(event_type, r) AS event_type,
+              arg_max(v, r) FILTER (v IS NOT NULL) AS value, arg_max(p, r) FILTER (p IS NOT NULL) AS props
+            FROM c JOIN d USING (user_id) WHERE r > gone GROUP BY user_id""",
     }

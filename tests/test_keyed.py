@@ -160,3 +160,29 @@ def test_broken_keys_stop_the_job(spark):
     keyed.require_keys(keyed.key_violations(df.distinct(), ["x"], "fine"))
     with pytest.raises(ValueError, match="bad"):
         keyed.require_keys(keyed.key_violations(df, ["x"], "bad"))
+
+
+def plain_patch(rows):
+    out = {}
+    for k, ts, n, v, kind in sorted(rows, key=lambda r: (r[1], r[2])):
+        kind = kind.lower()
+        if kind == "delete":
+            out.pop(k, None)
+        elif kind != "update_preimage":
+            out[k] = (k, ts, n, v if v is not None else out.get(k, (None,) * 4)[3])
+    return sorted(out.values())
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_patched_rows(spark, seed):
+    rng = random.Random(seed)
+    kinds = ["insert", "update_postimage", "Delete", "update_preimage"]
+    rows = [(rng.choice("aaabcd"), rng.randrange(20), i, rng.choice([None, None, "x", "y", "z"]), rng.choices(kinds, [2, 4, 1, 1])[0]) for i in range(120)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, ts int, n int, v string, _change_type string").repartition(5)
+    got = keyed.patched_rows(df, ["k"], ["ts", "n"])
+    assert got.columns == ["k", "ts", "n", "v"]
+    assert sorted(map(tuple, got.collect())) == plain_patch(rows)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert keyed.patched_rows(df.filter("false"), ["k"], ["ts", "n"]).count() == 0
