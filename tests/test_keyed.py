@@ -182,7 +182,7 @@ def test_patched_rows(spark, seed):
     df = spark.createDataFrame(rows, "k string, ts int, n int, v string, _change_type string").repartition(5)
     got = keyed.patched_rows(df, ["k"], ["ts", "n"])
     assert got.columns == ["k", "ts", "n", "v"]
-    assert sorted(map(tuple, got.collect())) == plain_patch(rows)
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan and plan.count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, got.collect())) == plain_patch(rows)
+    assert "partial_max_by" in plan and plan.count("Exchange hashpartitioning") == 1
     assert keyed.patched_rows(df.filter("false"), ["k"], ["ts", "n"]).count() == 0
