@@ -21,7 +21,6 @@ def stored(df: DataFrame, purpose: str, share: int = 1) -> DataFrame:
 
 
 LINKS = 8  # share of the shuffle partitions that write links and labels
-STEPS = 2  # stars of either kind between two stored states
 
 
 def _least(links: DataFrame) -> DataFrame:
@@ -59,9 +58,7 @@ def components(links: DataFrame) -> DataFrame:
     before = None
     while (now := _state(links)) != before:
         before = now
-        for _ in range(STEPS):
-            links = _small_star(_large_star(links))
-        links = stored(links, "links", LINKS)
+        links = stored(_small_star(_large_star(links)), "links", LINKS)
     return links.select(F.col("u").alias("node"), F.col("v").alias("label"))
 
 
