@@ -44,6 +44,44 @@ def windows(source: str, keys: str, text: str, size: int, overlap: int) -> str:
     )
 
 
+def recursive(source: str, key: str, text: str, size: int, overlap: int) -> str:
+    """Rows ``key, chunk_ix, content_chunk`` by the rules of the recursive splitter.
+
+    A text is cut before each of the first separator it has; pieces of ``size`` and more are cut by the next one. Neighbours
+    among the shorter ones are packed: a piece that would go beyond ``size`` closes a chunk, and the next one starts at the
+    first piece from which on at most ``overlap`` is repeated and the piece fits. ``o`` sorts as the pieces stand.
+    """
+    steps = [f"n0 AS (SELECT {key} AS k, {text} AS t, [0] AS o FROM ({source}) WHERE length({text}) > 0)"]
+    packs = []
+    for n, sep in enumerate(("chr(10) || chr(10)", "chr(10)", "' '")):
+        cut = f"list_filter(list_transform(string_split(t, {sep}), lambda x, i: CASE WHEN i = 1 THEN x ELSE {sep} || x END), lambda x: x <> '')"
+        steps.append(f"""c{n} AS (
+            SELECT k, o, p, ix, length(p) >= {size} AS long, sum((length(p) >= {size})::int) OVER (PARTITION BY k, o ORDER BY ix)::int AS run
+            FROM (SELECT k, o, unnest(l) AS p, unnest(range(len(l))) AS ix FROM (SELECT k, o, {cut} AS l FROM n{n} WHERE contains(t, {sep}))))""")
+        steps.append(f"""n{n + 1} AS (
+            SELECT k, p AS t, list_concat(o, [run, 0]) AS o FROM c{n} WHERE long
+            UNION ALL SELECT k, t, o FROM n{n} WHERE NOT contains(t, {sep}))""")
+        steps.append(f"""p{n} AS (
+            SELECT k, list_concat(o, [run, 1]) AS o, string_agg(p, '' ORDER BY ix) AS t, list({{'a': hi - length(p), 'b': hi}} ORDER BY ix) AS l
+            FROM (SELECT *, sum(length(p)) OVER (PARTITION BY k, o, run ORDER BY ix) AS hi FROM c{n} WHERE NOT long) GROUP BY k, o, run)""")
+        packs.append(f"SELECT k, o, t, l FROM p{n}")
+    packs.append("SELECT k, o, t, list_transform(range(length(t)), lambda i: {'a': i, 'b': i + 1}) AS l FROM n3")
+    spans = "STRUCT(a BIGINT, b BIGINT)[]"
+    fits = f"z >= acc.s AND z <= x.a AND x.a - z <= {overlap} AND (x.b - z <= {size} OR z = x.a)"
+    steps.append(f"""f AS (
+        SELECT k, o, t, list_reduce(list_transform(l, lambda x: {{'a': x.a::bigint, 'b': x.b::bigint, 's': 0::bigint, 'c': []::{spans}}}),
+            lambda acc, x: CASE WHEN x.b - acc.s <= {size} THEN {{'a': x.a, 'b': x.b, 's': acc.s, 'c': acc.c}} ELSE {{'a': x.a, 'b': x.b,
+              's': list_min(list_filter(d, lambda z: {fits}))::bigint,
+              'c': CASE WHEN x.a > acc.s THEN list_append(acc.c, {{'a': acc.s, 'b': x.a}}) ELSE acc.c END}} END,
+            {{'a': 0::bigint, 'b': 0::bigint, 's': 0::bigint, 'c': []::{spans}}}) AS r
+        FROM (SELECT *, list_transform(l, lambda x: x.a::bigint) AS d FROM ({' UNION ALL '.join(packs)})))""")
+    steps.append(f"""u AS (
+        SELECT k, o, unnest(range(len(e))) AS ix, regexp_replace(substring(t, (unnest(e)).a + 1, (unnest(e)).b - (unnest(e)).a), '^{WS}+|{WS}+$', '', 'g') AS c
+        FROM (SELECT k, o, t, list_append(r.c, {{'a': r.s, 'b': r.b}}) AS e FROM f))""")
+    return f"""(WITH {', '.join(steps)}
+        SELECT k AS {key}, (row_number() OVER (PARTITION BY k ORDER BY o, ix) - 1)::int AS chunk_ix, c AS content_chunk FROM u WHERE c <> '')"""
+
+
 def weights(source: str, key: str, text: str) -> str:
     """Rows ``key, bucket, w`` of the hashed embedding of ``text``."""
     return f"""
@@ -62,10 +100,15 @@ SILVER = f"""
     SELECT input_file, (ix - 1)::varchar AS page_nr, l[ix] AS page_content, {named("input_file", "txt")} AS document_name
     FROM (SELECT {FILE} AS input_file, string_split(text, chr(10)) AS l, unnest(range(1, len(l) + 1)) AS ix FROM documents)"""
 
+FIXED_GOLD = f"""
+    SELECT md5(input_file || '#' || page_nr || '#' || chunk_ix) AS chunk_id, content_chunk
+    FROM ({windows(SILVER, "input_file, page_nr, document_name, page_content", "page_content", 475, 50)})"""
+
+KEYED_SILVER = f"SELECT *, input_file || '#' || page_nr AS page FROM ({SILVER})"
 GOLD = f"""
-    SELECT md5(input_file || '#' || page_nr || '#' || chunk_ix) AS chunk_id, input_file, page_nr, document_name, content_chunk,
+    SELECT md5(page || '#' || chunk_ix) AS chunk_id, input_file, page_nr, document_name, content_chunk,
       timestamp '{inputs.AS_OF}' AS _datetime, page_content
-    FROM ({windows(SILVER, "input_file, page_nr, document_name, page_content", "page_content", 475, 50)})"""
+    FROM ({KEYED_SILVER}) JOIN {recursive(KEYED_SILVER, "page", "page_content", 475, 50)} USING (page)"""
 
 
 def topic(source: str, key: str, text: str) -> str:
@@ -261,10 +304,12 @@ def sampled() -> str:
 RECENT = f"ts > (SELECT max(ts) FROM events) - INTERVAL {queries.TRACE_MINUTES} MINUTE"
 
 
-def recursive_check() -> str:
+def recursive_check(size: int, overlap: int) -> str:
+    chunks = recursive("SELECT doc_id, text FROM documents", "doc_id", "text", size, overlap)
     return f"""
-        SELECT lang, count(*) AS n_docs, cast(sum((NOT ({VALID}))::int) AS bigint) AS n_without_chunk,
-          cast(0 AS bigint) AS n_oversize, cast(0 AS bigint) AS n_foreign FROM documents GROUP BY lang"""
+        SELECT doc_id, coalesce(n, 0) AS n_chunks, md5(coalesce(whole, '')) AS chunks_md5 FROM documents LEFT JOIN (
+          SELECT doc_id, count(*) AS n, string_agg(content_chunk, chr(31) ORDER BY chunk_ix) AS whole FROM {chunks} GROUP BY doc_id)
+        USING (doc_id)"""
 
 
 def rendered() -> str:
@@ -305,12 +350,13 @@ def statements() -> dict[str, str]:
         "html_text": f"SELECT page_id, t AS extracted_text FROM ({PAGES})",
         "doc_text": f"SELECT {FILE} AS input_file, replace(text, chr(10), '') AS extracted_text FROM documents",
         "chunk_fixed": windows("SELECT doc_id, text FROM documents", "doc_id", "text", 475, 50),
-        "chunk_recursive": recursive_check(),
-        "chunk_recursive_small": recursive_check(),
+        "chunk_recursive": recursive_check(475, 50),
+        "chunk_recursive_small": recursive_check(100, 20),
         "gold_table": GOLD,
         "gold_incremental": f"""
             SELECT url AS path, length, topic, topic AS parsed_topic_str, chunk_ix, content_chunk AS chunked_text
-            FROM ({windows(HTML_ONLY, "page_id, url, length", "t", 100, 20)}) JOIN ({topic(HTML_ONLY, "page_id", "t")}) USING (page_id)""",
+            FROM {recursive(HTML_ONLY, "page_id", "t", 100, 20)} JOIN ({HTML_ONLY}) USING (page_id)
+            JOIN ({topic(HTML_ONLY, "page_id", "t")}) USING (page_id)""",
         "doc_coverage": f"""
             SELECT reason, count(*) AS n_pages, cast(sum(n) AS bigint) AS n_chunks FROM (
               SELECT CASE WHEN url NOT LIKE '%.html' THEN 'not eligible' WHEN t = '' THEN 'blank text' ELSE 'chunked' END AS reason,
@@ -363,8 +409,8 @@ def statements() -> dict[str, str]:
             SELECT item_id, bucket::int AS bucket, round(w, 6) AS weight
             FROM ({weights("SELECT item_id, text FROM benchmark", "item_id", "text")})""",
         "index_build": f"""
-            SELECT chunk_id, md5(content_chunk) AS text_hash, coalesce(embedding_e6, '') AS embedding_e6 FROM ({GOLD})
-            LEFT JOIN ({printed(f"{chunk_text} FROM ({GOLD})", "chunk_id", "content_chunk")}) USING (chunk_id)""",
+            SELECT chunk_id, md5(content_chunk) AS text_hash, coalesce(embedding_e6, '') AS embedding_e6 FROM ({FIXED_GOLD})
+            LEFT JOIN ({printed(f"{chunk_text} FROM ({FIXED_GOLD})", "chunk_id", "content_chunk")}) USING (chunk_id)""",
         "index_sync": f"""
             SELECT * FROM (
               WITH o AS ({BEFORE}), n AS ({AFTER}), p AS (
@@ -388,7 +434,7 @@ def statements() -> dict[str, str]:
             SELECT count(DISTINCT query_id) AS n_queries, count(*) AS n_wanted, true AS enough
             FROM ({nearest(queries.IVF_K, "q.vec_id % 20 = 0")})""",
         "recall_at_3": RECALL,
-        "retrieve_chunks": question_hits(f"{chunk_text} FROM ({GOLD})", queries.TOP_K),
+        "retrieve_chunks": question_hits(f"{chunk_text} FROM ({FIXED_GOLD})", queries.TOP_K),
         "eval_allocation": f"""
             SELECT doc_id, cast({queries.N_QUESTIONS} // count(*) OVER () AS bigint)
               + (row_number() OVER (ORDER BY md5(doc_id::varchar), doc_id) <= {queries.N_QUESTIONS} % count(*) OVER ())::bigint

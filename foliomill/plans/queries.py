@@ -179,12 +179,10 @@ def chunk_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _recursive_check(spark: SparkSession, sf_dir: str, size: int, overlap: int) -> DataFrame:
-    docs = _documents(spark, sf_dir).select("lang", "text", recursive_chunks(F.col("text"), size, overlap).alias("chunks"))
-    return docs.groupBy("lang").agg(
-        F.count(F.lit(1)).alias("n_docs"),
-        F.sum((F.size("chunks") == 0).cast("bigint")).alias("n_without_chunk"),
-        F.sum(F.size(F.filter("chunks", lambda c: F.length(c) > size)).cast("bigint")).alias("n_oversize"),
-        F.sum(F.size(F.filter("chunks", lambda c: ~F.contains(F.col("text"), c))).cast("bigint")).alias("n_foreign"),
+    """Chunk count of every document and a digest of its chunks in order."""
+    docs = _documents(spark, sf_dir).select("doc_id", recursive_chunks(F.col("text"), size, overlap).alias("chunks"))
+    return docs.select(
+        "doc_id", F.size("chunks").cast("bigint").alias("n_chunks"), F.md5(F.array_join("chunks", "\x1f")).alias("chunks_md5")
     )
 
 
@@ -200,7 +198,7 @@ def chunk_recursive_small(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = medallion.gold_chunks(_silver(spark, sf_dir), _batch_chunks, inputs.as_of())
+    gold = medallion.gold_chunks(_silver(spark, sf_dir), as_of=inputs.as_of())
     return tables.overwrite_table(gold, fresh_path(spark, "gold"), medallion.GOLD_SCHEMA)
 
 
@@ -218,9 +216,8 @@ def evaluation_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    small = lambda text: tx.fixed_chunks(text, *medallion.INCREMENTAL_CHUNKS)
     texts = medallion.extracted_texts(inputs.page_files(spark, sf_dir), ".html")
-    gold = medallion.topics_and_chunks(texts, small)
+    gold = medallion.topics_and_chunks(texts)
     return gold.select("path", "length", "topic", "parsed_topic_str", "chunk_ix", "chunked_text")
 
 

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from foliomill.functions import text as tx
 from foliomill.operators import keyed, refresh
 from foliomill.operators.enrich import chunk_id
 from foliomill.plans import inputs, medallion, oracle
@@ -70,14 +69,13 @@ def _tables(root: str) -> dict[str, BucketTable]:
     return {name: BucketTable(f"{root}/{name}", KEYS, StructType.fromDDL(shape), BUCKETS) for name, shape in SHAPES.items()}
 
 
-def cut(texts: DataFrame, splitter: medallion.Splitter | None = None) -> DataFrame:
+def cut(texts: DataFrame, splitter: medallion.Splitter = medallion.incremental_splitter) -> DataFrame:
     """Topic and chunks of changed documents."""
-    small = lambda text: tx.fixed_chunks(text, *medallion.INCREMENTAL_CHUNKS)
-    return medallion.topics_and_chunks(texts, splitter or small)
+    return medallion.topics_and_chunks(texts, splitter)
 
 
 def refresh_all(
-    spark: SparkSession, batches: list[DataFrame], root: str, upto: str, splitter: medallion.Splitter | None = None
+    spark: SparkSession, batches: list[DataFrame], root: str, upto: str, splitter: medallion.Splitter = medallion.incremental_splitter
 ) -> dict[str, BucketTable]:
     """Fold batches one after another into the tables down to ``upto`` (``current``, ``gold`` or ``index``)."""
     tables = _tables(root)
@@ -176,7 +174,7 @@ def _versions() -> str:
 def statements() -> dict[str, str]:
     newest = f"SELECT * FROM ({_versions()}) QUALIFY row_number() OVER (PARTITION BY path ORDER BY version DESC) = 1"
     current = f"SELECT path, t, version FROM ({newest}) WHERE ct <> 'delete'"
-    chunks = oracle.windows(current, "path", "t", *medallion.INCREMENTAL_CHUNKS)
+    chunks = f"SELECT * FROM {oracle.recursive(current, 'path', 't', *medallion.INCREMENTAL_CHUNKS)}"
     named = f"SELECT md5(path || '#' || chunk_ix) AS chunk_id, content_chunk FROM ({chunks})"
     every = oracle.statements()
     return {
