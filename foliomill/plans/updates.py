@@ -6,19 +6,25 @@ text they had; events arrive in parts that overlap in time, so that some are lat
 
 from __future__ import annotations
 
+import json
+import re
+from collections import Counter
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from foliomill.operators import keyed, refresh
+from foliomill.operators import answers, enrich, keyed, parse, refresh
 from foliomill.operators.enrich import chunk_id
 from foliomill.plans import inputs, medallion, oracle
 from foliomill.plans.queries import _events, _printed, query
 from foliomill.session import fresh_path
+from foliomill.sources import checked
 from foliomill.sources.buckets import BucketTable
 from foliomill.sources.tables import overwrite_table
+from foliomill.streaming import evolving
 from foliomill.streaming.history import ingest_history, read_history
 
 N_BATCHES = 3
@@ -161,6 +167,90 @@ def cdc_scd1_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.patched_rows(sparse, ["user_id"], inputs.CHANGE_ORDER)
 
 
+def frequent_words(requests: pd.Series) -> pd.Series:
+    """Stand-in for a model: the topic of the document behind a prompt as JSON."""
+
+    def topic(request: str) -> str:
+        words = Counter(w for w in re.findall("[a-z]+", request[len(inputs.PROMPT) :].lower()) if len(w) >= enrich.MIN_TOPIC_LETTERS)
+        best = min(words, key=lambda w: (-words[w], w), default=enrich.NO_TOPIC)
+        return json.dumps({"topic": best}, separators=(",", ":"))
+
+    return requests.map(topic)
+
+
+@query
+def infer_once(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Topics from a model that is asked about every second document first and about all later: each request is sent once."""
+    store = fresh_path(spark, "answers")
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "text")
+    request = enrich.build_request(inputs.PROMPT, F.col("text"))
+    answers.ask_missing(docs.filter("doc_id % 2 = 0").select(request.alias("request")), store, frequent_words, 1)
+    return answers.infer_once(docs, request, store, frequent_words, 2).select("doc_id", "answer", "run")
+
+
+# what damages a page: (condition on page_id, content)
+NO_TEXT, OPEN_TAG, NO_CONTENT = 11, 13, 17
+
+
+def damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as bytes, some of which are cut in a tag, no UTF-8 or missing."""
+    html = F.encode("html", "UTF-8")
+    content = (
+        F.when(F.col("page_id") % NO_CONTENT == 6, F.lit(None).cast("binary"))
+        .when(F.col("page_id") % NO_TEXT == 3, F.concat(F.unhex(F.lit("FF")), html))
+        .when(F.col("page_id") % OPEN_TAG == 5, F.encode(F.concat("html", F.lit("<p class")), "UTF-8"))
+        .otherwise(html)
+    )
+    return inputs.table(spark, sf_dir, "pages").select("page_id", content.alias("content"))
+
+
+@query
+def extract_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages of web pages by the scanner, cut at their headings, and the files that it sets aside."""
+    pages, errors = parse.parse_files(damaged_pages(spark, sf_dir), parse.html_pages, "page_id", "content", fresh_path(spark, "parsed"))
+    errors = errors.withColumn("error", F.regexp_replace("error", r" at character \d+$", ""))
+    return enrich.combine_modalities(pages, errors)
+
+
+CHECKS = {"no text": "trim(text) <> ''", "too short": "n_chars >= 40", "no junk": "source <> 'src3'"}
+
+
+def _checked(spark: SparkSession, sf_dir: str) -> checked.Checked:
+    docs = inputs.table(spark, sf_dir, "documents").select("doc_id", "text", "source", "n_chars", F.md5("text").alias("text_md5"))
+    rules = {name: F.expr(rule) for name, rule in CHECKS.items()}
+    return checked.write_checked(docs, fresh_path(spark, "checked"), rules, ["text_md5"], ["doc_id"])
+
+
+@query
+def write_checked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both tables that a write under rules leaves: documents, and those that break a rule or repeat a text."""
+    found = _checked(spark, sf_dir)
+    bad = found.bad.select("doc_id", F.array_join(checked.PROBLEMS, ", ").alias("problems"))
+    return found.good.select("doc_id", F.lit("").alias("problems")).unionByName(bad)
+
+
+@query
+def write_checked_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the same write counted, from its metrics."""
+    return spark.createDataFrame(sorted(_checked(spark, sf_dir).counts.items()), "rule string, n bigint")
+
+
+@query
+def stream_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines of two folders with other columns, drained one after the other."""
+    run = fresh_path(spark, "evolving")
+    events = inputs.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.round("value", 2).alias("value"))
+    early = events.filter("event_id % 2 = 0").select(F.to_json(F.struct("event_id", "user_id")).alias("value"))
+    reading = F.when(F.col("event_id") % 5 == 0, F.lit("none")).otherwise(F.col("value").cast("string"))
+    late_id = F.when(F.col("event_id") % 7 == 0, F.concat(F.lit("u"), F.col("user_id"))).otherwise(F.col("user_id").cast("string"))
+    late = events.filter("event_id % 2 = 1").select("event_id", late_id.alias("user_id"), "event_type", reading.alias("reading"))
+    line = F.when(F.col("event_id") % 11 == 0, F.concat(F.lit("broken "), F.col("event_id"))).otherwise(F.to_json(F.struct("*")))
+    for number, part in enumerate((early, late.select(line.alias("value")))):
+        part.write.text(f"{run}/arrived/{number}")
+        evolving.ingest_lines(spark, f"{run}/arrived", f"{run}/table", "part-*")
+    return evolving.read_lines(spark, f"{run}/table")
+
+
 def _versions() -> str:
     batches = []
     for number in range(1, N_BATCHES + 1):
@@ -171,6 +261,14 @@ def _versions() -> str:
     return f"SELECT * FROM ({' UNION ALL '.join(batches)}) WHERE ct IS NOT NULL"
 
 
+def _checks() -> str:
+    broken = ", ".join(f"CASE WHEN NOT ({rule}) THEN '{name}' END" for name, rule in CHECKS.items())
+    return f"""
+        SELECT doc_id, CASE WHEN p <> '' THEN p WHEN row_number() OVER (PARTITION BY text, p = '' ORDER BY doc_id) > 1 THEN '{checked.REPEATED}'
+          ELSE '' END AS problems
+        FROM (SELECT doc_id, text, concat_ws(', ', {broken}) AS p FROM documents)"""
+
+
 def statements() -> dict[str, str]:
     newest = f"SELECT * FROM ({_versions()}) QUALIFY row_number() OVER (PARTITION BY path ORDER BY version DESC) = 1"
     current = f"SELECT path, t, version FROM ({newest}) WHERE ct <> 'delete'"
@@ -190,6 +288,39 @@ def statements() -> dict[str, str]:
               SELECT *, lead(version) OVER (PARTITION BY path ORDER BY version) AS next FROM ({_versions()})) WHERE ct <> 'delete'""",
         "cdc_scd2_stream": every["cdc_scd2"],
         "cdc_scd1_buckets": every["cdc_scd1"],
+        "infer_once": f"""
+            WITH t AS (SELECT doc_id, topic FROM ({oracle.topic("SELECT doc_id, text FROM documents", "doc_id", "text")}))
+            SELECT doc_id, topic AS answer, CASE WHEN count(*) FILTER (doc_id % 2 = 0) OVER (PARTITION BY text) > 0 THEN 1 ELSE 2 END::bigint AS run
+            FROM documents JOIN t USING (doc_id)""",
+        "extract_pages": f"""
+            WITH p AS (
+              SELECT page_id, html, octet_length(encode(html)) AS n, CASE WHEN page_id % {NO_CONTENT} = 6 THEN 'no content'
+                WHEN page_id % {NO_TEXT} = 3 THEN 'ValueError: no UTF-8 at byte 0'
+                WHEN page_id % {OPEN_TAG} = 5 THEN 'ValueError: a tag is not closed' END AS error FROM pages
+            ), c AS (
+              SELECT page_id, ix, {oracle.visible("CASE WHEN ix = 1 THEN part ELSE '<h1' || part END")} AS page_content
+              FROM (SELECT page_id, unnest(l) AS part, unnest(range(1, len(l) + 1)) AS ix
+                    FROM (SELECT page_id, string_split(html, '<h1') AS l FROM p WHERE error IS NULL))
+            )
+            SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY ix) - 1)::int AS page_nr, page_content,
+              NULL::bigint AS length, NULL AS error FROM c WHERE page_content <> ''
+            UNION ALL
+            SELECT page_id, NULL, NULL, CASE WHEN error LIKE '%UTF%' THEN n + 1 WHEN error LIKE '%tag%' THEN n + 8 END, error
+            FROM p WHERE error IS NOT NULL""",
+        "write_checked": f"SELECT doc_id, problems FROM ({_checks()})",
+        "write_checked_counts": f"""
+            WITH c AS (SELECT * FROM ({_checks()}))
+            SELECT 'rows' AS rule, count(*) AS n FROM c UNION ALL SELECT 'good', count(*) FROM c WHERE problems = ''
+            {" ".join(f"UNION ALL SELECT '{n}', count(*) FROM c WHERE contains(problems, '{n}')" for n in (*CHECKS, checked.REPEATED))}""",
+        "stream_evolving": """
+            SELECT event_id, user_id, NULL AS event_type, NULL AS reading, NULL AS _rescued FROM events WHERE event_id % 2 = 0
+            UNION ALL
+            SELECT event_id, CASE WHEN event_id % 7 <> 0 THEN user_id END, event_type,
+              CASE WHEN event_id % 5 = 0 THEN 'none' ELSE round(value, 2)::varchar END,
+              CASE WHEN event_id % 7 = 0 THEN '{"user_id":"u' || user_id || '"}' END
+            FROM events WHERE event_id % 2 = 1 AND event_id % 11 <> 0
+            UNION ALL
+            SELECT NULL, NULL, NULL, NULL, '{"_line":"broken ' || event_id || '"}' FROM events WHERE event_id % 2 = 1 AND event_id % 11 = 0""",
         "cdc_scd1_patch": f"""
             WITH c AS (
               SELECT event_id, ts, user_id, event_type, ct, CASE WHEN event_id % 3 <> 0 THEN value END AS v,
