@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +23,7 @@ def stored(df: DataFrame, purpose: str, share: int = 1) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+CHUNK = 1 << 18
 LINKS = 8  # share of the shuffle partitions that write links and labels
 
 
@@ -44,6 +48,39 @@ def _small_star(links: DataFrame) -> DataFrame:
     return _pairs(down.join(_least(down), "u"), ("v", "m"), ("u", "m")).distinct()
 
 
+def _contracted(links: DataFrame) -> DataFrame:
+    """Links with the same components, and fewer chains: a task leads the ends of up to ``CHUNK`` links at a time to the
+    least node that they are connected with among these links."""
+
+    def stars(u: list[int], v: list[int]) -> pa.RecordBatch:
+        above: dict[int, int] = {}
+
+        def root(x: int) -> int:
+            while (up := above.get(x, x)) != x:
+                above[x] = x = above.get(up, up)
+            return x
+
+        for a, b in zip(u, v, strict=True):
+            a, b = root(a), root(b)
+            above[max(a, b)] = min(a, b)
+        ends = [(x, r) for x in list(above) if (r := root(x)) != x]
+        return pa.record_batch([pa.array([e[k] for e in ends], pa.int64()) for k in (0, 1)], names=["u", "v"])
+
+    def contract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        u: list[int] = []
+        v: list[int] = []
+        for batch in batches:
+            u += batch.column(0).to_pylist()
+            v += batch.column(1).to_pylist()
+            if len(u) >= CHUNK:
+                yield stars(u, v)
+                u, v = [], []
+        if u:
+            yield stars(u, v)
+
+    return links.select("u", "v").mapInArrow(contract, "u bigint, v bigint")
+
+
 def _state(links: DataFrame) -> tuple:
     return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
@@ -54,7 +91,7 @@ def components(links: DataFrame) -> DataFrame:
     A node's links are only combined by minimum and joined back, so a node with very many links is never one group in a
     task. Rounds go on until the links no longer change, about as often as the logarithm of the longest chain.
     """
-    links = stored(links.filter("u <> v").distinct(), "links", LINKS)
+    links = stored(_contracted(links.filter("u <> v")).distinct(), "links", LINKS)
     before = None
     while (now := _state(links)) != before:
         before = now

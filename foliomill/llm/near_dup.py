@@ -17,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliomill.llm.components import LINKS, merged, stored, with_labels
@@ -122,18 +122,21 @@ def _similar(links: DataFrame, texts: DataFrame) -> DataFrame:
     return near.mapInArrow(test, "u bigint, v bigint")
 
 
-def _possible(links: DataFrame, classes: DataFrame) -> DataFrame:
-    """Links whose set sizes leave the similarity possible."""
-    ends = links
-    for end in ("u", "v"):
-        ends = ends.join(classes.select(F.col("_c").alias(end), F.col("_n").alias(f"_n{end}")), end)
-    return ends.filter(SIMILAR[1] * F.least("_nu", "_nv") >= SIMILAR[0] * F.greatest("_nu", "_nv")).select("u", "v")
+def _possible(m: Column, n: Column) -> Column:
+    """Whether sets of ``m`` and ``n`` shingles can be similar enough."""
+    return SIMILAR[1] * F.least(m, n) >= SIMILAR[0] * F.greatest(m, n)
+
+
+def _link(a: Column, b: Column) -> list[Column]:
+    """Ends of a link between two members (``_c, _n``) in order."""
+    return [F.least(a["_c"], b["_c"]).alias("u"), F.greatest(a["_c"], b["_c"]).alias("v")]
 
 
 def _groups(members: DataFrame, labels: DataFrame) -> DataFrame:
     """Components within each bucket that holds more than one: ``_bucket, _label, _low, _high, _size``."""
     labelled = with_labels(members, "_c", labels, "_label")
-    groups = labelled.groupBy("_bucket", "_label").agg(F.min("_c").alias("_low"), F.max("_c").alias("_high"), F.count("*").alias("_size"))
+    member = F.struct("_c", "_n")
+    groups = labelled.groupBy("_bucket", "_label").agg(F.min(member).alias("_low"), F.max(member).alias("_high"), F.count("*").alias("_size"))
     groups = stored(groups, "bucket-groups", LINKS)
     several = groups.groupBy("_bucket").agg(F.count("*").alias("_groups")).filter("_groups > 1").select("_bucket")
     return groups.join(several, "_bucket")
@@ -141,10 +144,10 @@ def _groups(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def _hub_links(groups: DataFrame, end: str) -> DataFrame:
     """Links from one member of each bucket's largest component to one of every other."""
-    hubs = groups.groupBy("_bucket").agg(F.max(F.struct("_size", F.col("_label"), F.col(end).alias("u"))).alias("_hub"))
-    spokes = groups.join(hubs, "_bucket").filter("_label <> _hub._label")
-    u, v = F.col("_hub.u"), F.col(end)
-    return spokes.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
+    hubs = groups.groupBy("_bucket").agg(F.max(F.struct("_size", F.col("_label"), F.col(end).alias("member"))).alias("_hub"))
+    hub, own = F.col("_hub.member"), F.col(end)
+    spokes = groups.join(hubs, "_bucket").filter((F.col("_label") != F.col("_hub._label")) & _possible(hub["_n"], own["_n"]))
+    return spokes.select(*_link(hub, own)).distinct()
 
 
 def _open_members(members: DataFrame, centres: DataFrame, labels: DataFrame) -> DataFrame:
@@ -152,7 +155,7 @@ def _open_members(members: DataFrame, centres: DataFrame, labels: DataFrame) ->
 
     A centre has been tested against every member of its bucket.
     """
-    waiting = with_labels(members.join(centres, ["_bucket", "_c"], "left_anti"), "_c", labels, "_label")
+    waiting = with_labels(members.drop("_n").join(centres, ["_bucket", "_c"], "left_anti"), "_c", labels, "_label")
     waiting = stored(waiting.select("_bucket", "_c", "_label"), "waiting", LINKS)
     ends = waiting.groupBy("_bucket").agg(F.min("_label").alias("_low"), F.max("_label").alias("_high"))
     return waiting.join(ends.filter("_low <> _high"), "_bucket").select("_c", "_label").distinct()
@@ -226,20 +229,21 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     classes = signed.filter("_n > 0").groupBy("_n", "_s1", "_s2").agg(F.min("_id").alias("_min"), F.first("_bands").alias("_bands"))
     classes = stored(classes.withColumn("_c", F.monotonically_increasing_id()), "classes")
 
-    banded = classes.select(F.explode("_bands").alias("_bucket"), "_c")
-    buckets = banded.groupBy("_bucket").agg(F.min("_c").alias("_centre"), F.count("*").alias("_size")).filter("_size > 1")
+    banded = classes.select(F.explode("_bands").alias("_bucket"), "_c", "_n")
+    buckets = banded.groupBy("_bucket").agg(F.min(F.struct("_c", "_n")).alias("_centre"), F.count("*").alias("_size")).filter("_size > 1")
     members = stored(banded.join(buckets.drop("_size"), "_bucket"), "members")
     texts = stored(_candidate_texts(rows, classes, members.select("_c").distinct()), "candidate-texts")
     labels = spark.createDataFrame([], "node bigint, label bigint")
 
     def linked(links: DataFrame) -> DataFrame:
         """Labels after the test of further links."""
-        found = stored(_similar(_possible(links, classes), texts), "similar", LINKS)
+        found = stored(_similar(links, texts), "similar", LINKS)
         return labels if found.isEmpty() else merged(labels, found)
 
-    labels = linked(members.select(F.col("_centre").alias("u"), F.col("_c").alias("v")).filter("u <> v").distinct())
-    centres = members.select("_bucket", F.col("_centre").alias("_c")).distinct()
-    members = members.select("_bucket", "_c")
+    stars = members.filter((F.col("_centre._c") != F.col("_c")) & _possible(F.col("_centre._n"), F.col("_n")))
+    labels = linked(stars.select(*_link(F.col("_centre"), F.struct("_c", "_n"))).distinct())
+    centres = members.select("_bucket", F.col("_centre._c").alias("_c")).distinct()
+    members = members.select("_bucket", "_c", "_n")
     for number in range(HUB_ROUNDS):
         groups = _groups(members, labels)
         if groups.isEmpty():
