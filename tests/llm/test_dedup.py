@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliomill.llm import exact_dup, near_dup, repeats
+from foliomill.llm import components as cp
 from foliomill.llm.components import components
 from foliomill.llm.exact_dup import exact_duplicates
 from foliomill.llm.words import run_hashes, shingle_sets, word_hashes
@@ -203,3 +204,23 @@ def test_unconnected_buckets_are_closed(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(near_dup, "bands", lambda values: np.zeros(2, np.uint64))
     found = near_dup.near_duplicates(spark.read.parquet(str(tmp_path / "t")))
     assert rows_of(found) == expected_near(rows)
+
+
+@pytest.mark.parametrize("chunk", [1, 7, 1 << 18])
+def test_contracted_links_keep_components(spark, monkeypatch, chunk):
+    monkeypatch.setattr(cp, "CHUNK", chunk)
+    rng = random.Random(chunk)
+    links = [(rng.randrange(120), rng.randrange(120)) for _ in range(90)] + [(i, i + 1) for i in range(200, 260)] + [(500, i) for i in range(400, 440)]
+    rng.shuffle(links)
+    parent = {x: x for pair in links for x in pair}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in links:
+        a, b = root(a), root(b)
+        parent[max(a, b)] = min(a, b)
+    found = {r.node: r.label for r in components(spark.createDataFrame(links, "u long, v long").repartition(3)).collect()}
+    assert found == {x: root(x) for x in parent if root(x) != x}
