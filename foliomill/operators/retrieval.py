@@ -110,10 +110,11 @@ def _scores_to_beat(best: pd.DataFrame, n_queries: int, k: int) -> np.ndarray:
     return np.where(sizes >= k, limits, -np.inf)
 
 
-def _best_batch(found: pd.DataFrame, q_ids: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+def _best_batch(found: pd.DataFrame, q_ids: np.ndarray, run: int, schema: pa.Schema) -> pa.RecordBatch:
     columns = [
-        pa.array(q_ids[found["q"].to_numpy()], type=schema.field(0).type),
-        pa.array(found["id"].to_numpy(), type=schema.field(1).type),
+        pa.array([run] * len(found), type=pa.int64()),
+        pa.array(q_ids[found["q"].to_numpy()], type=schema.field(1).type),
+        pa.array(found["id"].to_numpy(), type=schema.field(2).type),
         pa.array(found["score"].to_numpy() / SCALE, type=pa.float64()),
     ]
     return pa.RecordBatch.from_arrays(columns, schema=schema)
@@ -183,17 +184,17 @@ def _grid(n_queries: int, n_index: int, least_cells: int, cell_pairs: int) -> tu
 
 
 def _score_pairs(k: int, floor: int, skip_self: bool, schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Best ``k`` per query over pairs of tiles (``q, ids, rows, own ids, own rows``). Pairs that follow each other with
-    the same query tile share one running best."""
+    """Best ``k`` per query over pairs of tiles (``slot, ids, rows, own ids, own rows, run``). Pairs that follow each other
+    with the same query tile and run share one running best."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current = best = q_ids = q_rows = None
         for batch in batches:
             for i in range(batch.num_rows):
-                tile = (batch.column(0)[i].as_py(), batch.column(2)[i].as_py())
+                tile = (batch.column(5)[i].as_py(), batch.column(2)[i].as_py())
                 if tile != current:
                     if best is not None:
-                        yield _best_batch(best, q_ids, schema)
+                        yield _best_batch(best, q_ids, current[0], schema)
                     q_ids = _ids(batch.column(1)[i].values)
                     q_rows = np.frombuffer(tile[1], np.float64).reshape(len(q_ids), -1)
                     current, best = tile, None
@@ -205,25 +206,29 @@ def _score_pairs(k: int, floor: int, skip_self: bool, schema: pa.Schema) -> Call
                 found = _block_best(ids, rows, q_ids, q_rows, k, floor, skip_self, to_beat)
                 best = _trim(found if best is None else pd.concat([best, found], ignore_index=True), k)
         if best is not None:
-            yield _best_batch(best, q_ids, schema)
+            yield _best_batch(best, q_ids, current[0], schema)
 
     return scan
 
 
 def join_tiles(
-    queries: DataFrame, index: DataFrame, k: int, on: list[str], *, floor: int = -2 * SCALE, skip_self: bool = False
+    queries: DataFrame, index: DataFrame, k: int, on: list[str], *, run: str | None = None, floor: int = -2 * SCALE, skip_self: bool = False
 ) -> DataFrame:
-    """``query_id, id, score, rank`` of the best ``k`` per query over all pairs of tiles that agree in ``on``."""
+    """``query_id, id, score, rank`` of the best ``k`` per query over all pairs of tiles that agree in ``on``.
+
+    With ``run``, one of these columns, the result has it too and queries of different runs are different queries.
+    """
     id_types = [tiles.schema["ids"].dataType.elementType for tiles in (queries, index)]
-    arrow = pa.schema([("query_id", to_arrow_type(id_types[0])), ("id", to_arrow_type(id_types[1])), ("score", pa.float64())])
-    # one row of a batch is a pair of tiles: a few of them are held at once, whatever the session's batch size
+    fields = [("run", pa.int64()), ("query_id", to_arrow_type(id_types[0])), ("id", to_arrow_type(id_types[1])), ("score", pa.float64())]
     own = index.select(*on, F.col("ids").alias("_ids"), F.col("rows").alias("_rows"))
-    pairs = queries.select(*on, "slot", "ids", "rows").join(own, on).select("slot", "ids", "rows", "_ids", "_rows")
-    made = f"query_id {id_types[0].simpleString()}, id {id_types[1].simpleString()}, score double"
-    found = pairs.mapInArrow(_score_pairs(k, floor, skip_self, arrow), made)
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
+    of = F.lit(0).cast("bigint") if run is None else F.col(run)
+    pairs = queries.select(*on, "slot", "ids", "rows").join(own, on).select("slot", "ids", "rows", "_ids", "_rows", of.alias("run"))
+    made = f"run bigint, query_id {id_types[0].simpleString()}, id {id_types[1].simpleString()}, score double"
+    found = pairs.mapInArrow(_score_pairs(k, floor, skip_self, pa.schema(fields)), made)
+    order = Window.partitionBy("run", "query_id").orderBy(F.col("score").desc(), "id")
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
-    return ranked.withColumn("rank", F.col("rank").cast("bigint"))
+    ranked = ranked.withColumn("rank", F.col("rank").cast("bigint"))
+    return ranked.drop("run") if run is None else ranked
 
 
 def top_k(
@@ -261,6 +266,36 @@ def top_k(
     return join_tiles(asked, own, k, on, floor=floor, skip_self=skip_self)
 
 
+def top_k_by_run(
+    index: DataFrame,
+    queries: DataFrame,
+    k: dict[int, int],
+    *,
+    index_cols: tuple[str, str],
+    query_cols: tuple[str, str],
+    query_tile: int = QUERY_TILE,
+    index_tile: int = INDEX_TILE,
+    cell_pairs: int = CELL_PAIRS,
+) -> DataFrame:
+    """``run, query_id, id, score, rank``: the same queries against the index rows of each ``run``, all in one join.
+
+    ``index`` has a column ``run``; ``k`` gives the number of hits for each. The queries are packed once and their tiles
+    go to the cells of every run.
+    """
+    spark = index.sparkSession
+    run = F.col("run").cast("bigint").alias("run")
+    own = pack_tiles(index.select(run, F.col(index_cols[0]).alias("id"), F.col(index_cols[1]).alias("vec")), index_tile, "run")
+    asked = pack_tiles(queries.select(F.col(query_cols[0]).alias("id"), F.col(query_cols[1]).alias("vec")), query_tile)
+    rows, columns = _grid(asked.count(), own.count(), spark.sparkContext.defaultParallelism, cell_pairs)
+    line = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
+    runs = F.explode(F.array(*[F.lit(r).cast("bigint") for r in sorted(k)]))
+    asked = asked.withColumn("run", runs).withColumn("_column", line(columns)).withColumn("_row", F.pmod("slot", F.lit(rows)))
+    own = own.withColumn("_column", F.pmod("slot", F.lit(columns))).withColumn("_row", line(rows))
+    found = join_tiles(asked, own, max(k.values()), ["run", "_row", "_column"], run="run")
+    most = F.create_map(*[F.lit(x).cast("bigint") for pair in k.items() for x in pair])
+    return found.filter(F.col("rank") <= most[F.col("run")])
+
+
 def _pick_diverse(k: int, weight: float) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     def pick(candidates: list) -> list[tuple]:
         candidates = sorted(candidates, key=lambda c: c["id"])

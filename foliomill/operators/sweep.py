@@ -57,6 +57,14 @@ def sweep_chunks(docs: DataFrame, text: str, sets: Sequence[ChunkParams]) -> Dat
     )
 
 
+def chunks_by_run(docs: DataFrame, text: str, sets: Sequence[ChunkParams]) -> DataFrame:
+    """Chunks of all sets in one scan: the columns of ``docs`` without the text, ``run`` (number of the set), ``chunk_ix``,
+    ``content_chunk``."""
+    per_row = F.array(*[F.struct(F.lit(n).alias("run"), fixed_chunks(F.col(text), p.chunk_size, p.chunk_overlap).alias("c")) for n, p in enumerate(sets)])
+    runs = docs.select(*[c for c in docs.columns if c != text], F.inline(per_row))
+    return runs.select("*", F.posexplode("c").alias("chunk_ix", "content_chunk")).drop("c")
+
+
 def run_all(sets: Sequence[ChunkParams], run: Callable[[ChunkParams], DataFrame]) -> DataFrame:
     """Result rows of all runs in one table, tagged with their run."""
     tables = [run(p).withColumn("run_id", F.lit(p.run_id)) for p in sets]

@@ -618,17 +618,20 @@ def sweep_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def sweep_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, asked = _documents(spark, sf_dir), _questions(spark, sf_dir)
-
-    def run(p: sweep.ChunkParams) -> DataFrame:
-        chunks = enrich.chunk_fixed(docs, "text", p.chunk_size, p.chunk_overlap)
-        keyed_chunks = chunks.withColumn("chunk_id", enrich.chunk_id("doc_id", "chunk_ix"))
-        index = retrieval.index_rows(keyed_chunks, "chunk_id", "content_chunk")
-        return retrieval.top_k(
-            index, asked, p.top_k, index_cols=("chunk_id", "embedding"), query_cols=("item_id", "embedding")
-        )
-
-    return sweep.compare_runs(sweep.run_all(sweep.DEFAULT_SETS, run), "score")
+    """The corpus is read once, cut by every set, and all chunks meet the questions in one join."""
+    docs, sets = _documents(spark, sf_dir), sweep.DEFAULT_SETS
+    chunks = sweep.chunks_by_run(docs.select("doc_id", "text"), "text", sets)
+    keyed_chunks = chunks.withColumn("chunk_id", enrich.chunk_id("doc_id", "chunk_ix"))
+    index = keyed_chunks.select("run", "chunk_id", tx.hashed_embedding(F.col("content_chunk")).alias("embedding"))
+    hits = retrieval.top_k_by_run(
+        index,
+        _questions(spark, sf_dir),
+        {n: p.top_k for n, p in enumerate(sets)},
+        index_cols=("chunk_id", "embedding"),
+        query_cols=("item_id", "embedding"),
+    )
+    names = F.array(*[F.lit(p.run_id) for p in sets])
+    return sweep.compare_runs(hits.withColumn("run_id", F.get(names, F.col("run").cast("int"))), "score")
 
 
 # --- conversations and memory -------------------------------------------------------------------------------------

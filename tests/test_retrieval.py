@@ -49,6 +49,17 @@ def test_top_k_is_exact(spark, ways, k, min_score, skip_self):
     assert hits(got) == plain_top_k(index, queries, k, min_score, skip_self)
 
 
+def test_runs_are_searched_apart(spark):
+    parts = {3: corpus(40, seed=1), 5: corpus(25, seed=2), 9: corpus(30, seed=3)}
+    rows = [(run, i, [float(x) for x in v]) for run, own in parts.items() for i, v in own]
+    index = spark.createDataFrame(rows, "run int, id bigint, v array<double>").repartition(3)
+    queries, k = corpus(12), {3: 2, 5: 6, 9: 1}
+    got = retrieval.top_k_by_run(index, frame(spark, queries), k, index_cols=COLS, query_cols=COLS, query_tile=5, index_tile=7, cell_pairs=2)
+    assert got.columns == ["run", "query_id", "id", "score", "rank"]
+    want = {(run, *hit) for run, own in parts.items() for hit in plain_top_k(own, queries, k[run])}
+    assert {(r.run, r.query_id, r.id, r.score + 0.0, r.rank) for r in got.collect()} == want
+
+
 def test_small_batches_give_the_same_hits(spark):
     index, queries = corpus(200), corpus(10)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "9")
