@@ -52,7 +52,7 @@ def html_text(html: Column) -> Column:
 
 def document_name(path: Column, suffix: str) -> Column:
     """``folder/file`` in lower case with blanks as underscores; a path that does not match gives ``/``."""
-    pattern = r".*\/([^\/]+)\/([^\/]+)\." + suffix
+    pattern = r".*\/([^\/]+)\/([^\/]+)\." + suffix  # fixed value: folder and file of a path
 
     def part(group: int) -> Column:
         return F.regexp_replace(F.lower(F.regexp_extract(path, pattern, group)), " ", "_")

@@ -62,12 +62,8 @@ def explode_pages(df: DataFrame, pages: Column, keep: Sequence[str]) -> DataFram
     Pass the expression that makes the page map, not a column computed before: Spark adds a filter on the size of an
     exploded column, and that filter would compute the map a second time.
     """
-    return (
-        df.select(*keep, F.explode(pages))
-        .withColumnRenamed("key", "page_nr")
-        .withColumnRenamed("value", "page_content")
-        .withColumn("page_ix", F.col("page_nr").cast("int"))
-    )
+    found = df.select(*keep, F.explode(pages).alias("page_nr", "page_content"))
+    return found.withColumn("page_ix", F.col("page_nr").cast("int"))
 
 
 def explode_chunks(df: DataFrame, chunks: Column) -> DataFrame:

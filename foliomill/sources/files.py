@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from foliomill.sources.buckets import read_if_there
+
 ANY_AGE = "36500d"  # by default a stream passes over files a week older than the newest
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
@@ -41,15 +43,12 @@ def stream_binary(spark: SparkSession, folder: str, glob: str = "*", files_per_b
 
 def stored_schema(spark: SparkSession, location: str, sample: str, format_name: str = "parquet") -> StructType:
     """Schema of a file stream, inferred once from ``sample`` and kept at ``location`` for all later runs."""
-    try:
-        rows = spark.read.text(location).collect()  # one row, the schema itself
-    except Exception as missing:
-        if "PATH_NOT_FOUND" not in str(missing):
-            raise
-        schema = spark.read.format(format_name).load(sample).schema
-        spark.createDataFrame([(schema.json(),)], "value string").coalesce(1).write.text(location)
-        return schema
-    return StructType.fromJson(json.loads(rows[0].value))
+    kept = read_if_there(spark, "schema string", location).first()
+    if kept is not None:
+        return StructType.fromJson(json.loads(kept["schema"]))
+    schema = spark.read.format(format_name).load(sample).schema
+    spark.createDataFrame([(schema.json(),)], "schema string").coalesce(1).write.parquet(location)
+    return schema
 
 
 def changed_files(listing: DataFrame, known: DataFrame, path: str = "path", modified: str = "modificationTime") -> DataFrame:
