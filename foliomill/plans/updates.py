@@ -65,8 +65,7 @@ def document_batch(spark: SparkSession, sf_dir: str, number: int) -> DataFrame:
 # fixed shapes of the tables
 SHAPES = {
     "current": "path string, extracted_text string, version bigint, _change_type string",
-    "gold": "path string, chunk_ix int, chunked_text string, topic string, parsed_topic_str string",
-    "chunks": "path string, chunk_id string, chunked_text string",
+    "gold": "path string, chunk_id string, chunk_ix int, chunked_text string, topic string, parsed_topic_str string",
     "index": "path string, chunk_id string, text_hash string, embedding array<double>",
 }
 
@@ -76,8 +75,8 @@ def _tables(root: str) -> dict[str, BucketTable]:
 
 
 def cut(texts: DataFrame, splitter: medallion.Splitter = medallion.incremental_splitter) -> DataFrame:
-    """Topic and chunks of changed documents."""
-    return medallion.topics_and_chunks(texts, splitter)
+    """Topic and chunks of changed documents, with a key that depends on file and position only."""
+    return medallion.topics_and_chunks(texts, splitter).withColumn("chunk_id", chunk_id("path", "chunk_ix"))
 
 
 def refresh_all(
@@ -93,9 +92,7 @@ def refresh_all(
         delta = overwrite_table(delta, f"{root}/delta/version={version}")
         refresh.refresh_derived(tables["gold"], tables["current"], delta, version, lambda texts: cut(texts, splitter))
         if upto == "index":
-            named = lambda texts: cut(texts, splitter).withColumn("chunk_id", chunk_id("path", "chunk_ix"))
-            refresh.refresh_derived(tables["chunks"], tables["current"], delta, version, named)
-            refresh.refresh_index(tables["index"], tables["chunks"], delta, version, "chunked_text")
+            refresh.refresh_index(tables["index"], tables["gold"], delta, version, "chunked_text")
     return tables
 
 
@@ -111,7 +108,7 @@ def refresh_current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def refresh_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _refreshed(spark, sf_dir, "gold")
+    return _refreshed(spark, sf_dir, "gold").drop("chunk_id")
 
 
 @query

@@ -72,15 +72,14 @@ def test_only_changed_documents_are_derived_again(spark, batches, tmp_path):
 def test_stored_vectors_are_kept(spark, batches, tmp_path):
     """A chunk whose text did not change keeps its vector, even where its document did."""
     tables = updates.refresh_all(spark, batches[:1], str(tmp_path), "index")
-    index, chunks = tables["index"], tables["chunks"]
+    index, gold = tables["index"], tables["gold"]
     marked = index.read(spark).withColumn("embedding", F.array(F.lit(-1.0)))
     index.replace(marked, list(range(updates.BUCKETS)), 1)
     longer = batch(spark, [("d8", text(8) + " more", 2, "update_postimage")])
     buckets = refresh.refresh_current(tables["current"], longer, ["version"], 2)
     delta = refresh.document_delta(tables["current"], spark, buckets, 2, "extracted_text")
-    named = lambda t: updates.cut(t).withColumn("chunk_id", updates.chunk_id("path", "chunk_ix"))
-    refresh.refresh_derived(chunks, tables["current"], delta, 2, named)
-    refresh.refresh_index(index, chunks, delta, 2, "chunked_text")
+    refresh.refresh_derived(gold, tables["current"], delta, 2, updates.cut)
+    refresh.refresh_index(index, gold, delta, 2, "chunked_text")
     fresh = index.read(spark).filter(F.element_at("embedding", 1) != -1.0)
     assert fresh.select("path").distinct().collect()[0].path == "d8" and 0 < fresh.count() < index.read(spark).filter("path = 'd8'").count()
 
