@@ -30,6 +30,7 @@ BINS = 128
 ROWS_PER_BAND = 4
 BANDS = BINS // ROWS_PER_BAND
 HUB_ROUNDS = 1
+HEAD = 16  # of the shingles before one, those by which a pair is known to have met already
 _BIN_SHIFT = np.uint64(64 - (BINS - 1).bit_length())
 #: Order in which an empty bin looks at the others.
 _DETOURS = np.argsort(np.random.default_rng(19).random((BINS, BINS)), axis=1)
@@ -195,8 +196,16 @@ def _prefix_links(open_members: DataFrame, texts: DataFrame) -> DataFrame:
     as_larger = F.col("_n") - F.ceil(many * F.col("_n") / parts) + 1
     as_smaller = F.col("_n") - F.ceil(2 * many * F.col("_n") / both) + 1
     first = F.slice("_set", 1, F.greatest(as_larger - own, F.lit(0)).cast("int"))
-    placed = sets.select("_c", "_label", "_n", own.alias("_own"), as_smaller.alias("_short"), F.posexplode(first).alias("_at", "_s"))
-    placed = placed.select("_c", "_label", "_n", "_short", F.col("_s._shingle").alias("_shingle"), (F.col("_own") + F.col("_at")).alias("_at"))
+    placed = sets.select("_c", "_label", "_n", own.alias("_own"), as_smaller.alias("_short"), first.alias("_first"))
+    placed = placed.select("*", F.posexplode("_first").alias("_ix", "_s")).select(
+        "_c",
+        "_label",
+        "_n",
+        "_short",
+        F.col("_s._shingle").alias("_shingle"),
+        (F.col("_own") + F.col("_ix")).alias("_at"),
+        F.slice(F.col("_first._shingle"), F.lit(1), F.least("_ix", F.lit(HEAD))).alias("_head"),
+    )
     placed = stored(placed, "prefixes", LINKS)
     small = placed.filter("_at < _short").alias("a")
     large = placed.alias("b")
@@ -208,7 +217,9 @@ def _prefix_links(open_members: DataFrame, texts: DataFrame) -> DataFrame:
         & ((F.col("a._n") < F.col("b._n")) | ((F.col("a._n") == F.col("b._n")) & (F.col("a._c") < F.col("b._c"))))
         & (parts * F.col("a._n") >= many * F.col("b._n"))
         & (F.col("a._n") - F.col("a._at") >= least)
-        & (F.col("b._n") - F.col("b._at") >= least),
+        & (F.col("b._n") - F.col("b._at") >= least)
+        # a pair that shares an earlier one has met there
+        & ~F.arrays_overlap("a._head", "b._head"),
     )
     u, v = F.col("a._c"), F.col("b._c")
     return met.select(F.least(u, v).alias("u"), F.greatest(u, v).alias("v")).distinct()
