@@ -1,13 +1,14 @@
 """Bigram language model in a log-frequency Bloom filter.
 
 The filter holds no counts but events: an n-gram of quantised count q is inserted as (n-gram, 1) to (n-gram, q). A count
-is read by probing level after level until one is missing, and stands for the least count of its level. The number of
-hash functions follows from the vocabulary: over all words after one history less than half a false positive is expected.
+is read by probing level after level until one is missing, and stands for the least count of its level.
 
-The probability of a word after a history is (d * pair + PRIOR * lower) / (history + PRIOR): ``pair`` is the probed count of
-the two, ``history`` the largest count of the history's level, ``lower`` the word's smoothed share of the corpus, and ``d``
-takes off what false positives add to all pairs of the history. As pairs are rounded down and histories up, and the
-lower order adds up to one with an unseen token, the probabilities after a history add up to one or somewhat less.
+The probability of a word after a history is (b * p * pair + PRIOR * lower) / (history + PRIOR). ``pair`` is the probed count
+of the two, ``history`` the largest count of the history's level, ``lower`` the word's smoothed share of the corpus. ``p`` is
+the probability that a pair of that level is there and no false positive, from the rate of these and from how often the
+word would follow by chance; ``b`` takes off what false positives still add over all words. As pairs are rounded down and
+histories up, and the lower order adds up to one with an unseen token, the probabilities after a history add up to one or
+somewhat less.
 
 The filter is cut by key into segments, each as large as its own events need, so all levels are kept at every
 size. A filter of up to ``SHARED_BITS`` is sent to every worker; from a larger one nothing is sent, and the n-grams of the
@@ -35,7 +36,8 @@ START = np.uint64(0x27D4EB2F165667C5)  # key of the place before the first word,
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
 SHARED_BITS = 1 << 29  # 64 MB: up to this size the filter is sent to every worker
-FALSE_PAIRS = 0.25  # false positives expected among the pairs of one history with the whole vocabulary
+BITS_PER_EVENT = 7
+HASHES = 5
 UNIT_BYTES = 1 << 22  # texts whose n-grams travel together to the segments of a larger filter
 SEGMENT_TOKENS = 1 << 21  # tokens of the corpus per segment whose n-grams one task counts
 HEAVY_TOKENS = 1 << 20  # most tokens that are sent to every worker with exact counts
@@ -49,7 +51,6 @@ class Shape(NamedTuple):
 
     segment_bits: int
     edges: np.ndarray  # byte at which each segment begins, and the end of the last
-    hashes: int
 
     def segments(self, keys: np.ndarray) -> np.ndarray:
         return segments_of(keys, self.segment_bits)
@@ -58,7 +59,7 @@ class Shape(NamedTuple):
 class Model(NamedTuple):
     n_tokens: int
     n_types: int
-    mass: int  # of the lower order: the tokens' counts as the filter has them, and one for each type and for unseen tokens
+    types: dict[int, int]  # number of tokens of each level
     shape: Shape
     cuts: tuple[int, int]  # lowest level kept for single tokens and for bigrams, 1 unless a bound was asked for
     shared: Broadcast  # filter or, if that is too large, None; heavy keys, their exact counts
@@ -70,14 +71,14 @@ def segments_of(keys: np.ndarray, segment_bits: int) -> np.ndarray:
     return (keys >> np.uint64(64 - segment_bits)) if segment_bits else np.zeros(len(keys), np.uint64)
 
 
-def hashes_for(n_types: int) -> int:
-    """Hash functions that keep false positives under ``FALSE_PAIRS`` for a vocabulary; each halves them."""
-    return max(4, int(np.ceil(np.log2(max(1, n_types) / FALSE_PAIRS))))
+def bits_for(events: int) -> int:
+    """Bits of a filter, in whole bytes."""
+    return -(-events * BITS_PER_EVENT // 8) * 8
 
 
-def bits_for(events: int, hashes: int) -> int:
-    """Bits, whole bytes of them, of which that many hash functions set half."""
-    return -(-int(np.ceil(events * hashes / np.log(2))) // 8) * 8
+def false_rate() -> float:
+    """Share of the n-grams that were never inserted and are found on a level all the same."""
+    return (1 - np.exp(-HASHES / BITS_PER_EVENT)) ** HASHES
 
 
 def places(segments: np.ndarray, low: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
@@ -224,7 +225,7 @@ def _token_segments(unigrams: DataFrame, segment_bits: int) -> DataFrame:
     return unigrams.select("_key", "_n").mapInArrow(pack, _PACKED)
 
 
-def _filters(packed: DataFrame, cuts: tuple[int, int], hashes: int) -> DataFrame:
+def _filters(packed: DataFrame, cuts: tuple[int, int]) -> DataFrame:
     """``_segment, _bits``: count the n-grams of each segment and insert their events into a filter of the size they need.
 
     An n-gram has at most as many events as occurrences, so a segment's filter is bounded by its share of the tokens.
@@ -242,12 +243,12 @@ def _filters(packed: DataFrame, cuts: tuple[int, int], hashes: int) -> DataFrame
                 total = np.bincount(where, np.frombuffer(b"".join(counts[i] for i in own), np.uint32))
                 counted.append((found, levels(total), cuts[n - 1]))
         events = sum(int(np.maximum(top - cut + 1, 0).sum()) for _, top, cut in counted)
-        bits = np.zeros(bits_for(events, hashes) // 8, np.uint8)
+        bits = np.zeros(bits_for(events) // 8, np.uint8)
         for found, top, cut in counted:
             for level in range(cut, int(top.max()) + 1):
                 there = found[top >= level]
                 own, step = places(np.full(len(there), segment, np.uint64), there, level)
-                for _ in range(hashes):
+                for _ in range(HASHES):
                     place = bit_of(own, np.uint64(8 * len(bits)))
                     np.bitwise_or.at(bits, (place >> np.uint64(3)).astype(np.int64), np.uint8(1) << (place & np.uint64(7)).astype(np.uint8))
                     own += step
@@ -278,24 +279,22 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     start = int(START.astype(np.int64))
     words = unigrams.filter(F.col("_key") != start)
     n_tokens, n_types = words.agg(F.coalesce(F.sum("_n"), F.lit(0)), F.count("*")).first()
-    hashes = hashes_for(n_types)
     by_level = {r.l: r["count"] for r in unigrams.groupBy(_level(F.col("_n")).alias("l")).count().collect()}
-    of_words = {r.l: r["count"] for r in words.groupBy(_level(F.col("_n")).alias("l")).count().collect()}
-    mass = n_types + 1 + sum(n * int(count_of(np.array(level))) for level, n in of_words.items())
+    types = {r.l: r["count"] for r in words.groupBy(_level(F.col("_n")).alias("l")).count().collect()}
     first = second = 1
     if filter_bits is not None:
-        capacity = int(filter_bits * np.log(2) / hashes)
+        capacity = filter_bits // BITS_PER_EVENT
         first = _lowest_level(by_level, capacity // 4)
         # with levels half an octave apart, fewer events than this lie on a level or above
         while 3.5 * n_tokens / count_of(np.array(second)) > capacity * 3 // 4:
             second += 1
     segment_bits = max(0, (n_tokens // SEGMENT_TOKENS).bit_length())
     packed = _pair_segments(texts, segment_bits).unionByName(_token_segments(unigrams, segment_bits))
-    filters = stored(_filters(packed, (first, second), hashes), "filter-segments")
+    filters = stored(_filters(packed, (first, second)), "filter-segments")
     sizes = np.zeros(1 << segment_bits, np.int64)
     for segment, size in filters.select("_segment", F.length("_bits")).toLocalIterator():
         sizes[segment] = size
-    shape = Shape(segment_bits, np.concatenate([[0], np.cumsum(sizes)]), hashes)
+    shape = Shape(segment_bits, np.concatenate([[0], np.cumsum(sizes)]))
     data = None
     if 8 * sizes.sum() <= SHARED_BITS:
         data = np.zeros(sizes.sum(), np.uint8)
@@ -304,7 +303,7 @@ def learn(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
             data[at : at + len(row["_bits"])] = np.frombuffer(row["_bits"], np.uint8)
     heavy = words.filter(F.col("_n") > n_tokens / HEAVY_TOKENS).toPandas().sort_values("_key")
     shared = spark.sparkContext.broadcast((data, heavy["_key"].to_numpy(np.int64), heavy["_n"].to_numpy(np.int64)))
-    return Model(n_tokens, n_types, mass, shape, (first, second), shared, unigrams, filters)
+    return Model(n_tokens, n_types, types, shape, (first, second), shared, unigrams, filters)
 
 
 def probe(data: np.ndarray, shape: Shape, keys: np.ndarray, cut: int) -> np.ndarray:
@@ -312,18 +311,16 @@ def probe(data: np.ndarray, shape: Shape, keys: np.ndarray, cut: int) -> np.ndar
     segments = shape.segments(keys)
     begin = shape.edges[segments.astype(np.int64)]
     size = shape.edges[segments.astype(np.int64) + 1] - begin
-    return _probe(data, segments, keys & _LOW, (8 * begin).astype(np.uint64), (8 * size).astype(np.uint64), cut, shape.hashes)
+    return _probe(data, segments, keys & _LOW, (8 * begin).astype(np.uint64), (8 * size).astype(np.uint64), cut)
 
 
-def _probe(
-    data: np.ndarray, segments: np.ndarray, low: np.ndarray, base: np.ndarray, sizes: np.ndarray, cut: int, hashes: int
-) -> np.ndarray:
+def _probe(data: np.ndarray, segments: np.ndarray, low: np.ndarray, base: np.ndarray, sizes: np.ndarray, cut: int) -> np.ndarray:
     """Levels, one after another; a key that misses one of a level's bits is not asked for the others."""
     found = np.zeros(len(low), np.int64)
     live, level = np.flatnonzero(sizes), cut
     while len(live) and level <= 127:
         own, step = places(segments[live], low[live], level)
-        for _ in range(hashes):
+        for _ in range(HASHES):
             at = base[live] + bit_of(own, sizes[live])
             there = (data[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
             live, own, step = live[there], own[there], step[there]
@@ -349,16 +346,46 @@ def ngrams(keys: np.ndarray, before: np.ndarray) -> Ngrams:
     return Ngrams(singles, at[: len(keys)], at[len(keys) :], pairs, both)
 
 
-def log_probabilities(grams: Ngrams, singles: np.ndarray, pairs: np.ndarray, n_types: int, mass: int, hashes: int) -> np.ndarray:
+def mass_of(types: dict[int, int]) -> float:
+    """What the lower order is divided by: the tokens' counts as the filter has them, raised by false positives now and
+    then, one for each type and one for all others."""
+    rate, raised = false_rate(), np.arange(8)
+    chance = rate**raised * (1 - rate)
+    return 1 + sum(n * (float((chance * count_of(level + raised)).sum()) + 1) for level, n in types.items())
+
+
+def true_share(level: np.ndarray, by_chance: np.ndarray) -> np.ndarray:
+    """Probability that a pair found on a level was inserted there, if it is expected ``by_chance`` times."""
+    there = -np.expm1(-by_chance)
+    return there / (there + false_rate() ** np.maximum(level, 1) * (1 - there) + 1e-300)
+
+
+def false_mass(after: np.ndarray, types: dict[int, int]) -> np.ndarray:
+    """Count that false positives add to a history of each size over the whole vocabulary, after ``true_share``."""
+    rate, mass = false_rate(), mass_of(types)
+    total = np.zeros(len(after))
+    for own, n in types.items():
+        by_chance = after * (float(count_of(np.array(own))) + 1) / mass
+        for level in range(1, 7):
+            found = n * np.exp(-by_chance) * rate**level * (1 - rate)
+            # a pair is held to be no more frequent than the word
+            count = np.minimum(count_of(np.array(level)), most_of(np.array(own)))
+            total += found * true_share(np.array(level), by_chance) * np.minimum(count, after)
+    return total
+
+
+def log_probabilities(grams: Ngrams, singles: np.ndarray, pairs: np.ndarray, types: dict[int, int]) -> np.ndarray:
     """log10 probability of each token after the one before it, from the probed levels of single tokens and bigrams only."""
-    own, history = singles[grams.own], singles[grams.history]
+    own, history, level = singles[grams.own], singles[grams.history], pairs[grams.both]
     after = most_of(history)
     # a pair is no more frequent than its parts, and not there if one of them isn't
-    both = np.minimum(np.minimum(count_of(pairs)[grams.both], most_of(own)), after)
-    false_pairs = n_types * 0.5**hashes
-    lower = (count_of(own) + 1) / mass
-    true_share = after / np.maximum(after + false_pairs, 1)
-    return np.log10((both * true_share + PRIOR * lower) / (after + PRIOR))
+    both = np.minimum(np.minimum(count_of(level), most_of(own)), after)
+    lower = (count_of(own) + 1) / mass_of(types)
+    levels_after = np.arange(int(singles.max(initial=0)) + 1)
+    sizes = most_of(levels_after)
+    kept = np.divide(sizes, sizes + false_mass(sizes, types), out=np.zeros(len(sizes)), where=sizes > 0)
+    both = both * kept[history] * true_share(level, after * lower)
+    return np.log10((both + PRIOR * lower) / (after + PRIOR))
 
 
 def _sent(rows: DataFrame, segment_bits: int, id_type: str) -> DataFrame:
@@ -417,7 +444,7 @@ def _sent(rows: DataFrame, segment_bits: int, id_type: str) -> DataFrame:
     return rows.mapInArrow(send, f"_to bigint, _unit bigint, _order int, _data binary, _row bigint, _id {id_type}")
 
 
-def _answered(sent: DataFrame, filters: DataFrame, cuts: tuple[int, int], hashes: int) -> DataFrame:
+def _answered(sent: DataFrame, filters: DataFrame, cuts: tuple[int, int]) -> DataFrame:
     """``sent`` with a byte per n-gram, its level, in place of the n-grams, and ``_from``, the segment; texts stay."""
     filters = filters.select(
         F.col("_segment").alias("_to"),
@@ -438,7 +465,7 @@ def _answered(sent: DataFrame, filters: DataFrame, cuts: tuple[int, int], hashes
                 own = np.flatnonzero(order == n)
                 low = _unpacked([packed[i] for i in own])
                 sizes = np.full(len(low), 8 * len(data), np.uint64)
-                found = _probe(data, np.full(len(low), segment, np.uint64), low, np.zeros(len(low), np.uint64), sizes, cuts[n - 1], hashes)
+                found = _probe(data, np.full(len(low), segment, np.uint64), low, np.zeros(len(low), np.uint64), sizes, cuts[n - 1])
                 found, at = found.astype(np.uint8).tobytes(), 0
                 for i in own:
                     size = len(packed[i]) // 6
@@ -461,7 +488,7 @@ def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_c
     """
     id_type = docs.schema[id_column].dataType.simpleString()
     shape, cuts, n_tokens, n_types, shared = model.shape, model.cuts, model.n_tokens, model.n_types, model.shared
-    mass, hashes = model.mass, shape.hashes
+    types = model.types
     rows = docs.select(
         F.coalesce(F.col(text_column), F.lit("")).alias("_text"),
         F.monotonically_increasing_id().alias("_row"),
@@ -474,7 +501,7 @@ def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_c
         _, heavy, heavy_counts = shared.value
         keys, _, counts = tokens
         starts = np.cumsum(counts) - counts
-        total = np.add.reduceat(log_probabilities(grams, *found, n_types, mass, hashes), starts)
+        total = np.add.reduceat(log_probabilities(grams, *found, types), starts)
         at = np.minimum(np.searchsorted(heavy, keys.view(np.int64)), max(0, len(heavy) - 1))
         at_hand = heavy[at] == keys.view(np.int64) if len(heavy) else np.zeros(len(keys), bool)
         exact = np.log10(np.where(at_hand, heavy_counts[at] + 1, 1)) if len(heavy) else np.zeros(len(keys))
@@ -536,7 +563,7 @@ def score_texts(docs: DataFrame, model: Model, id_column: str = "doc_id", text_c
         scored = rows.mapInArrow(score, made)
     else:
         sent = _sent(rows, shape.segment_bits, id_type)
-        scored = _answered(sent, model.filters, cuts, hashes).groupBy("_unit").applyInArrow(finish, made)
+        scored = _answered(sent, model.filters, cuts).groupBy("_unit").applyInArrow(finish, made)
     found = scored.join(model.unigrams, "_key", "left")
     known = F.when(F.col("_tf").isNotNull() & F.col("_n").isNotNull(), F.col("_tf"))
     found = found.groupBy("_row").agg(
