@@ -117,13 +117,13 @@ def refresh_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _history_of_parts(spark: SparkSession, parts: list[DataFrame], keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """History kept by a stream that is drained after each part has arrived."""
+    """History kept by a stream of files that is drained after each part has arrived."""
     run = fresh_path(spark, "history")
-    stream = spark.readStream.schema(parts[0].schema).parquet(f"{run}/arrived")
     for part in parts:
         part.write.mode("append").parquet(f"{run}/arrived")
+        stream = spark.readStream.schema(part.schema).parquet(f"{run}/arrived")
         ingest_history(stream, f"{run}/table", f"{run}/checkpoint", keys, order, BUCKETS)
-    return read_history(stream, f"{run}/table", keys, order)
+    return read_history(parts[0], f"{run}/table", keys, order)
 
 
 @query

@@ -81,9 +81,10 @@ def ingest_history(
     query.awaitTermination()
 
 
-def read_history(stream: DataFrame, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Every version of every key with its validity; deletions close an interval and add no row."""
-    log = read_if_there(stream.sparkSession, _log_schema(stream.schema, order), f"{target}/log")
+def read_history(changes: DataFrame, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Every version of every key with its validity; deletions close an interval and add no row. ``changes`` (the stream or
+    a table of the same shape) gives the columns and is not read."""
+    log = read_if_there(changes.sparkSession, _log_schema(changes.schema, order), f"{target}/log")
     versions = _resolved(log, list(keys), list(order))
     kept = versions.filter(~F.coalesce(is_delete(), F.lit(False)))
     return kept.withColumn("__START_AT", F.col(order[0])).drop(*CHANGE_COLUMNS)
