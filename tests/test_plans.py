@@ -11,7 +11,7 @@ PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInArrow", "MapInPandas", "Fl
 WITH_PYTHON = {
     "chunk_recursive", "chunk_recursive_small", "vector_topk", "vector_topk_filtered", "vector_threshold", "vector_mmr",
     "recall_at_3", "retrieve_chunks", "quality_gate", "sweep_compare", "vector_topk_blocks", "vector_ivf_topk",
-    "vector_ivf_recall", "embed_hashed", "index_sync", "index_after_sync",
+    "vector_ivf_recall", "embed_hashed", "index_sync", "index_after_sync", "gold_incremental",
 }
 WRITES = {"stream_ingest", "append_flow", "cdc_scd1_stream", "snapshot_ctas", "gold_table", "index_build"}
 
