@@ -35,7 +35,7 @@ END = np.uint64(0x5BD1E995C0FFEE01)  # key of the end of a text, counted as a to
 START = np.uint64(0x27D4EB2F165667C5)  # key of the place before the first word, only a history
 _PAIR = np.uint64(0x9FB21C651E98DF25)
 
-SHARED_BITS = 1 << 29  # 64 MB: up to this size the filter is sent to every worker
+SHARED_BITS = 1 << 30  # 128 MB: up to this size the filter is sent to every worker
 BITS_PER_EVENT = 7
 HASHES = 5
 UNIT_BYTES = 1 << 22  # texts whose n-grams travel together to the segments of a larger filter
