@@ -25,6 +25,7 @@ def stored(df: DataFrame, purpose: str, share: int = 1) -> DataFrame:
 
 CHUNK = 1 << 18
 LINKS = 8  # share of the shuffle partitions that write links and labels
+ROWS = 4  # and of those that write rows of some hundred bytes
 
 
 def _least(links: DataFrame) -> DataFrame:

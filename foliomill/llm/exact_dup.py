@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.session import fresh_path
+from foliomill.llm.components import ROWS, stored
 
 SALTS = 16
 HOT_SHARE = 1000  # a text with more than this part of all rows is frequent; so fewer texts are than this number
@@ -64,8 +64,7 @@ def exact_duplicates(
     per_digest = classes.groupBy("_digest").agg(
         F.count("*").alias("_texts"), F.max("_keep").alias("_keep"), F.max("_n").alias("group_size"), F.sum("_n").alias("_rows")
     )
-    per_digest.write.parquet(groups := fresh_path(spark, "exact-groups"))
-    per_digest = spark.read.schema(per_digest.schema).parquet(groups)
+    per_digest = stored(per_digest, "exact-groups", ROWS)
     total = per_digest.agg(F.sum("_rows")).first()[0] or 0
     clashing = per_digest.filter("_texts > 1").select("_digest")
     owned = per_digest.filter("_texts = 1").drop("_texts")

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.llm.components import LINKS, merged, stored, with_labels
+from foliomill.llm.components import LINKS, ROWS, merged, stored, with_labels
 from foliomill.llm.sizes import BATCH_ROWS, small_batches
 from foliomill.llm.words import mixed, shingle_sets
 
@@ -187,7 +187,7 @@ def _prefix_links(open_members: DataFrame, texts: DataFrame) -> DataFrame:
     """
     many, parts = SIMILAR
     both = many + parts
-    cut = stored(_shingles(texts.join(open_members, "_c")), "shingles")
+    cut = stored(_shingles(texts.join(open_members, "_c")), "shingles", ROWS)
     times = cut.groupBy("_shingle").agg(F.count("*").alias("_times")).filter("_times > 1")
     shared = cut.join(times, "_shingle")
     # a member's own shingles, as many as its text has
@@ -238,12 +238,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
     rows = docs.select(F.col(id_column).alias("_id"), F.coalesce(F.col(text_column), F.lit("")).alias("_text"))
     signed = stored(_signatures(rows, id_type), "signatures")
     classes = signed.filter("_n > 0").groupBy("_n", "_s1", "_s2").agg(F.min("_id").alias("_min"), F.first("_bands").alias("_bands"))
-    classes = stored(classes.withColumn("_c", F.monotonically_increasing_id()), "classes")
+    classes = stored(classes.withColumn("_c", F.monotonically_increasing_id()), "classes", ROWS)
 
     banded = classes.select(F.explode("_bands").alias("_bucket"), "_c", "_n")
     buckets = banded.groupBy("_bucket").agg(F.min(F.struct("_c", "_n")).alias("_centre"), F.count("*").alias("_size")).filter("_size > 1")
-    members = stored(banded.join(buckets.drop("_size"), "_bucket"), "members")
-    texts = stored(_candidate_texts(rows, classes, members.select("_c").distinct()), "candidate-texts")
+    members = stored(banded.join(buckets.drop("_size"), "_bucket"), "members", ROWS)
+    texts = stored(_candidate_texts(rows, classes, members.select("_c").distinct()), "candidate-texts", ROWS)
     labels = spark.createDataFrame([], "node bigint, label bigint")
 
     def linked(links: DataFrame) -> DataFrame:
