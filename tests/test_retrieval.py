@@ -145,3 +145,34 @@ def test_index_sync(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning") == 1  # stored vectors stay where they are
+
+
+def test_copies_of_tiles_follow_the_cluster(spark, monkeypatch):
+    """Four times the vectors in four times the tiles: each tile is copied as often as before."""
+    dealt = []
+    kept = retrieval.join_tiles
+    monkeypatch.setattr(retrieval, "join_tiles", lambda asked, own, *a, **b: dealt.append(asked.count() + own.count()) or kept(asked, own, *a, **b))
+    for n in (60, 240):
+        rows = frame(spark, corpus(n))
+        retrieval.top_k(rows, rows, 2, index_cols=COLS, query_cols=COLS, skip_self=True, query_tile=2, index_tile=2, cell_pairs=1)
+    assert dealt[1] <= 4.5 * dealt[0]
+
+
+def test_index_rows_of_a_cell_are_bounded():
+    rows, columns = retrieval._grid(1, 4000, 4000 << 20, 12, 64)
+    assert rows == 1 and columns == 125  # 32 MB each
+    assert retrieval._grid(5000, 5000, 2500 << 20, 12, 1) == (1, 79)
+
+
+def test_long_vectors_make_small_tiles(spark):
+    wide = spark.range(600).select("id", F.array_repeat(F.col("id").cast("double") + 1, 2000).alias("vec")).coalesce(1)
+    tiles = retrieval.pack_tiles(wide, 8192)
+    assert tiles.agg(F.sum("n")).first()[0] == 600
+    assert tiles.filter(F.octet_length("rows") > 1 << 20).count() == 0 and tiles.filter("size <> octet_length(rows)").count() == 0
+
+
+def test_repeated_ids_are_all_skipped(spark):
+    rows = corpus(30) + corpus(30)[:9]
+    got = retrieval.top_k(frame(spark, rows), frame(spark, corpus(30)), 4, index_cols=COLS, query_cols=COLS, skip_self=True)
+    found = got.collect()
+    assert len(found) == 30 * 4 and all(r.id != r.query_id for r in found)
