@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliomill.operators.retrieval import INDEX_TILE, QUERY_TILE, SCALE, _unit_rows, join_tiles, pack_tiles
+from foliomill.operators.retrieval import HELD_BYTES, INDEX_TILE, QUERY_TILE, SCALE, SCORE_CELLS, _unit_rows, join_tiles, pack_tiles
 
 FIT_ROWS = 20_000  # vectors that the centroids are fitted on, at most
 MOST_LISTS = 4096  # centroids sent to every task, at most
@@ -100,17 +100,21 @@ def _filed(vectors: DataFrame, centroids: Centroids, probes: int) -> DataFrame:
             unit = _unit_rows(batch.column(1))
             if unit.shape[1] != shared.value.shape[1]:
                 raise ValueError(f"vectors must have one length, found {sorted({unit.shape[1], shared.value.shape[1]})}")
-            near = np.argsort(-(unit @ shared.value.T), axis=1, kind="stable")[:, :probes]
-            again = pa.array(np.repeat(np.arange(len(near)), near.shape[1]))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(near.ravel().astype(np.int64)), batch.column(0).take(again), batch.column(1).take(again)], names=["list", "id", "vec"]
-            )
+            step = max(1, SCORE_CELLS // max(len(shared.value), probes * unit.shape[1]))  # bounds what is scored and what is copied
+            for lo in range(0, len(unit), step):
+                near = np.argsort(-(unit[lo : lo + step] @ shared.value.T), axis=1, kind="stable")[:, :probes]
+                again = pa.array(np.repeat(np.arange(lo, lo + len(near)), near.shape[1]))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(near.ravel().astype(np.int64)), batch.column(0).take(again), batch.column(1).take(again)], names=["list", "id", "vec"]
+                )
 
     return vectors.select("id", "vec").mapInArrow(place, f"list bigint, id {types['id']}, vec {types['vec']}")
 
 
 def build_ivf(vectors: DataFrame, centroids: Centroids, strip_rows: int = STRIP_ROWS, tile_rows: int = INDEX_TILE) -> IvfIndex:
-    """File every vector (``id, vec``): tiles of one file and strip each, and the number of strips of each file."""
+    """File every vector (``id, vec``): tiles of one file and strip each, and the number of strips of each file. A strip has
+    no more rows than a task holds."""
+    strip_rows = max(1, min(strip_rows, HELD_BYTES // (8 * max(1, centroids.rows.shape[1]))))
     filed = _filed(vectors, centroids, 1)
     counted = filed.groupBy("list").agg(F.count("*").alias("n"))  # a row per centroid
     strips = vectors.sparkSession.createDataFrame(

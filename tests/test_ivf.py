@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -73,3 +74,18 @@ def test_empty_sides(spark):
 def test_sample_is_bounded(spark):
     vectors = frame(spark, clustered(600))
     assert len(ivf.fit_centroids(vectors, fit_rows=100).rows) <= 100 // 32 + 1
+
+
+def test_vectors_are_filed_a_few_at_a_time(spark, monkeypatch):
+    """What a query is copied to is handed on in parts, whatever the number of files it looks into."""
+    rows = clustered(400)
+    vectors = frame(spark, rows).coalesce(1)
+    centroids = ivf.fit_centroids(vectors, n_lists=12)
+    want = {tuple(r) for r in ivf._filed(vectors, centroids, 5).select("list", "id").collect()}
+    monkeypatch.setattr(ivf, "SCORE_CELLS", 400)
+    made = []
+    kept = type(vectors).mapInArrow
+    monkeypatch.setattr(type(vectors), "mapInArrow", lambda self, f, schema: made.append(f) or kept(self, f, schema))
+    assert {tuple(r) for r in ivf._filed(vectors, centroids, 5).select("list", "id").collect()} == want
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400)), pa.array([[float(x) for x in v] for _, v in rows])], names=["id", "vec"])
+    assert max(b.num_rows for b in made[0]([batch])) <= 50
