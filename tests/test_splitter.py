@@ -1,9 +1,10 @@
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from foliomill.functions.splitter import recursive_chunks, split_text
+from foliomill.functions.splitter import PART_BYTES, _parts, recursive_chunks, split_text
 
 VECTORS = [
     ("aaa bbb ccc ddd eee", 7, 3, ["aaa bbb", "ccc", "ddd", "eee"]),
@@ -78,3 +79,14 @@ def test_column_form(spark):
     df = spark.createDataFrame([(t,) for t, *_ in VECTORS], "t string")
     got = df.select(recursive_chunks(F.col("t"), 7, 3).alias("c")).collect()
     assert [r.c for r in got] == [split_text(t, 7, 3) for t, *_ in VECTORS]
+
+
+def test_a_batch_is_handed_back_in_parts(spark):
+    texts = [None, "é" * 1000, ""] * 700 + ["x" * (3 * PART_BYTES), None]
+    parts = list(_parts(pa.array(texts)))
+    assert [t for part in parts for t in part.to_pylist()] == texts
+    assert len(parts) > 5 and all(sum(len((t or "").encode()) for t in part.to_pylist()[:-1]) <= PART_BYTES for part in parts)
+    rows = [(i, None if i % 5 == 0 else "word " * (i * 37 % 300)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "i int, t string").coalesce(1)
+    got = df.select("i", recursive_chunks(F.col("t"), 40, 5).alias("c")).collect()
+    assert {r.i: r.c for r in got} == {i: split_text(t, 40, 5) for i, t in rows}
