@@ -1,9 +1,11 @@
 """History of every key kept from a stream of changes.
 
-The newest change of each key, whose interval is open, is the state: a bucketed table of one row per key. A batch reads
-the buckets it touches, closes and opens intervals, and appends the versions that are new or whose end moved to a log.
-A late change, one that is older than the open one of its key, splits an interval that is closed already: for keys with
-late changes, and for no others, the logged versions are read again, from the buckets of these keys alone.
+Changes are stored as they come, once each and in place; all else works on their keys, order and place. The newest change
+of each key, whose interval is open, is the state: a bucketed table of one row per key. A batch reads the buckets it
+touches, closes and opens intervals, and appends the versions that are new or whose end moved to a log. A late change, one
+that is older than the open one of its key, splits an interval that is closed already: for keys with late changes, and for
+no others, the logged versions are read again, from the buckets of these keys alone. Reading the history brings each
+version and its change together, which is the only time that whole changes are shuffled.
 """
 
 from __future__ import annotations
@@ -20,11 +22,16 @@ from foliomill.sources.buckets import BUCKET, BucketTable, read_if_there
 from foliomill.sources.tables import overwrite_table
 
 END = "__END_AT"
+PLACE = ("_from", "_row")  # batch that brought a change, and its row there
 
 
-def _log_schema(schema: StructType, order: Sequence[str]) -> StructType:
+def _version_schema(schema: StructType, keys: Sequence[str], order: Sequence[str]) -> StructType:
+    return StructType([*[schema[c] for c in (*keys, *order)], *[StructField(c, LongType()) for c in PLACE]])
+
+
+def _log_schema(schema: StructType, keys: Sequence[str], order: Sequence[str]) -> StructType:
     end = StructField(END, schema[order[0]].dataType)
-    return StructType([*schema.fields, end, StructField("batch_id", LongType()), StructField(BUCKET, LongType())])
+    return StructType([*_version_schema(schema, keys, order).fields, end, StructField("batch_id", LongType()), StructField(BUCKET, LongType())])
 
 
 def _resolved(log: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -41,8 +48,13 @@ def apply_batch(
     without a key are left out."""
     spark = batch.sparkSession
     keys, order = list(keys), list(order)
-    new = overwrite_table(with_keys(drop_preimages(batch), keys), fresh_path(spark, "history-batch"))
-    open_rows = BucketTable(f"{target}/open", tuple(keys), new.schema, n_buckets)
+    shape = _version_schema(batch.schema, keys, order)
+    stored = with_keys(drop_preimages(batch), keys).withColumn("_row", F.monotonically_increasing_id())
+    stored = overwrite_table(stored, f"{target}/changes/batch_id={batch_id}")
+    # of changes with one key and order the last one counts
+    new = stored.groupBy(*keys, *order).agg(F.max("_row").alias("_row")).withColumn("_from", F.lit(batch_id).cast("bigint"))
+    new = overwrite_table(new.select(*shape.names), fresh_path(spark, "history-batch"))
+    open_rows = BucketTable(f"{target}/open", tuple(keys), shape, n_buckets)
     buckets = open_rows.touched(new)
     before = open_rows.read(spark, buckets, before=batch_id)
 
@@ -52,7 +64,7 @@ def apply_batch(
     is_late = F.col("_first") <= at
     late = met.filter(is_late).select(*keys)
     late_buckets = open_rows.touched(late)
-    log_schema = _log_schema(new.schema, order)
+    log_schema = _log_schema(batch.schema, keys, order)
     log = read_if_there(spark, log_schema, f"{target}/log").filter(F.col("batch_id") < batch_id)
     reread = _resolved(log.filter(F.col(BUCKET).isin(late_buckets)).join(late, keys, "left_semi"), keys, order)
     opened = met.filter(~is_late).drop("_first").withColumn(END, F.lit(None).cast(log_schema[END].dataType))
@@ -84,7 +96,10 @@ def ingest_history(
 def read_history(changes: DataFrame, target: str, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Every version of every key with its validity; deletions close an interval and add no row. ``changes`` (the stream or
     a table of the same shape) gives the columns and is not read."""
-    log = read_if_there(changes.sparkSession, _log_schema(changes.schema, order), f"{target}/log")
-    versions = _resolved(log, list(keys), list(order))
-    kept = versions.filter(~F.coalesce(is_delete(), F.lit(False)))
-    return kept.withColumn("__START_AT", F.col(order[0])).drop(*CHANGE_COLUMNS)
+    spark, schema = changes.sparkSession, changes.schema
+    log = read_if_there(spark, _log_schema(schema, list(keys), list(order)), f"{target}/log")
+    versions = _resolved(log, list(keys), list(order)).select(*PLACE, END)
+    stored = StructType([*schema.fields, StructField("_row", LongType()), StructField("batch_id", LongType())])
+    stored = read_if_there(spark, stored, f"{target}/changes").withColumnRenamed("batch_id", "_from")
+    kept = stored.filter(~F.coalesce(is_delete(), F.lit(False))).join(versions, list(PLACE))
+    return kept.select(*schema.names, END).withColumn("__START_AT", F.col(order[0])).drop(*CHANGE_COLUMNS)

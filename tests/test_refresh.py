@@ -189,3 +189,17 @@ def test_a_change_delivered_again_takes_its_place(spark, tmp_path):
         history.apply_batch(spark.createDataFrame(rows, CHANGE), number, str(tmp_path / "h"), ["k"], ["ts", "id"], 4)
     got = history.read_history(spark.createDataFrame([], CHANGE), str(tmp_path / "h"), ["k"], ["ts", "id"])
     assert rows_of(got.select("ts", "v", "__START_AT", "__END_AT")) == [(1, "z", 1, 5), (5, "y", 5, None)]
+
+
+def test_changes_are_stored_once(spark, tmp_path):
+    """Neither the log nor the open intervals repeat what a change holds."""
+    rng = random.Random(4)
+    rows = [(f"k{i % 60}", i, i, "%0400x" % rng.getrandbits(1600), "update_postimage") for i in range(600)]
+    size = lambda folder: sum(p.stat().st_size for p in (tmp_path / folder).rglob("*.parquet"))
+    for number in range(3):
+        part = spark.createDataFrame(rows[number * 200 : number * 200 + 200], CHANGE).coalesce(1)
+        part.write.parquet(str(tmp_path / f"plain/{number}"))
+        history.apply_batch(part, number, str(tmp_path / "h"), ["k"], ["ts", "id"], 1)
+    assert size("h") < 1.6 * size("plain")
+    got = history.read_history(part, str(tmp_path / "h"), ["k"], ["ts", "id"])
+    assert rows_of(got) == rows_of(keyed.history_rows(spark.createDataFrame(rows, CHANGE), ["k"], ["ts", "id"]).select(*got.columns))
