@@ -125,3 +125,17 @@ def test_model_seams(spark):
     out = enrich.infer(df, lambda s: s.str.upper(), "request", "reply")
     out = enrich.embed(out, lambda s: s.map(lambda t: [float(len(t))]), "request")
     assert {(r.request, r.reply, r.embedding[0]) for r in out.collect()} == {("ab", "AB", 2.0), ("c", "C", 1.0)}
+
+
+def test_vectors_are_handed_back_in_parts(spark, monkeypatch):
+    import pyarrow as pa
+
+    made = []
+    kept = tx.F.arrow_udf
+    monkeypatch.setattr(tx.F, "arrow_udf", lambda kind: lambda f: made.append(f) or kept(kind)(f))
+    tx.hashed_embedding(tx.F.lit("a"), 4)
+    lists = [None if i % 7 == 0 else [i % 4] * (i % 3) for i in range(1000)]
+    parts = list(made[0]([pa.array(lists, pa.list_(pa.int32()))]))
+    assert max(map(len, parts)) <= 256
+    want = [None if b is None else [float(bool(b) and b[0] == c) for c in range(4)] for b in lists]
+    assert [v for part in parts for v in part.to_pylist()] == want
