@@ -23,6 +23,7 @@ from foliomill.plans.queries import _events, _printed, query
 from foliomill.session import fresh_path
 from foliomill.sources import checked
 from foliomill.sources.buckets import BucketTable
+from foliomill.sources.parts import PartTable
 from foliomill.sources.tables import overwrite_table
 from foliomill.streaming import evolving
 from foliomill.streaming.history import ingest_history, read_history
@@ -70,8 +71,8 @@ SHAPES = {
 }
 
 
-def _tables(root: str) -> dict[str, BucketTable]:
-    return {name: BucketTable(f"{root}/{name}", KEYS, StructType.fromDDL(shape), BUCKETS) for name, shape in SHAPES.items()}
+def _tables(root: str) -> dict[str, PartTable]:
+    return {name: PartTable(f"{root}/{name}", KEYS, StructType.fromDDL(shape), BUCKETS) for name, shape in SHAPES.items()}
 
 
 def cut(texts: DataFrame, splitter: medallion.Splitter = medallion.incremental_splitter) -> DataFrame:
@@ -81,7 +82,7 @@ def cut(texts: DataFrame, splitter: medallion.Splitter = medallion.incremental_s
 
 def refresh_all(
     spark: SparkSession, batches: list[DataFrame], root: str, upto: str, splitter: medallion.Splitter = medallion.incremental_splitter
-) -> dict[str, BucketTable]:
+) -> dict[str, PartTable]:
     """Fold batches one after another into the tables down to ``upto`` (``current``, ``gold`` or ``index``)."""
     tables = _tables(root)
     for version, batch in enumerate(batches, 1):

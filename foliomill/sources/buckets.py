@@ -66,15 +66,11 @@ class BucketTable:
         paths = [f"{self.root}/data/version={held[b]}/{BUCKET}={b}" for b in wanted]
         return spark.read.schema(self.schema).parquet(*paths)
 
-    def replace(self, rows: DataFrame, buckets: Sequence[int], version: int, deal: Column | None = None) -> None:
-        """Make ``rows`` the whole content of ``buckets``. A bucket without rows is empty from then on.
-
-        ``deal`` splits the rows of a large bucket over several tasks and files; without it a bucket is one file.
-        """
+    def replace(self, rows: DataFrame, buckets: Sequence[int], version: int) -> None:
+        """Make ``rows`` the whole content of ``buckets``, a file each. A bucket without rows is empty from then on."""
         spark = rows.sparkSession
         held = self.manifest(spark, before=version)
-        dealt = rows.select(*self.schema.names).withColumn(BUCKET, self.bucket())
-        dealt = dealt.repartition(BUCKET) if deal is None else dealt.repartition(F.col(BUCKET), deal)
+        dealt = rows.select(*self.schema.names).withColumn(BUCKET, self.bucket()).repartition(BUCKET)
         dealt.write.mode("overwrite").partitionBy(BUCKET).parquet(path := f"{self.root}/data/version={version}")
         written = spark.read.schema(f"{BUCKET} int").parquet(path).distinct().collect()
         written = {r[0] for r in written}
