@@ -52,7 +52,7 @@ class PartTable:
         found = read_if_there(spark, _PART, f"{self.root}/parts")
         if before is not None:
             found = found.filter(F.col("version") < before)
-        rows = sorted(found.collect(), key=lambda r: r["version"])
+        rows = sorted(found.collect(), key=lambda r: (r["version"], r["whole"]))
         folded = max((at for at, r in enumerate(rows) if r["whole"]), default=0)
         return [(r["version"], r["name"], r["n_files"]) for r in rows[folded:]]
 
@@ -107,14 +107,15 @@ class PartTable:
         self._write(rows, gone, version, n_files)
 
     def _write(self, rows: DataFrame, gone: DataFrame | None, version: int, n_files: int) -> None:
-        """Rows, then the keys they replace, then the line that names both; without ``gone`` all earlier rows are replaced."""
+        """Rows, then the keys they replace, then the line that names both. Without ``gone`` they replace all rows up to this
+        version, whose own line stays, so that a lost job loses nothing."""
         spark, name = rows.sparkSession, f"part_{uuid.uuid4().hex}"
         writer = rows.select(*self.schema.names).write.option("compression", "zstd").option("path", f"{self.root}/data/{name}")
         writer.bucketBy(n_files, *self.keys).saveAsTable(name)
         if gone is not None:
             gone.select(*self.keys).write.option("compression", "zstd").parquet(f"{self.root}/gone/{name}")
         part = spark.createDataFrame([(name, n_files, gone is None)], "name string, n_files int, whole boolean").coalesce(1)
-        part.write.mode("overwrite").parquet(f"{self.root}/parts/version={version}")
+        part.write.mode("append" if gone is None else "overwrite").parquet(f"{self.root}/parts/version={version}")
 
     def replace(self, rows: DataFrame, buckets: Sequence[int], version: int) -> None:
         """Make ``rows`` the whole content of ``buckets``. A bucket without rows is empty from then on."""

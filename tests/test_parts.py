@@ -91,6 +91,8 @@ def test_versions_repeat_fold_and_outlive_a_session(spark, tmp_path, monkeypatch
         assert rows_of(table.read(spark)) == states[version]
         assert rows_of(table.added(spark, version)) == rows_of(frame(spark, new))
     assert len(table.parts(spark)) == 2
+    lines = spark.read.parquet(f"{table.root}/parts/version=4")  # folding leaves the line of the version
+    assert sorted(r.whole for r in lines.collect()) == [False, True]
     assert rows_of(table.read(spark, before=5)) == states[4] and rows_of(table.read(spark, before=2)) == states[1]
     for _, name, _ in table.parts(spark):  # external tables: the files stay
         spark.sql(f"DROP TABLE {name}")
